@@ -1,0 +1 @@
+"""The mart is a full-refresh batch build: nothing in it streams, so there is no code here."""
