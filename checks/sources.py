@@ -1 +1,273 @@
-"""placeholder"""
+"""S and K: scans, sinks, keys and table refreshes."""
+
+from __future__ import annotations
+
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+from checks.registry import build, query, star
+from sparkmart.operators.joins import absent_from
+from sparkmart.operators.keys import dense_keys
+from sparkmart.plans.calendar import describe_days
+from sparkmart.plans.warehouse import Warehouse
+from sparkmart.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, SOURCES
+from sparkmart.sources import driver_tables
+from sparkmart.sources.driver_tables import table
+from sparkmart.sources.extracts import csv_extract, extract_all, extraction_stats
+from sparkmart.sources.sql import run_query
+from sparkmart.staging import Staging
+
+CSV = {"header": True, "escape": '"', "quoteAll": False}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.options(**CSV).csv(path)
+
+
+@query("S1_csv_scan", """
+SELECT p_partkey AS product_id, 'the "' || p_name || '", new' AS product_name,
+       p_type AS category, CAST(p_retailprice AS DECIMAL(18,6)) AS unit_cost,
+       CASE WHEN p_brand = 'Brand#2' THEN NULL ELSE p_brand END AS supplier
+FROM part
+""")
+def csv_scan(spark, sf_dir):
+    """Names hold quotes and commas, one supplier is written as a null token, numbers are padded."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.concat(F.lit('the "'), "p_name", F.lit('", new')).alias("product_name"),
+        F.col("p_type").alias("category"),
+        F.concat(F.lit(" "), F.col("p_retailprice").cast("decimal(18,2)")).alias("unit_cost"),
+        F.when(F.col("p_brand") == "Brand#2", "N/A").otherwise(F.col("p_brand")).alias("supplier"),
+    )
+    path = Staging(spark).path("products.csv")
+    write_csv(parts, path)
+    return csv_extract(spark, path, SOURCES["products"]).data
+
+
+def _scan(name):
+    def run(spark, sf_dir):
+        path = Staging(spark).path(SOURCES[name].file)
+        write_csv(driver_tables.extracts(spark, sf_dir)[name].data, path)
+        return csv_extract(spark, path, SOURCES[name]).data
+
+    return run
+
+
+for _id, _name in (("S2", "sales"), ("S3", "customers"), ("S4", "products"), ("S5", "stores")):
+    _columns = ", ".join(SOURCES[_name].columns)
+    query(f"{_id}_{_name}_scan", f"SELECT {_columns} FROM {_name}_source")(_scan(_name))
+
+
+def _written_extracts(spark, sf_dir):
+    staging = Staging(spark)
+    for name, extract in driver_tables.extracts(spark, sf_dir).items():
+        write_csv(extract.data, staging.path(SOURCES[name].file))
+    return extract_all(spark, staging.folder)
+
+
+@query("S6_all_scans", """
+SELECT 'sales' AS source, count(*) AS records, CAST(sum(order_id) AS BIGINT) AS id_sum
+FROM sales_source
+UNION ALL SELECT 'customers', count(*), CAST(sum(customer_id) AS BIGINT) FROM customers_source
+UNION ALL SELECT 'products', count(*), CAST(sum(product_id) AS BIGINT) FROM products_source
+UNION ALL SELECT 'stores', count(*), CAST(sum(store_id) AS BIGINT) FROM stores_source
+""")
+def all_scans(spark, sf_dir):
+    sums = [
+        e.rows.agg(
+            F.lit(name).alias("source"),
+            F.count(F.lit(1)).alias("records"),
+            F.sum(e.source.key).alias("id_sum"),
+        )
+        for name, e in _written_extracts(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
+
+
+@query("S7_scan_stats", """
+SELECT 'sales' AS source, count(*) AS records, 7 AS columns FROM sales_source
+UNION ALL SELECT 'customers', count(*), 8 FROM customers_source
+UNION ALL SELECT 'products', count(*), 5 FROM products_source
+UNION ALL SELECT 'stores', count(*), 7 FROM stores_source
+""")
+def scan_stats(spark, sf_dir):
+    stats = extraction_stats(_written_extracts(spark, sf_dir))
+    rows = [(name, s["records"], s["columns"]) for name, s in stats.items()]
+    return spark.createDataFrame(rows, "source STRING, records BIGINT, columns INT")
+
+
+@query("S8_key_scan", """
+SELECT 'dim_product' AS dimension, product_id AS natural_key, product_key AS surrogate_key
+FROM dim_product
+UNION ALL SELECT 'dim_customer', customer_id, customer_key FROM dim_customer
+UNION ALL SELECT 'dim_store', store_id, store_key FROM dim_store
+""")
+def key_scan(spark, sf_dir):
+    warehouse = build(spark, sf_dir).warehouse
+    scans = [
+        warehouse.keys(t).select(
+            F.lit(t.name).alias("dimension"),
+            F.col(t.natural_key).alias("natural_key"),
+            F.col(t.surrogate_key).alias("surrogate_key"),
+        )
+        for t in (DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE)
+    ]
+    return reduce(DataFrame.unionByName, scans)
+
+
+@query("S8_date_key_scan", "SELECT full_date, date_key FROM dim_date")
+def date_key_scan(spark, sf_dir):
+    return build(spark, sf_dir).warehouse.keys(DIM_DATE)
+
+
+@query("S9_sql_text", """
+SELECT region, count(*) AS sales FROM fact_sales JOIN dim_store USING (store_key)
+WHERE quantity >= 20 GROUP BY region ORDER BY sales DESC, region LIMIT 3
+""")
+def sql_text(spark, sf_dir):
+    build(spark, sf_dir).warehouse.register_views()
+    text = """
+        SELECT s.region, count(*) AS sales
+        FROM fact_sales f JOIN dim_store s ON f.store_key = s.store_key
+        WHERE f.quantity >= %(least)s GROUP BY s.region
+        ORDER BY sales DESC, s.region LIMIT :top
+    """
+    return run_query(spark, text, {"least": 20, "top": 3})
+
+
+@query("Q8_parameters", """
+SELECT year, month, total FROM (
+  SELECT year, month, count(*) AS total FROM fact_sales JOIN dim_date USING (date_key)
+  GROUP BY year, month) WHERE total >= 590 AND year BETWEEN 1996 AND 1999
+""")
+def parameters(spark, sf_dir):
+    build(spark, sf_dir).warehouse.register_views()
+    text = """
+        SELECT year, month, total_transactions AS total FROM vw_monthly_revenue
+        WHERE total_transactions >= %(least)s AND year BETWEEN %(first)s AND %(last)s
+    """
+    return run_query(spark, text, {"least": 590, "first": 1996, "last": 1999})
+
+
+def _fresh_warehouse(spark) -> Warehouse:
+    warehouse = Warehouse(
+        spark, f"mart_{uuid.uuid4().hex[:12]}", location=Staging(spark).path("warehouse")
+    )
+    warehouse.create_database()
+    warehouse.create_schema()
+    return warehouse
+
+
+@query("K1_star_schema", """
+SELECT 'dim_date' AS table_name, count(*) AS before, 0 AS after FROM dim_date
+UNION ALL SELECT 'dim_product', count(*), 0 FROM dim_product
+UNION ALL SELECT 'dim_customer', count(*), 0 FROM dim_customer
+UNION ALL SELECT 'dim_store', count(*), 0 FROM dim_store
+""")
+def star_schema(spark, sf_dir):
+    """Creating the schema (and, before it, the database) again empties its tables."""
+    source = build(spark, sf_dir).warehouse
+    warehouse = _fresh_warehouse(spark)
+    tables = (DIM_DATE, DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE)
+    before = {t.name: warehouse.refresh(source.table(t), t) for t in tables}
+    warehouse.create_database()
+    warehouse.create_schema()
+    rows = [(name, count, warehouse.count(name)) for name, count in before.items()]
+    return spark.createDataFrame(rows, "table_name STRING, before BIGINT, after BIGINT")
+
+
+@query("K3_dimension_refresh", "SELECT * FROM dim_customer")
+def dimension_refresh(spark, sf_dir):
+    """The second refresh replaces the rows of the first."""
+    warehouse = _fresh_warehouse(spark)
+    customers = build(spark, sf_dir).warehouse.table(DIM_CUSTOMER)
+    warehouse.refresh(customers.withColumn("city", F.lit("old")), DIM_CUSTOMER)
+    warehouse.refresh(customers, DIM_CUSTOMER)
+    return warehouse.table(DIM_CUSTOMER)
+
+
+@query("K4_fact_refresh", "SELECT * FROM fact_sales")
+def fact_refresh(spark, sf_dir):
+    return star(spark, sf_dir).sales.drop("created_at")
+
+
+@query("K5_append", """
+SELECT * FROM dim_store
+""")
+def append(spark, sf_dir):
+    """Two appends, the second with its columns in another order."""
+    warehouse = _fresh_warehouse(spark)
+    stores = build(spark, sf_dir).warehouse.table(DIM_STORE)
+    warehouse.append(stores.where("region = 'ASIA'"), DIM_STORE)
+    others = stores.where("region <> 'ASIA'")
+    warehouse.append(others.select(*reversed(others.columns)), DIM_STORE)
+    return warehouse.table(DIM_STORE)
+
+
+@query("K6_insert_if_absent", """
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date,
+       CASE WHEN year(o_orderdate) < 1998 THEN 'kept'
+            ELSE rpad(monthname(o_orderdate), 9, ' ') END AS month_name
+FROM orders
+""")
+def insert_if_absent(spark, sf_dir):
+    """Days before 1998 are in the table already, with another name that must stay."""
+    warehouse = _fresh_warehouse(spark)
+    orders = table(spark, sf_dir, "orders")
+    days = describe_days(orders.select(F.to_date("o_orderdate").alias("full_date")).distinct())
+    old = days.where("year < 1998").withColumn("month_name", F.lit("kept"))
+    warehouse.append(old, DIM_DATE)
+    warehouse.add_dates(days)
+    return warehouse.table(DIM_DATE).select("full_date", "month_name")
+
+
+@query("K6_absent_days", """
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders
+WHERE CAST(o_orderdate AS DATE) < DATE '2000-01-01'
+""")
+def absent_days(spark, sf_dir):
+    known = star(spark, sf_dir).date.where("full_date >= DATE '2000-01-01'")
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("full_date"))
+    return absent_from(days.distinct(), known, "full_date")
+
+
+@query("K7_dense_keys", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
+FROM orders
+""")
+def numbered(spark, sf_dir):
+    """Orders numbered 1..n from the dearest on."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (-F.col("o_totalprice")).alias("falling_price")
+    )
+    order_by = ["falling_price", "o_orderkey"]
+    numbers = dense_keys(orders, "price_rank", order_by, Staging(spark), "ranked_orders")
+    return numbers.select("o_orderkey", "price_rank")
+
+
+@query("K8_created_at", """
+SELECT date_month, count(*) AS sales, count(*) AS stamped FROM fact_sales GROUP BY date_month
+""")
+def created_at(spark, sf_dir):
+    sales = star(spark, sf_dir).sales
+    return sales.groupBy("date_month").agg(
+        F.count(F.lit(1)).alias("sales"), F.count("created_at").alias("stamped")
+    )
+
+
+LOADED = """
+SELECT 'dim_date' AS table_name, count(*) AS records FROM dim_date
+UNION ALL SELECT 'dim_product', count(*) FROM dim_product
+UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer
+UNION ALL SELECT 'dim_store', count(*) FROM dim_store
+UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales
+"""
+
+
+@query("K9_load_counts", LOADED)
+def load_counts(spark, sf_dir):
+    stats = build(spark, sf_dir).stats_frame("load")
+    inserted = stats.where("metric = 'records_inserted'")
+    return inserted.select("table_name", F.col("value").alias("records"))
