@@ -93,7 +93,7 @@ UNION ALL SELECT 'products', count(*), 5 FROM products_source
 UNION ALL SELECT 'stores', count(*), 7 FROM stores_source
 """)
 def scan_stats(spark, sf_dir):
-    stats = extraction_stats(_written_extracts(spark, sf_dir))
+    stats = extraction_stats(spark, _written_extracts(spark, sf_dir))
     rows = [(name, s["records"], s["columns"]) for name, s in stats.items()]
     return spark.createDataFrame(rows, "source STRING, records BIGINT, columns INT")
 

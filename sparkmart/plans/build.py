@@ -22,11 +22,19 @@ from sparkmart.plans.warehouse import Warehouse
 from sparkmart.schemas import DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, Table
 from sparkmart.sources.extracts import Extract, extract_all, extraction_stats
 from sparkmart.staging import Staging
+from sparkmart.together import together
 
 logger = logging.getLogger(__name__)
 
 DAYS_BACK, DAYS_AHEAD = 120, 30
 
+SOURCE_OF = {
+    "dim_product": "products",
+    "dim_customer": "customers",
+    "dim_store": "stores",
+    "fact_sales": "sales",
+}
+
 
 class StarBuild:
     """One run over four extracts into one warehouse."""
@@ -62,23 +70,27 @@ class StarBuild:
     # -- steps ---------------------------------------------------------------------------------
 
     def extract(self) -> None:
-        self.stats["extract"] = extraction_stats(self.extracts)
+        self.stats["extract"] = extraction_stats(self.warehouse.spark, self.extracts)
         for name, extract in self.extracts.items():
             if extract.unreadable is not None:
                 self._rejected[name] = extract.unreadable
 
     def transform(self) -> None:
-        """Clean the four tables; products get their keys here, as sales look both up at once."""
-        sources, staging = self.extracts, self.staging
-        products = transforms.transform_products(sources["products"], self.as_of, staging)
-        customers = transforms.transform_customers(sources["customers"], self.as_of, staging)
-        stores = transforms.transform_stores(sources["stores"], staging)
-        self._keyed["dim_product"] = self._stage_dimension(products.rows, DIM_PRODUCT)
-        keys = self._keyed["dim_product"].select("product_id", "product_key")
-        costs = products.rows.select("product_id", "unit_cost").join(keys, "product_id", "left")
-        sales = transforms.transform_sales(sources["sales"], costs, staging, carry=["product_key"])
+        """Clean, check and key the dimensions, and clean the sales."""
+        done = together(
+            self.warehouse.spark,
+            {
+                "customers": self._prepare_customers,
+                "stores": self._prepare_stores,
+                "products": self._prepare_products_and_sales,
+            },
+        )
+        products, sales = done["products"]
         self.cleaned = {
-            "products": products, "customers": customers, "stores": stores, "sales": sales,
+            "products": products,
+            "customers": done["customers"],
+            "stores": done["stores"],
+            "sales": sales,
         }
         for name, cleaned in self.cleaned.items():
             records = self.stats["extract"][name]["records"]
@@ -88,6 +100,31 @@ class StarBuild:
                 "removed_records": records - cleaned.output,
             }
 
+    def _prepare_customers(self) -> transforms.Cleaned:
+        customers = transforms.transform_customers(
+            self.extracts["customers"], self.as_of, self.staging
+        )
+        self._stage_dimension(customers.rows, DIM_CUSTOMER)
+        return customers
+
+    def _prepare_stores(self) -> transforms.Cleaned:
+        stores = transforms.transform_stores(self.extracts["stores"], self.staging)
+        self._stage_dimension(stores.rows, DIM_STORE)
+        return stores
+
+    def _prepare_products_and_sales(self) -> tuple[transforms.Cleaned, transforms.Cleaned]:
+        """Sales look up the cost and the key of their product in one join."""
+        products = transforms.transform_products(
+            self.extracts["products"], self.as_of, self.staging
+        )
+        self._stage_dimension(products.rows, DIM_PRODUCT)
+        keys = self._keyed["dim_product"].select("product_id", "product_key")
+        costs = products.rows.select("product_id", "unit_cost").join(keys, "product_id", "left")
+        sales = transforms.transform_sales(
+            self.extracts["sales"], costs, self.staging, carry=["product_key"]
+        )
+        return products, sales
+
     def _stage(self, df: DataFrame, table: Table, order_by: list[str], key: str) -> DataFrame:
         """Check, order and number the rows of one table."""
         if self.on_violation == QUARANTINE:
@@ -106,16 +143,13 @@ class StarBuild:
                 raise ConstraintViolation(table.name, counts)
         return number_rows(staged, key)
 
-    def _stage_dimension(self, df: DataFrame, table: Table) -> DataFrame:
-        return self._stage(df, table, [table.natural_key], table.surrogate_key)
+    def _stage_dimension(self, df: DataFrame, table: Table) -> None:
+        order_by = [table.natural_key]
+        self._keyed[table.name] = self._stage(df, table, order_by, table.surrogate_key)
 
     def load(self) -> None:
         warehouse, load = self.warehouse, self.stats["load"]
         warehouse.create_database()
-        self._keyed["dim_customer"] = self._stage_dimension(
-            self.cleaned["customers"].rows, DIM_CUSTOMER
-        )
-        self._keyed["dim_store"] = self._stage_dimension(self.cleaned["stores"].rows, DIM_STORE)
         days = date_dimension(warehouse.spark, *self.date_range)
         load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
         dims = facts.Dimensions(
@@ -128,16 +162,18 @@ class StarBuild:
         rows = facts.fact_rows(sales.rows, dims)
         fact = self._stage(rows, FACT_SALES, ["date_key", "order_id"], FACT_SALES.surrogate_key)
 
-        sources = (DIM_PRODUCT, "products"), (DIM_CUSTOMER, "customers"), (DIM_STORE, "stores")
-        for table, source in sources:
-            load[table.name] = {
-                "records_inserted": warehouse.refresh(self._keyed[table.name], table),
-                "records_source": self.cleaned[source].output,
-            }
-        load["fact_sales"] = {
-            "records_inserted": warehouse.refresh_fact(fact),
-            "records_source": sales.output,
-        }
+        loaded = together(
+            warehouse.spark,
+            {
+                "dim_product": lambda: warehouse.refresh(dims.product, DIM_PRODUCT),
+                "dim_customer": lambda: warehouse.refresh(dims.customer, DIM_CUSTOMER),
+                "dim_store": lambda: warehouse.refresh(dims.store, DIM_STORE),
+                "fact_sales": lambda: warehouse.refresh_fact(fact),
+            },
+        )
+        for table, records in loaded.items():
+            source = self.cleaned[SOURCE_OF[table]]
+            load[table] = {"records_inserted": records, "records_source": source.output}
         if load["fact_sales"]["records_inserted"] < sales.output:
             for row in facts.unresolved(sales.rows, dims).collect():
                 load["fact_sales"][f"unresolved_{row['lookup']}"] = row["unresolved"]

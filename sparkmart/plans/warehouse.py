@@ -43,9 +43,10 @@ class Warehouse:
 
     def refresh(self, df: DataFrame, table: Table) -> int:
         """Replace all rows, and count what the table then holds."""
-        self.create_table(table)
-        writer = self.shaped(df, table).write.option("partitionOverwriteMode", "static")
-        writer.insertInto(self.name(table), overwrite=True)
+        writer = self.shaped(df, table).write.format("parquet").mode("overwrite")
+        if table.partition_by:
+            writer = writer.partitionBy(table.partition_by)
+        writer.saveAsTable(self.name(table))
         return self.count(table)
 
     def refresh_fact(self, df: DataFrame) -> int:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkmart.functions.parse import null_if_token, typed
 from sparkmart.operators.quality import FAIL
 from sparkmart.schemas import SOURCES, Source
+from sparkmart.together import together
 
 INGEST_ORDER = ("_file", "_block", "_row")
 UNREADABLE = "_unreadable"
@@ -140,13 +141,16 @@ def extract_all(
     }
 
 
-def extraction_stats(extracts: dict[str, Extract]) -> dict[str, dict[str, int]]:
+def extraction_stats(
+    spark: SparkSession, extracts: dict[str, Extract]
+) -> dict[str, dict[str, int]]:
     """Records and columns per source.
 
     A count of its own reads no more than it must (footers for Parquet) and, unlike a figure
     observed below the shuffles of a later job, stays right when map tasks run again.
     """
+    records = together(spark, {name: e.rows.count for name, e in extracts.items()})
     return {
-        name: {"records": e.rows.count(), "columns": len(e.source.columns)}
+        name: {"records": records[name], "columns": len(e.source.columns)}
         for name, e in extracts.items()
     }
