@@ -118,8 +118,12 @@ class StarBuild:
             self.extracts["products"], self.as_of, self.staging
         )
         self._stage_dimension(products.rows, DIM_PRODUCT)
-        keys = self._keyed["dim_product"].select("product_id", "product_key")
-        costs = products.rows.select("product_id", "unit_cost").join(keys, "product_id", "left")
+        costs = self._keyed["dim_product"].select("product_id", "unit_cost", "product_key")
+        if "dim_product" in self._rejected:
+            # Rejected products have a cost but no key: their sales count as clean, then drop out.
+            keyless = F.lit(None).cast("bigint").alias("product_key")
+            rejected = self._rejected["dim_product"].select("product_id", "unit_cost", keyless)
+            costs = costs.unionByName(rejected)
         sales = transforms.transform_sales(
             self.extracts["sales"], costs, self.staging, carry=["product_key"]
         )
@@ -144,8 +148,9 @@ class StarBuild:
         return number_rows(staged, key)
 
     def _stage_dimension(self, df: DataFrame, table: Table) -> None:
-        order_by = [table.natural_key]
-        self._keyed[table.name] = self._stage(df, table, order_by, table.surrogate_key)
+        """Write the keyed rows too: Spark then knows their size when they are looked up."""
+        keyed = self._stage(df, table, [table.natural_key], table.surrogate_key)
+        self._keyed[table.name], _ = self.staging.write(keyed, f"{table.name}_keyed")
 
     def load(self) -> None:
         warehouse, load = self.warehouse, self.stats["load"]
