@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import avg2, build, pct2, query, star
-from sparkmart.functions.money import average, percent, total
+from sparkmart.functions.money import average, percent, sum_money, total
 from sparkmart.operators.cleaning import has_at_sign
 from sparkmart.plans.reports import per_key
 from sparkmart.sources import driver_tables
@@ -139,8 +139,8 @@ def no_rows(spark, sf_dir):
     none = star(spark, sf_dir).sales.where("revenue < 0")
     return none.agg(
         F.count(F.lit(1)).alias("sales"),
-        total("revenue").alias("revenue"),
-        average(total("revenue"), F.count(F.lit(1))).alias("avg_revenue"),
+        sum_money("revenue").alias("revenue"),
+        average(sum_money("revenue"), F.count(F.lit(1))).alias("avg_revenue"),
     )
 
 
@@ -192,7 +192,7 @@ SELECT (SELECT count(*) FROM fact_sales) AS sales,
 def whole_table(spark, sf_dir):
     return star(spark, sf_dir).sales.agg(
         F.count(F.lit(1)).alias("sales"),
-        total("profit").alias("profit"),
+        sum_money("profit").alias("profit"),
         F.count_distinct("store_key").alias("stores"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import avg2, build, query, star
-from sparkmart.functions.money import average, total
+from sparkmart.functions.money import average, sum_money
 from sparkmart.operators.joins import absent_from, lookup, with_group_figures
 from sparkmart.plans import reports
 from sparkmart.sources import driver_tables
@@ -86,7 +86,7 @@ def star_join(spark, sf_dir):
     joined = lookup(joined, customers, "customer_key", ["customer_state"])
     joined = lookup(joined, whole.store, "store_key", ["region"])
     return joined.groupBy("year", "category", "customer_state", "region").agg(
-        F.count(F.lit(1)).alias("sales"), total("revenue").alias("revenue")
+        F.count(F.lit(1)).alias("sales"), sum_money("revenue").alias("revenue")
     )
 
 
@@ -102,7 +102,7 @@ def customer_figures(spark, sf_dir):
     sales = star(spark, sf_dir).sales.select("sale_id", "customer_key", "revenue")
     figures = {
         "orders": F.count(F.lit(1)),
-        "avg_order_value": average(total("revenue"), F.count(F.lit(1))),
+        "avg_order_value": average(sum_money("revenue"), F.count(F.lit(1))),
     }
     return with_group_figures(sales, ["customer_key"], **figures).select(
         "sale_id", "orders", "avg_order_value"

@@ -23,7 +23,9 @@ AS_OF = dt.date(2026, 3, 10)
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
-    session = local_session(4, "4g", **{"spark.checkpoint.dir": str(shared)})
+    session = local_session(
+        4, "4g", **{"spark.checkpoint.dir": str(shared), "spark.sql.shuffle.partitions": "2"}
+    )
     yield session
     session.stop()
 
