@@ -10,6 +10,7 @@ from sparkmart.operators.joins import absent_from, lookup, with_group_figures
 from sparkmart.plans import reports
 from sparkmart.sources import driver_tables
 from sparkmart.sources.driver_tables import table
+from sparkmart.staging import Staging
 
 MONEY = "DECIMAL(28,2)"
 
@@ -104,9 +105,10 @@ def customer_figures(spark, sf_dir):
         "orders": F.count(F.lit(1)),
         "avg_order_value": average(sum_money("revenue"), F.count(F.lit(1))),
     }
-    return with_group_figures(sales, ["customer_key"], **figures).select(
-        "sale_id", "orders", "avg_order_value"
+    with_figures = with_group_figures(
+        sales, ["customer_key"], Staging(spark), "order_stats", **figures
     )
+    return with_figures.select("sale_id", "orders", "avg_order_value")
 
 
 @query("J9_absent_rows", """

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkmart.staging import Staging
+
 
 def lookup(
     df: DataFrame,
@@ -26,14 +28,18 @@ def lookup(
     return df.join(pairs, on, how)
 
 
-def with_group_figures(df: DataFrame, keys: Sequence[str], **figures: Column) -> DataFrame:
+def with_group_figures(
+    df: DataFrame, keys: Sequence[str], staging: Staging, name: str, **figures: Column
+) -> DataFrame:
     """Every row, with figures of its whole group.
 
-    The group side is aggregated before it is shuffled and has one row per group, so a hot group
-    is spread over tasks by the skew join; a window would hold the group in one task.
+    The figures, one row per group, are written first. Spark then knows their size, and can
+    broadcast them or, beyond that, split a hot group of rows over tasks: it does not split a join
+    whose other side is still an aggregate, and a window would hold the group in one task.
     """
     groups = df.groupBy(*keys).agg(*[f.alias(n) for n, f in figures.items()])
-    return df.join(groups, list(keys))
+    staged, _ = staging.write(groups, name)
+    return df.join(staged, list(keys))
 
 
 def absent_from(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -198,7 +198,8 @@ def test_enforce(spark, staging):
     assert good.count() == 1 and bad is None
 
 
-def test_group_figures(spark):
+def test_group_figures(spark, staging):
     df = spark.createDataFrame([(1, 2), (1, 4), (2, 9)], "k INT, v INT")
-    rows = with_group_figures(df, ["k"], n=F.count("*"), top=F.max("v")).orderBy("k", "v").collect()
-    assert [tuple(r) for r in rows] == [(1, 2, 2, 4), (1, 4, 2, 4), (2, 9, 1, 9)]
+    figures = {"n": F.count("*"), "top": F.max("v")}
+    rows = with_group_figures(df, ["k"], staging, "groups", **figures).orderBy("k", "v")
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, 2, 4), (1, 4, 2, 4), (2, 9, 1, 9)]
