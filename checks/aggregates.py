@@ -26,7 +26,7 @@ SELECT product_key, CAST(sum(revenue) AS {MONEY}) AS revenue,
        CAST(sum(profit) AS {MONEY}) AS profit
 FROM fact_sales GROUP BY product_key
 """)
-def sum_money(spark, sf_dir):
+def money_sums(spark, sf_dir):
     sales = star(spark, sf_dir).sales
     return per_key(sales, "product_key").select("product_key", "revenue", "profit")
 

@@ -154,7 +154,7 @@ def non_negative(spark, sf_dir):
 
 
 @query("Q4_known_cost", """
-SELECT s.order_id, s.quantity * p.unit_cost AS cost
+SELECT s.order_id, CAST(s.quantity * p.unit_cost AS DECIMAL(29,6)) AS cost
 FROM sales_source s JOIN products_source p ON s.product_id = p.product_id
 WHERE s.copy = 1 AND p.category <> 'PROMO'
 """)

@@ -161,7 +161,7 @@ def _fresh_warehouse(spark) -> Warehouse:
 
 
 @query("K1_star_schema", """
-SELECT 'dim_date' AS table_name, count(*) AS before, 0 AS after FROM dim_date
+SELECT 'dim_date' AS table_name, count(*) AS before, CAST(0 AS BIGINT) AS after FROM dim_date
 UNION ALL SELECT 'dim_product', count(*), 0 FROM dim_product
 UNION ALL SELECT 'dim_customer', count(*), 0 FROM dim_customer
 UNION ALL SELECT 'dim_store', count(*), 0 FROM dim_store
