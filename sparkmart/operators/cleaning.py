@@ -6,25 +6,34 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 INVALID_EMAIL = "invalid@email.com"
 
 
 def keep_first(
-    df: DataFrame, keys: Sequence[str] | None = None, order_by: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str] | None = None,
+    order_by: Sequence[str] = (),
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per key, the first in the given order; without keys, distinct rows.
 
-    Spark prunes row_number() = 1 before the shuffle: every map task sends one row per key at
-    most, so a key with very many copies does not make a large group anywhere.
+    copies names a column to hold the number of rows that the key had. Every map task merges its
+    copies before the shuffle and sends one row per key at most, so a key with very many copies
+    does not make a large group anywhere.
     """
     if not keys:
         return df.distinct()
     if not order_by:
         raise ValueError("keep_first needs an order to say which row is first")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    others = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct(*order_by)).alias("_first")
+    merged = df.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("_copies"))
+    columns = [F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns]
+    if copies:
+        columns.append(F.col("_copies").alias(copies))
+    return merged.select(*columns)
 
 
 def present(columns: Iterable[str]) -> Column:

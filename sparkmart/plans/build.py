@@ -20,7 +20,7 @@ from sparkmart.plans import facts, transforms
 from sparkmart.plans.calendar import date_dimension
 from sparkmart.plans.warehouse import Warehouse
 from sparkmart.schemas import DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, Table
-from sparkmart.sources.extracts import Extract, extract_all, extraction_stats
+from sparkmart.sources.extracts import Extract, extract_all
 from sparkmart.staging import Staging
 from sparkmart.together import together
 
@@ -70,10 +70,15 @@ class StarBuild:
     # -- steps ---------------------------------------------------------------------------------
 
     def extract(self) -> None:
-        self.stats["extract"] = extraction_stats(self.warehouse.spark, self.extracts)
+        """Set unreadable rows apart. Records are counted as the transforms read them."""
         for name, extract in self.extracts.items():
+            unreadable = 0
             if extract.unreadable is not None:
                 self._rejected[name] = extract.unreadable
+                unreadable = extract.unreadable.count()
+            self.stats["extract"][name] = {
+                "records": unreadable, "columns": len(extract.source.columns),
+            }
 
     def transform(self) -> None:
         """Clean, check and key the dimensions, and clean the sales."""
@@ -93,11 +98,11 @@ class StarBuild:
             "sales": sales,
         }
         for name, cleaned in self.cleaned.items():
-            records = self.stats["extract"][name]["records"]
+            self.stats["extract"][name]["records"] += cleaned.input
             self.stats["transform"][name] = {
-                "input_records": records,
+                "input_records": cleaned.input,
                 "output_records": cleaned.output,
-                "removed_records": records - cleaned.output,
+                "removed_records": cleaned.input - cleaned.output,
             }
 
     def _prepare_customers(self) -> transforms.Cleaned:

@@ -25,6 +25,7 @@ class Cleaned:
     """Clean rows with what cleaning found out."""
 
     rows: DataFrame
+    input: int
     output: int
     nulls: dict[str, int]
     negatives: dict[str, int]
@@ -35,21 +36,27 @@ class Cleaned:
 
 
 def clean(extract: Extract, staging: Staging) -> Cleaned:
-    """First row per key, then complete rows only, then the sign rule, in this order."""
+    """First row per key, then complete rows only, then the sign rule, in this order.
+
+    Each kept row brings the number of its copies through the shuffle; their sum is the number of
+    input rows, which so needs no pass of its own.
+    """
     source = extract.source
-    first = cleaning.keep_first(extract.rows, [source.key], extract.order_by)
+    first = cleaning.keep_first(extract.rows, [source.key], extract.order_by, copies="_copies")
     complete = cleaning.present(source.required)
     figures = {
+        "input": F.sum("_copies"),
         **cleaning.null_counts(source.required),
         **cleaning.sign_counts(source.non_negative, complete),
     }
     staged, seen = staging.write(
-        first.select(*source.columns), f"{source.name}_clean", figures, keep=complete
+        first.select(*source.columns, "_copies"), f"{source.name}_clean", figures, keep=complete
     )
     negatives = cleaning.flagged_columns(source.non_negative, seen)
     nulls = {c: seen.get(f"nulls:{c}", 0) for c in source.required}
-    rows = cleaning.keep_non_negative(staged, negatives)
-    return Cleaned(rows, cleaning.kept_rows(negatives, seen), nulls, negatives)
+    rows = cleaning.keep_non_negative(staged.select(*source.columns), negatives)
+    kept = cleaning.kept_rows(negatives, seen)
+    return Cleaned(rows, seen.get("input") or 0, kept, nulls, negatives)
 
 
 def transform_products(extract: Extract, as_of: dt.date, staging: Staging) -> Cleaned:

@@ -143,14 +143,14 @@ def extract_all(
 
 def extraction_stats(
     spark: SparkSession, extracts: dict[str, Extract]
-) -> dict[str, dict[str, int]]:
-    """Records and columns per source.
-
-    A count of its own reads no more than it must (footers for Parquet) and, unlike a figure
-    observed below the shuffles of a later job, stays right when map tasks run again.
-    """
+) -> dict[str, dict[str, int | str]]:
+    """Records, columns and path per source, by a count that reads no more than it must."""
     records = together(spark, {name: e.rows.count for name, e in extracts.items()})
     return {
-        name: {"records": records[name], "columns": len(e.source.columns)}
+        name: {
+            "records": records[name],
+            "columns": len(e.source.columns),
+            "file_path": e.path,
+        }
         for name, e in extracts.items()
     }

@@ -25,6 +25,7 @@ def test_first_copy_wins_even_if_it_is_bad(extract, staging):
     result = transforms.transform_products(extract("products", rows), DAY, staging)
     assert column(result.rows, "product_id") == [2]
     assert result.output == 1
+    assert result.input == 3
     assert result.nulls == {"product_id": 0, "product_name": 0, "category": 1}
 
 
@@ -45,11 +46,10 @@ def test_keep_first_over_whole_rows_and_without_order(spark):
         cleaning.keep_first(df, ["a"])
 
 
-def test_keep_first_prunes_before_the_shuffle(spark):
-    df = spark.range(100).selectExpr("id % 3 AS k", "id AS p")
-    plan = cleaning.keep_first(df, ["k"], ["p"])._jdf.queryExecution().executedPlan().toString()
-    final, partial = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")
-    assert final < plan.index("Exchange hashpartitioning(k") < partial
+def test_copies_are_counted(spark):
+    df = spark.createDataFrame([(1, 5), (1, 4), (2, 3), (None, 2), (None, 1)], "k INT, p INT")
+    rows = cleaning.keep_first(df, ["k"], ["p"], copies="n").collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, 4, 2), (2, 3, 1), (None, 1, 2)]
 
 
 def test_required_columns(spark):

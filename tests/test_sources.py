@@ -10,7 +10,7 @@ from sparkmart.plans.build import build_from_csv
 from sparkmart.schemas import PRODUCTS, SALES
 from sparkmart.sources import database
 from sparkmart.sources.extracts import (
-    INGEST_ORDER, UNREADABLE, csv_extract, frame_extract, parquet_extract,
+    INGEST_ORDER, UNREADABLE, csv_extract, extraction_stats, frame_extract, parquet_extract,
 )
 
 HEADER = "product_id,product_name,category,unit_cost,supplier\n"
@@ -64,6 +64,12 @@ def test_unreadable_cells(spark, tmp_path):
     assert (bad.product_id, bad[UNREADABLE]) == ("1", ["unit_cost"])
 
 
+def test_stats(spark, tmp_path):
+    path = write(tmp_path / "p.csv", HEADER + "1,a,b,2,c\n1,a,b,2,c\n")
+    stats = extraction_stats(spark, {"products": csv_extract(spark, path, PRODUCTS)})
+    assert stats == {"products": {"records": 2, "columns": 5, "file_path": path}}
+
+
 def test_reader_options(spark, tmp_path):
     path = write(tmp_path / "p.csv", HEADER.replace(",", ";") + "1;a;b;2;c\n")
     assert csv_extract(spark, path, PRODUCTS, sep=";").data.first().supplier == "c"
@@ -116,6 +122,8 @@ def test_quarantined_extract_reaches_its_table(spark, tmp_path):
         spark, str(folder), "unreadable_mart", AS_OF, "quarantine", str(tmp_path / "mart")
     )
     assert run.stats["load"]["products_rejected"] == {"records_inserted": 1}
+    assert run.stats["extract"]["products"] == {"records": 2, "columns": 5}
+    assert run.stats["transform"]["products"]["input_records"] == 1
     assert run.stats["load"]["fact_sales"]["records_inserted"] == 1
 
 
