@@ -1,21 +1,41 @@
-"""A local session for tests and measurements. On a cluster, bring the cluster's own session."""
+"""Session settings: a local session for tests and measurements, and sizes for a cluster."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Settings for the size of the largest source.
+
+    Runtime planning merges shuffle partitions that turn out small and splits skewed ones, but
+    never makes more of them than it starts with; so it starts with enough.
+    """
+    partitions = input_bytes // BYTES_PER_SHUFFLE_PARTITION
+    return {
+        "spark.sql.shuffle.partitions": str(min(max(partitions, 200), MOST_SHUFFLE_PARTITIONS)),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
 
 def local_session(cores: int = 8, memory: str = "16g", **conf: str) -> SparkSession:
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("sparkmart")
-        .config("spark.driver.memory", memory)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-    )
-    for key, value in conf.items():
+    settings = {
+        "spark.driver.memory": memory,
+        "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": str(cores),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        **conf,
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("sparkmart")
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
