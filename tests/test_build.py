@@ -8,13 +8,17 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import build
+from conftest import TABLES
 from sparkmart.operators import quality
 from sparkmart.operators.joins import with_group_figures
 from sparkmart.operators.keys import dense_keys
 from sparkmart.plans import reports
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.calendar import date_dimension
-from sparkmart.schemas import DIM_DATE, FACT_SALES, TABLES, Rule
+from sparkmart.schemas import DIM_DATE, FACT_SALES, TABLES as TABLES_OF_STAR, Rule
+from sparkmart.sources import driver_tables
+from sparkmart.sources.extracts import extract_all
 from sparkmart.staging import Staging
 
 DAY = dt.date(2026, 3, 10)
@@ -47,6 +51,56 @@ def test_each_measure_is_rounded_on_its_own(run):
     assert row.sale_id == 1 and row.created_at is not None
 
 
+def test_csv_and_table_extracts_give_the_same_star(spark, small_build):
+    """One star is built from CSV files, the other from the tables they were written from."""
+    other = build(spark, TABLES).warehouse
+    for table in TABLES_OF_STAR:
+        mine = small_build.warehouse.table(table).drop("created_at")
+        theirs = other.table(table).drop("created_at")
+        assert mine.exceptAll(theirs).count() == 0 and theirs.exceptAll(mine).count() == 0
+
+
+def test_rerun_gives_identical_tables(spark, small_build, csv_folder, tmp_path):
+    before = {t: small_build.warehouse.table(t).drop("created_at").collect() for t in TABLES_OF_STAR}
+    again = StarBuild(
+        extract_all(spark, csv_folder),
+        small_build.warehouse,
+        driver_tables.AS_OF,
+        driver_tables.DATE_RANGE,
+        staging=Staging(spark, str(tmp_path)),
+    ).run()
+    assert again.stats == small_build.stats
+    for table, rows in before.items():
+        now = small_build.warehouse.table(table).drop("created_at").collect()
+        assert set(now) == set(rows) and len(now) == len(rows)
+
+
+def test_stats_and_summary(small_build):
+    sales = small_build.stats["transform"]["sales"]
+    assert sales["removed_records"] == sales["input_records"] - sales["output_records"] > 0
+    assert small_build.stats["load"]["fact_sales"]["records_inserted"] == sales["output_records"]
+    assert small_build.validation_errors == [] and small_build.validation_frame().count() == 0
+    run = small_build.summary_frame().where("stage = 'run'").collect()
+    values = {r.metric: r.value for r in run}
+    assert values["status"] == "SUCCESS" and int(values["duration_seconds"]) >= 0
+
+
+def test_views_agree_with_summary(small_build):
+    star = small_build.warehouse.star()
+    whole = reports.executive_summary(star).first()
+    view = reports.sales_summary(star).agg(F.sum("revenue"), F.count("*")).first()
+    assert tuple(view) == (whole.total_revenue, whole.total_transactions)
+    months = reports.monthly_revenue(star).agg(F.sum("total_profit")).first()
+    assert months[0] == whole.total_profit
+
+
+def test_empty_fact(run):
+    star = run([sale(1, day=DAY - dt.timedelta(days=400))]).warehouse.star()
+    assert tuple(reports.executive_summary(star).first()) == (0, None, None, None, 0, 0, None, None)
+    for name, report in reports.full_report(star, DAY).items():
+        assert report.count() == (1 if name == "executive_summary" else 0)
+
+
 def test_window_bounds_and_unresolved(run):
     days = [DAY + dt.timedelta(days=d) for d in (-121, -120, 30, 31)]
     sales = [sale(i, day=d) for i, d in enumerate(days)]
@@ -123,7 +177,7 @@ def test_existing_days_stay(run, warehouse):
 def test_schema_creation_empties_everything(run, warehouse):
     run([sale(1)])
     warehouse.create_schema()
-    assert {warehouse.count(t) for t in TABLES.values()} == {0}
+    assert {warehouse.count(t) for t in TABLES_OF_STAR.values()} == {0}
     assert warehouse.table(FACT_SALES).columns == list(FACT_SALES.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import SAMPLES_AS_OF
 from pyspark.sql import functions as F
 
 from sparkmart.operators.cleaning import keep_first
@@ -110,8 +111,6 @@ def test_parquet_and_frames(spark, tmp_path):
 
 
 def test_quarantined_extract_reaches_its_table(spark, tmp_path):
-    from conftest import AS_OF
-
     folder = tmp_path / "src"
     folder.mkdir()
     write(folder / "products.csv", HEADER + "1,a,b,2,c\n2,a,b,much,c\n")
@@ -119,7 +118,7 @@ def test_quarantined_extract_reaches_its_table(spark, tmp_path):
     write(folder / "customers.csv", "customer_id,first_name,last_name,email,phone,city,state,registration_date\n1,a,b,a@b,,c,ST,2026-01-01\n")
     write(folder / "sales.csv", ",".join(SALES.columns) + "\n1,1,1,1,2,5.00,2026-03-01\n")
     run = build_from_csv(
-        spark, str(folder), "unreadable_mart", AS_OF, "quarantine", str(tmp_path / "mart")
+        spark, str(folder), "unreadable_mart", SAMPLES_AS_OF, "quarantine", str(tmp_path / "mart")
     )
     assert run.stats["load"]["products_rejected"] == {"records_inserted": 1}
     assert run.stats["extract"]["products"] == {"records": 2, "columns": 5}
