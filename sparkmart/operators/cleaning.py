@@ -19,7 +19,8 @@ def keep_first(
 ) -> DataFrame:
     """One row per key, the first in the given order; without keys, distinct rows.
 
-    copies names a column to hold the number of rows that the key had. Every map task merges its
+    Rows equal in that order are told apart by their other columns, so the result is always the
+    same. copies names a column to hold the number of rows that the key had. Every map task merges its
     copies before the shuffle and sends one row per key at most, so a key with very many copies
     does not make a large group anywhere.
     """
@@ -27,8 +28,9 @@ def keep_first(
         return df.distinct()
     if not order_by:
         raise ValueError("keep_first needs an order to say which row is first")
-    others = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*others), F.struct(*order_by)).alias("_first")
+    ordered = [c for c in order_by if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in ordered]
+    first = F.min(F.struct(*ordered, *rest)).alias("_first")
     merged = df.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("_copies"))
     columns = [F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns]
     if copies:

@@ -19,15 +19,19 @@ class Dimensions:
 
 
 def resolve_keys(sales: DataFrame, dims: Dimensions) -> DataFrame:
-    """Sales with the four surrogate keys; a sale that one lookup misses is left out."""
+    """Sales with the four surrogate keys; a sale that one lookup misses is left out.
+
+    The date comes first: it is the smallest table and its window the most selective, so what it
+    drops is not shuffled for the others. The customer, likely the largest, comes last.
+    """
+    dated = sales.withColumn("order_date", F.to_date("order_date"))
+    keyed = lookup(dated, dims.date, "order_date", ["date_key"], table_key="full_date")
     if "product_key" in sales.columns:
-        keyed = sales.where(F.col("product_key").isNotNull())
+        keyed = keyed.where(F.col("product_key").isNotNull())
     else:
-        keyed = lookup(sales, dims.product, "product_id", ["product_key"])
-    keyed = lookup(keyed, dims.customer, "customer_id", ["customer_key"])
+        keyed = lookup(keyed, dims.product, "product_id", ["product_key"])
     keyed = lookup(keyed, dims.store, "store_id", ["store_key"])
-    dated = keyed.withColumn("order_date", F.to_date("order_date"))
-    return lookup(dated, dims.date, "order_date", ["date_key"], table_key="full_date")
+    return lookup(keyed, dims.customer, "customer_id", ["customer_key"])
 
 
 def fact_rows(sales: DataFrame, dims: Dimensions) -> DataFrame:
