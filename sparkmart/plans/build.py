@@ -161,17 +161,19 @@ class StarBuild:
         warehouse, load = self.warehouse, self.stats["load"]
         warehouse.create_database()
         days = date_dimension(warehouse.spark, *self.date_range)
-        load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
+        dates, _ = self.staging.write(warehouse.dates_with(days), "dim_date")
         dims = facts.Dimensions(
             product=self._keyed["dim_product"],
             customer=self._keyed["dim_customer"],
             store=self._keyed["dim_store"],
-            date=warehouse.table("dim_date"),
+            date=dates,
         )
         sales = self.cleaned["sales"]
         rows = facts.fact_rows(sales.rows, dims)
         fact = self._stage(rows, FACT_SALES, ["date_key", "order_id"], FACT_SALES.surrogate_key)
 
+        # Everything is checked; from here on the warehouse changes.
+        load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
         loaded = together(
             warehouse.spark,
             {

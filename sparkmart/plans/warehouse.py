@@ -58,10 +58,18 @@ class Warehouse:
         """Add rows, bound by column name."""
         self.shaped(df, table).write.insertInto(self.name(table))
 
+    def absent_dates(self, days: DataFrame) -> DataFrame:
+        self.create_table(DIM_DATE)
+        return absent_from(days, self.table(DIM_DATE), DIM_DATE.natural_key)
+
+    def dates_with(self, days: DataFrame) -> DataFrame:
+        """The date dimension as it will be once the days are added."""
+        absent = self.absent_dates(days)
+        return self.table(DIM_DATE).unionByName(absent)
+
     def add_dates(self, days: DataFrame) -> int:
         """Add the days that are not there yet; days that are there stay untouched."""
-        self.create_table(DIM_DATE)
-        self.append(absent_from(days, self.table(DIM_DATE), DIM_DATE.natural_key), DIM_DATE)
+        self.append(self.absent_dates(days), DIM_DATE)
         return self.count(DIM_DATE)
 
     def replace_rejected(self, rejected: DataFrame, table_name: str) -> int:

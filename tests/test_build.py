@@ -117,11 +117,14 @@ def test_window_bounds_and_unresolved(run):
 
 def test_zero_quantity_fails_and_leaves_the_tables(run, warehouse):
     run([sale(1)])
-    before = warehouse.table("fact_sales").collect()
+    before = {t: warehouse.table(t).collect() for t in TABLES_OF_STAR}
+    more_days = (DAY, DAY + dt.timedelta(days=400))
+    more_stores = [STORE, (2, *STORE[1:])]
+    bad_sales = [sale(1), sale(2, quantity=0), sale(3, quantity=0)]
     with pytest.raises(quality.ConstraintViolation) as error:
-        run([sale(1), sale(2, quantity=0), sale(3, quantity=0)])
+        run(bad_sales, stores=more_stores, date_range=more_days)
     assert error.value.counts == {"check:quantity_positive": 2}
-    assert warehouse.table("fact_sales").collect() == before
+    assert {t: warehouse.table(t).collect() for t in TABLES_OF_STAR} == before
 
 
 def test_failed_run_keeps_its_status(extract, warehouse, spark, tmp_path):
