@@ -46,28 +46,30 @@ def largest_first(column: str) -> Column:
     return F.col(column).desc_nulls_first()
 
 
+def best_keys(sales: DataFrame, key: str, limit: int) -> tuple[DataFrame, list[Column]]:
+    """The keys with most revenue and their order; equal revenue in order of the key.
+
+    Only these few rows go on to the dimension and to the averages.
+    """
+    order = [largest_first("revenue"), F.col(key)]
+    return per_key(sales, key).orderBy(*order).limit(limit), order
+
+
 def top_selling_products(star: Star, limit: int = 10) -> DataFrame:
     """Best products by revenue; equal revenue in order of product."""
-    order = [largest_first("total_revenue"), F.col("product_key")]
-    best = (
-        per_key(star.sales, "product_key")
+    best, order = best_keys(star.sales, "product_key", limit)
+    products = star.product.select("product_key", "product_name", "category")
+    return (
+        best.join(products, "product_key")
+        .orderBy(*order)
         .select(
-            "product_key",
+            "product_name",
+            "category",
             F.col("units").alias("total_quantity_sold"),
             F.col("revenue").alias("total_revenue"),
             F.col("profit").alias("total_profit"),
             average(F.col("price"), F.col("n")).alias("avg_selling_price"),
         )
-        .orderBy(*order)
-        .limit(limit)
-    )
-    return (
-        best.join(star.product.select("product_key", "product_name", "category"), "product_key")
-        .orderBy(*order)
-        .select(
-            "product_name", "category", "total_quantity_sold", "total_revenue",
-            "total_profit", "avg_selling_price",
-        )
     )
 
 
@@ -153,19 +155,7 @@ def customer_purchasing_patterns(star: Star) -> DataFrame:
 
 def top_customers(star: Star, limit: int = 10) -> DataFrame:
     """Best customers by money spent; equal spending in order of customer."""
-    order = [largest_first("total_spent"), F.col("customer_key")]
-    best = (
-        per_key(star.sales, "customer_key")
-        .select(
-            "customer_key",
-            F.col("n").alias("total_orders"),
-            F.col("units").alias("total_items_purchased"),
-            F.col("revenue").alias("total_spent"),
-            average(F.col("revenue"), F.col("n")).alias("avg_order_value"),
-        )
-        .orderBy(*order)
-        .limit(limit)
-    )
+    best, order = best_keys(star.sales, "customer_key", limit)
     name = F.concat("first_name", F.lit(" "), "last_name").alias("customer_name")
     people = star.customer.select(
         "customer_key", name, "email", "city", "state", "customer_segment"
@@ -174,8 +164,15 @@ def top_customers(star: Star, limit: int = 10) -> DataFrame:
         best.join(people, "customer_key")
         .orderBy(*order)
         .select(
-            "customer_name", "email", "city", "state", "customer_segment", "total_orders",
-            "total_items_purchased", "total_spent", "avg_order_value",
+            "customer_name",
+            "email",
+            "city",
+            "state",
+            "customer_segment",
+            F.col("n").alias("total_orders"),
+            F.col("units").alias("total_items_purchased"),
+            F.col("revenue").alias("total_spent"),
+            average(F.col("revenue"), F.col("n")).alias("avg_order_value"),
         )
     )
 
