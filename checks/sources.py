@@ -178,6 +178,15 @@ def star_schema(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name STRING, before BIGINT, after BIGINT")
 
 
+@query("K2_database_if_absent", "SELECT * FROM dim_product")
+def database_if_absent(spark, sf_dir):
+    """Creating a database that is there already leaves its tables alone."""
+    warehouse = _fresh_warehouse(spark)
+    warehouse.refresh(build(spark, sf_dir).warehouse.table(DIM_PRODUCT), DIM_PRODUCT)
+    warehouse.create_database()
+    return warehouse.table(DIM_PRODUCT)
+
+
 @query("K3_dimension_refresh", "SELECT * FROM dim_customer")
 def dimension_refresh(spark, sf_dir):
     """The second refresh replaces the rows of the first."""

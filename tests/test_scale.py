@@ -11,6 +11,7 @@ from sparkmart.operators.cleaning import keep_first
 from sparkmart.operators.joins import lookup, with_group_figures
 from sparkmart.operators.keys import POSITION, number_rows, stage_in_order
 from sparkmart.plans import reports
+from sparkmart.session import cluster_settings
 from sparkmart.sources.driver_tables import AS_OF
 
 ROWS = 200_000
@@ -154,3 +155,9 @@ def test_no_python_in_any_plan(small_build):
     star = small_build.warehouse.star()
     for report in reports.full_report(star, AS_OF).values():
         assert "Python" not in plan_of(report)
+
+
+def test_settings_grow_with_the_data():
+    assert cluster_settings(0)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_settings(1024**4)["spark.sql.shuffle.partitions"] == "2048"
+    assert cluster_settings(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
