@@ -1,8 +1,8 @@
 """The whole star build: extract, transform, load, with figures of every step.
 
-Tables are replaced only after all of them are staged and checked, so a run that fails on its
-data leaves the warehouse as it was. All staged data is in the shared folder; a lost executor
-costs the tasks it ran, not the run.
+Tables are switched only after all of them are checked and written, so a run that fails leaves
+the warehouse as it was. All staged data is in the shared folder; a lost executor costs the tasks
+it ran, not the run.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from sparkmart.operators.quality import (
 )
 from sparkmart.plans import facts, transforms
 from sparkmart.plans.calendar import date_dimension
-from sparkmart.plans.warehouse import Warehouse
-from sparkmart.schemas import DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, Table
+from sparkmart.plans.warehouse import Warehouse, with_load_columns
+from sparkmart.schemas import (
+    DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, TABLES, Table,
+)
 from sparkmart.sources.extracts import Extract, extract_all
 from sparkmart.staging import Staging
 from sparkmart.together import together
@@ -153,13 +155,14 @@ class StarBuild:
         return number_rows(staged, key)
 
     def _stage_dimension(self, df: DataFrame, table: Table) -> None:
-        """Write the keyed rows too: Spark then knows their size when they are looked up."""
+        """Write the keyed rows, unrounded; being stored, their size is known to lookups."""
         keyed = self._stage(df, table, [table.natural_key], table.surrogate_key)
         self._keyed[table.name], _ = self.staging.write(keyed, f"{table.name}_keyed")
 
     def load(self) -> None:
         warehouse, load = self.warehouse, self.stats["load"]
         warehouse.create_database()
+        warehouse.create_dates()
         days = date_dimension(warehouse.spark, *self.date_range)
         dates, _ = self.staging.write(warehouse.dates_with(days), "dim_date")
         dims = facts.Dimensions(
@@ -171,21 +174,24 @@ class StarBuild:
         sales = self.cleaned["sales"]
         rows = facts.fact_rows(sales.rows, dims)
         fact = self._stage(rows, FACT_SALES, ["date_key", "order_id"], FACT_SALES.surrogate_key)
-
-        # Everything is checked; from here on the warehouse changes.
-        load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
-        loaded = together(
+        versions = together(
             warehouse.spark,
             {
-                "dim_product": lambda: warehouse.refresh(dims.product, DIM_PRODUCT),
-                "dim_customer": lambda: warehouse.refresh(dims.customer, DIM_CUSTOMER),
-                "dim_store": lambda: warehouse.refresh(dims.store, DIM_STORE),
-                "fact_sales": lambda: warehouse.refresh_fact(fact),
+                DIM_PRODUCT.name: lambda: warehouse.write_version(dims.product, DIM_PRODUCT),
+                DIM_CUSTOMER.name: lambda: warehouse.write_version(dims.customer, DIM_CUSTOMER),
+                DIM_STORE.name: lambda: warehouse.write_version(dims.store, DIM_STORE),
+                FACT_SALES.name: lambda: warehouse.write_version(
+                    with_load_columns(fact), FACT_SALES
+                ),
             },
         )
-        for table, records in loaded.items():
-            source = self.cleaned[SOURCE_OF[table]]
-            load[table] = {"records_inserted": records, "records_source": source.output}
+        # All rows are checked and written; from here on the warehouse changes.
+        load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
+        for table, version in versions.items():
+            load[table] = {
+                "records_inserted": warehouse.publish(TABLES[table], version),
+                "records_source": self.cleaned[SOURCE_OF[table]].output,
+            }
         if load["fact_sales"]["records_inserted"] < sales.output:
             for row in facts.unresolved(sales.rows, dims).collect():
                 load["fact_sales"][f"unresolved_{row['lookup']}"] = row["unresolved"]
@@ -259,7 +265,8 @@ class StarBuild:
             [("run", "", k, v) for k, v in facts_of_run.items()],
             "stage STRING, table_name STRING, metric STRING, value STRING",
         )
-        return head.unionByName(self.stats_frame().withColumn("value", F.col("value").cast("string")))
+        figures = self.stats_frame().withColumn("value", F.col("value").cast("string"))
+        return head.unionByName(figures)
 
 
 def build_from_csv(

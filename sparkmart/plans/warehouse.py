@@ -1,7 +1,16 @@
-"""The star schema as catalog tables: creation, refresh, append and views."""
+"""The star schema in the catalog: creation, refresh, append and views.
+
+A refreshed table is a view over the version of it that was written last. A refresh writes the new
+version beside the old one and then points the view at it, so readers see the old rows until the
+new ones are complete, and a write that is lost half-way changes nothing. The date dimension only
+ever grows and is a plain table.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkmart.functions.dates import month_of_key
@@ -10,6 +19,20 @@ from sparkmart.plans import reports
 from sparkmart.schemas import DIM_DATE, FACT_SALES, TABLES, Table
 
 
+def new_version() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
+def with_load_columns(fact: DataFrame) -> DataFrame:
+    """The fact with the time of its load and its partition."""
+    return fact.withColumns(
+        {
+            "created_at": F.current_timestamp(),
+            "date_month": month_of_key(F.col("date_key")),
+        }
+    )
+
+
 class Warehouse:
     """A catalog database that holds the star schema as Parquet tables."""
 
@@ -21,51 +44,84 @@ class Warehouse:
     def name(self, table: Table | str) -> str:
         return f"{self.database}.{table if isinstance(table, str) else table.name}"
 
+    # -- creation ------------------------------------------------------------------------------
+
     def create_database(self) -> None:
         place = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
 
-    def create_table(self, table: Table) -> None:
+    def _create(self, table: Table, name: str) -> None:
         layout = f" PARTITIONED BY ({table.partition_by})" if table.partition_by else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({table.ddl}) USING parquet{layout}"
+            f"CREATE TABLE IF NOT EXISTS {self.name(name)} ({table.ddl}) USING parquet{layout}"
         )
 
+    def create_dates(self) -> None:
+        self._create(DIM_DATE, DIM_DATE.name)
+
     def create_schema(self) -> None:
         """Drop all five tables and create them empty."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(DIM_DATE)}")
+        self.create_dates()
         for table in TABLES.values():
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-            self.create_table(table)
+            if table is not DIM_DATE:
+                empty = f"{table.name}_v{new_version()}"
+                self._create(table, empty)
+                self.publish(table, empty)
+
+    # -- refresh -------------------------------------------------------------------------------
 
-    def shaped(self, df: DataFrame, table: Table) -> DataFrame:
+    def _shaped(self, df: DataFrame, table: Table) -> DataFrame:
         """The table's columns, in order and rounded to its types."""
         return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in table.columns.items()])
 
-    def refresh(self, df: DataFrame, table: Table) -> int:
-        """Replace all rows, and count what the table then holds."""
-        writer = self.shaped(df, table).write.format("parquet").mode("overwrite")
+    def write_version(self, df: DataFrame, table: Table) -> str:
+        """Write the rows as a new version, not visible yet, and give its name."""
+        version = f"{table.name}_v{new_version()}"
+        writer = self._shaped(df, table).write.format("parquet")
         if table.partition_by:
             writer = writer.partitionBy(table.partition_by)
-        writer.saveAsTable(self.name(table))
+        writer.saveAsTable(self.name(version))
+        return version
+
+    def _versions(self, table: Table) -> list[str]:
+        found = self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{table.name}_v*'").collect()
+        pattern = re.compile(rf"{table.name}_v\d+")
+        return [r.tableName for r in found if pattern.fullmatch(r.tableName)]
+
+    def publish(self, table: Table, version: str) -> int:
+        """Make a version the table, drop the others, and count what the table then holds."""
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ('version' = '{version}')"
+            f" AS SELECT * FROM {self.name(version)}"
+        )
+        for other in self._versions(table):
+            if other != version:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(other)}")
         return self.count(table)
 
-    def refresh_fact(self, df: DataFrame) -> int:
-        """Replace the fact. Rows come sorted by date, so that a task writes few months."""
-        stamped = df.withColumn("created_at", F.current_timestamp())
-        return self.refresh(stamped.withColumn("date_month", month_of_key(F.col("date_key"))), FACT_SALES)
+    def refresh(self, df: DataFrame, table: Table) -> int:
+        """Replace all rows."""
+        return self.publish(table, self.write_version(df, table))
+
+    # -- growth --------------------------------------------------------------------------------
+
+    def _stored_name(self, table: Table) -> str:
+        if table is DIM_DATE:
+            return self.name(table)
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()
+        return self.name(shown["value"])
 
     def append(self, df: DataFrame, table: Table) -> None:
         """Add rows, bound by column name."""
-        self.shaped(df, table).write.insertInto(self.name(table))
+        self._shaped(df, table).write.insertInto(self._stored_name(table))
 
     def absent_dates(self, days: DataFrame) -> DataFrame:
-        self.create_table(DIM_DATE)
         return absent_from(days, self.table(DIM_DATE), DIM_DATE.natural_key)
 
     def dates_with(self, days: DataFrame) -> DataFrame:
         """The date dimension as it will be once the days are added."""
-        absent = self.absent_dates(days)
-        return self.table(DIM_DATE).unionByName(absent)
+        return self.table(DIM_DATE).unionByName(self.absent_dates(days))
 
     def add_dates(self, days: DataFrame) -> int:
         """Add the days that are not there yet; days that are there stay untouched."""
@@ -78,6 +134,8 @@ class Warehouse:
         rejected.write.mode("overwrite").saveAsTable(name)
         return self.spark.table(name).count()
 
+    # -- reading -------------------------------------------------------------------------------
+
     def table(self, table: Table | str) -> DataFrame:
         return self.spark.table(self.name(table))
 

@@ -16,7 +16,7 @@ from sparkmart.operators.keys import dense_keys
 from sparkmart.plans import reports
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.calendar import date_dimension
-from sparkmart.schemas import DIM_DATE, FACT_SALES, TABLES as TABLES_OF_STAR, Rule
+from sparkmart.schemas import DIM_DATE, DIM_STORE, FACT_SALES, TABLES as TABLES_OF_STAR, Rule
 from sparkmart.sources import driver_tables
 from sparkmart.sources.extracts import extract_all
 from sparkmart.staging import Staging
@@ -260,3 +260,18 @@ def test_group_figures(spark, staging):
     figures = {"n": F.count("*"), "top": F.max("v")}
     rows = with_group_figures(df, ["k"], staging, "groups", **figures).orderBy("k", "v")
     assert [tuple(r) for r in rows.collect()] == [(1, 2, 2, 4), (1, 4, 2, 4), (2, 9, 1, 9)]
+
+
+def test_versions(spark, warehouse):
+    """An unfinished refresh is not seen; a finished one leaves a single version."""
+    stores = spark.createDataFrame([(1, *STORE)], DIM_STORE.ddl)
+    warehouse.create_database()
+    warehouse.create_schema()
+    assert warehouse.refresh(stores, DIM_STORE) == 1
+    warehouse.write_version(stores.withColumn("city", F.lit("other")), DIM_STORE)
+    assert [r.city for r in warehouse.table(DIM_STORE).collect()] == ["city"]
+    warehouse.append(stores.withColumn("city", F.lit("added")), DIM_STORE)
+    assert sorted(r.city for r in warehouse.table(DIM_STORE).collect()) == ["added", "city"]
+    assert warehouse.refresh(stores, DIM_STORE) == 1
+    names = [t.name for t in spark.catalog.listTables(warehouse.database)]
+    assert sum(name.startswith("dim_store_v") for name in names) == 1
