@@ -170,8 +170,9 @@ def star_schema(spark, sf_dir):
     """Creating the schema (and, before it, the database) again empties its tables."""
     source = build(spark, sf_dir).warehouse
     warehouse = _fresh_warehouse(spark)
-    tables = (DIM_DATE, DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE)
-    before = {t.name: warehouse.refresh(source.table(t), t) for t in tables}
+    before = {DIM_DATE.name: warehouse.add_dates(source.table(DIM_DATE))}
+    for table in (DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE):
+        before[table.name] = warehouse.refresh(source.table(table), table)
     warehouse.create_database()
     warehouse.create_schema()
     rows = [(name, count, warehouse.count(name)) for name, count in before.items()]
