@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,9 +19,12 @@ def stage_in_order(
     staging: Staging,
     name: str,
     figures: dict[str, Column] | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Range-partition, sort and write the rows, each with its position in that order.
 
+    The figures may be of columns that derive adds; those are neither shuffled nor written.
+
     The sort columns must identify a row. Range bounds come from a sample, but the order over all
     partitions, and with it the later numbering, does not depend on them.
     """
@@ -30,7 +33,8 @@ def stage_in_order(
         .sortWithinPartitions(*order_by)
         .withColumn(POSITION, F.monotonically_increasing_id())
     )
-    return staging.write(ordered, name, figures)
+    described = derive(ordered) if derive else ordered
+    return staging.write(described, name, figures, columns=ordered.columns)
 
 
 def number_rows(staged: DataFrame, key: str) -> DataFrame:

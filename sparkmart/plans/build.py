@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -136,27 +137,33 @@ class StarBuild:
         )
         return products, sales
 
-    def _stage(self, df: DataFrame, table: Table, order_by: list[str], key: str) -> DataFrame:
-        """Check, order and number the rows of one table."""
+    def _stage(
+        self,
+        df: DataFrame,
+        table: Table,
+        order_by: list[str],
+        derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> DataFrame:
+        """Check, order and number the rows of one table; derive adds columns that follow."""
         if self.on_violation == QUARANTINE:
             df, rejected = enforce(
-                df, table.rules, self.staging, f"{table.name}_checked", QUARANTINE
+                derive(df), table.rules, self.staging, f"{table.name}_checked", QUARANTINE
             )
             if rejected is not None:
                 self._rejected[table.name] = rejected
             staged, _ = stage_in_order(df, order_by, self.staging, table.name)
-        else:
-            staged, figures = stage_in_order(
-                df, order_by, self.staging, table.name, rule_counts(table.rules)
-            )
-            counts = broken_rules(figures)
-            if counts:
-                raise ConstraintViolation(table.name, counts)
-        return number_rows(staged, key)
+            return number_rows(staged, table.surrogate_key)
+        staged, figures = stage_in_order(
+            df, order_by, self.staging, table.name, rule_counts(table.rules), derive
+        )
+        counts = broken_rules(figures)
+        if counts:
+            raise ConstraintViolation(table.name, counts)
+        return derive(number_rows(staged, table.surrogate_key))
 
     def _stage_dimension(self, df: DataFrame, table: Table) -> None:
         """Write the keyed rows, unrounded; being stored, their size is known to lookups."""
-        keyed = self._stage(df, table, [table.natural_key], table.surrogate_key)
+        keyed = self._stage(df, table, [table.natural_key])
         self._keyed[table.name], _ = self.staging.write(keyed, f"{table.name}_keyed")
 
     def load(self) -> None:
@@ -172,8 +179,9 @@ class StarBuild:
             date=dates,
         )
         sales = self.cleaned["sales"]
-        rows = facts.fact_rows(sales.rows, dims)
-        fact = self._stage(rows, FACT_SALES, ["date_key", "order_id"], FACT_SALES.surrogate_key)
+        inputs = facts.fact_inputs(sales.rows, dims)
+        order_by = ["date_key", "order_id"]
+        fact = self._stage(inputs, FACT_SALES, order_by, facts.with_fact_measures)
         versions = together(
             warehouse.spark,
             {

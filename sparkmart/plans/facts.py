@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkmart.operators.joins import lookup
 from sparkmart.operators.quality import unmatched_keys
+from sparkmart.plans.transforms import with_measures
 
 
 @dataclass(frozen=True)
@@ -34,22 +35,23 @@ def resolve_keys(sales: DataFrame, dims: Dimensions) -> DataFrame:
     return lookup(keyed, dims.customer, "customer_id", ["customer_key"])
 
 
-def fact_rows(sales: DataFrame, dims: Dimensions) -> DataFrame:
-    """The fact's columns, still unrounded, with order_id to sort by."""
+def fact_inputs(sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """What the fact is made of. Half as wide as the fact: exact products are long numbers."""
     return resolve_keys(sales, dims).select(
-        "order_id",
-        "product_key",
-        "customer_key",
-        "store_key",
-        "date_key",
-        "quantity",
-        F.col("price").alias("unit_price"),
-        "revenue",
-        "cost",
-        "profit",
+        "order_id", "product_key", "customer_key", "store_key", "date_key",
+        "quantity", "price", "unit_cost",
     )
 
 
+def with_fact_measures(inputs: DataFrame) -> DataFrame:
+    return with_measures(inputs).withColumn("unit_price", F.col("price"))
+
+
+def fact_rows(sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """The fact's columns, still unrounded, with order_id to sort by."""
+    return with_fact_measures(fact_inputs(sales, dims)).drop("price", "unit_cost")
+
+
 def unresolved(sales: DataFrame, dims: Dimensions) -> DataFrame:
     """Per lookup, the number of sales without a match (a sale may miss several)."""
     lookups = [

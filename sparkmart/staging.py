@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -42,16 +43,20 @@ class Staging:
         name: str,
         figures: dict[str, Column] | None = None,
         keep: Column | None = None,
+        columns: Sequence[str] | None = None,
     ) -> tuple[DataFrame, dict[str, int]]:
         """Write df once; give it back read from storage, with the observed figures.
 
-        With keep, the figures are of all rows and only the rows it is true for are written.
+        The figures are of all rows and columns. With keep, only the rows it is true for are
+        written; with columns, only these.
         """
         observation = Observation()
         if figures:
             df = df.observe(observation, *[f.alias(n) for n, f in figures.items()])
         if keep is not None:
             df = df.where(keep)
+        if columns is not None:
+            df = df.select(*columns)
         path = self.path(name)
         df.write.parquet(path)
         staged = self.spark.read.schema(df.schema).parquet(path)
