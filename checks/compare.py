@@ -7,7 +7,10 @@ import datetime as dt
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events"
+    " documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
