@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import quality_rules
+from sparkmart.llm import line_dedup, quality_rules, warc
 from sparkmart.llm.common import table
+from sparkmart.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +95,65 @@ FROM figures
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition figures and verdicts of all documents."""
     return quality_rules.repetition(table(spark, sf_dir, "documents"), rules=RULES)
+
+
+BOILERPLATE = line_dedup.BoilerplateRules()
+
+
+@query(
+    "op8_line_dedup",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+lines AS (SELECT r, source, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
+bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS b FROM lines),
+totals AS (SELECT source, count(*) AS n_pages FROM d GROUP BY source),
+counts AS (SELECT source, b, count(DISTINCT r) AS n_with FROM bare WHERE b <> '' GROUP BY source, b),
+flagged AS (
+  SELECT counts.source, b, n_with > {BOILERPLATE.ratio} * n_pages AND n_with >= {BOILERPLATE.min_pages} AS drop_it
+  FROM counts JOIN totals ON counts.source IS NOT DISTINCT FROM totals.source),
+kept AS (
+  SELECT r, count(*) AS n_lines, count_if(coalesce(drop_it, false)) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT coalesce(drop_it, false)), '') AS text
+  FROM bare LEFT JOIN flagged
+    ON bare.source IS NOT DISTINCT FROM flagged.source AND bare.b = flagged.b
+  GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, CASE WHEN d.text IS NOT NULL THEN sha256(kept.text) END AS kept_sha256
+FROM d LEFT JOIN kept ON kept.r = d.r
+""",
+)
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their source's boilerplate lines; the kept text as a digest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    cut = line_dedup.drop_boilerplate(docs, F.col("source"), rules=BOILERPLATE)
+    return cut.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+BASE32_SQL = " || ".join(
+    f"substr('{warc.BASE32}', 1 + ((('0x' || substr(h, {5 * k + 1}, 5))::BIGINT >> {shift}) & 31)::INTEGER, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+
+@query(
+    "op2_warc_revisits",
+    f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first_id FROM p GROUP BY payload)
+SELECT page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes, {BASE32_SQL} AS payload_digest,
+       CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id
+            THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p JOIN firsts ON p.payload = firsts.payload
+""",
+)
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to deduplicated archives and read back from them."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = warc.archive_pages(pages, Staging(spark).folder)
+    return warc.read_archives(spark, path).drop("url")
