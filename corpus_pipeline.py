@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm import quality_rules
+from sparkmart.llm.common import ship, shipping
 from sparkmart.staging import Staging
 
 
@@ -16,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality rules", quality),
+    ("quality rules", shipping(quality)),
 ]
 
 #: Near-duplicate classes and best-fit packing can't be stated in SQL; tests/llm has the brute force.
@@ -25,6 +26,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
+    ship(spark)
     staging = Staging(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):

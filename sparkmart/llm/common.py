@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +18,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark application."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        _SHIPPED.add(application)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        copy = os.path.join(tempfile.mkdtemp(), "code")
+        shutil.copytree(package, os.path.join(copy, "sparkmart"), ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(copy, f"sparkmart-{application}"), "zip", copy, "sparkmart"))
+
+
+def shipping(function: Callable) -> Callable:
+    """A function of (spark, ...) that first sees to it that the workers have this package."""
+
+    @wraps(function)
+    def run(spark: SparkSession, *args, **kwargs):
+        ship(spark)
+        return function(spark, *args, **kwargs)
+
+    return run
+
+
 def staged(df: DataFrame, name: str, staging: Staging | None = None) -> DataFrame:
     """df written once into the shared folder and read back: its lineage ends there."""
     staging = staging or Staging(df.sparkSession)

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from sparkmart.llm import line_dedup, quality_rules, warc
 from sparkmart.llm.decontaminate import Decontaminator
-from sparkmart.llm.common import table
+from sparkmart.llm.packing import Capacities, pack, tokenized
+from sparkmart.llm.common import shipping, table
 from sparkmart.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +23,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        QUERIES[name] = shipping(function)
         if sql is not None:
             ORACLES[name] = sql.strip()
         return function
@@ -191,3 +194,19 @@ FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN named ON named.r = d.r
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     return Decontaminator(table(spark, sf_dir, "benchmark")).measure(table(spark, sf_dir, "documents"))
+
+
+ROOM = Capacities()
+
+
+def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """All documents tokenized, cut and packed."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as model:
+        pieces = tokenized(docs, spark.sparkContext.broadcast(model.read()), ROOM.tokens)
+    return pack(pieces, ROOM)
+
+
+@query("op4_best_fit_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of at most 4096 tokens as the packing finds."""
+    return packed(spark, table(spark, sf_dir, "documents"))
