@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sparkmart.llm import line_dedup, quality_rules, warc
+from sparkmart.llm import line_dedup, quality_rules, secret_scan, warc
 from sparkmart.llm.decontaminate import Decontaminator
 from sparkmart.llm.packing import Capacities, pack, tokenized
 from sparkmart.llm.common import shipping, table
@@ -210,3 +210,58 @@ def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in as few sequences of at most 4096 tokens as the packing finds."""
     return packed(spark, table(spark, sf_dir, "documents"))
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+SECRETS_SQL = "\nUNION ALL\n".join(
+    f"""SELECT r, {number} AS number, '{rule.kind}' AS kind,
+       unnest(range(len(regexp_extract_all(text, {quoted(rule.pattern)})))) AS i,
+       unnest(string_split_regex(text, {quoted(rule.pattern)})[:len(regexp_extract_all(text, {quoted(rule.pattern)}))]) AS gap,
+       unnest(regexp_extract_all(text, {quoted(rule.pattern)})) AS hit,
+       unnest(regexp_extract_all(text, {quoted(rule.pattern)}, {rule.group})) AS value, {rule.least} AS least
+FROM d"""
+    for number, rule in enumerate(secret_scan.RULES)
+)
+
+
+@query(
+    "op7_secret_scan",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({SECRETS_SQL}),
+spans AS (
+  SELECT r, number, kind, value, least, sum(length(gap) + length(hit)) OVER upto AS stop,
+         sum(length(gap) + length(hit)) OVER upto - length(hit) AS start
+  FROM hits WINDOW upto AS (PARTITION BY r, number ORDER BY i)),
+long AS (SELECT r, number, kind, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span
+         FROM spans WHERE length(value) >= least),
+found AS (
+  SELECT r, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, number) FILTER (number < 3) AS base,
+         string_agg(span, ',' ORDER BY start, number) AS spans
+  FROM long GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN found ON found.r = d.r
+""",
+)
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of secrets in all documents."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        named = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(named, ",")
+
+    base = F.filter("spans", lambda s: s["number"] < len(secret_scan.BASE_RULES))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
