@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sparkmart.llm import chat, line_dedup, quality_rules, secret_scan, warc
+from sparkmart.llm import chat, line_dedup, quality_rules, secret_scan, toxicity, warc
 from sparkmart.llm.decontaminate import Decontaminator
 from sparkmart.llm.packing import Capacities, pack, tokenized
 from sparkmart.llm.common import shipping, table
@@ -295,3 +295,13 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     formatted, _ = staging.write(chat.format_conversations(rows.unionByName(hostile), staging=staging), "formatted")
     return chat.read_back(formatted).drop("rewrites")
+
+
+@query("op6_toxicity")
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages")
+    )
