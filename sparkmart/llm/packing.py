@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +34,10 @@ from sparkmart.llm.common import columns, slices, texts_of
 from sparkmart.staging import Staging
 
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
+#: What str.split() takes for white space and the tokenizer doesn't.
+ODD = re.compile(r"[\x1C-\x1F]")
+#: Beyond these characters, folding case or composing marks may depend on the library.
+NOT_LATIN = re.compile(r"[^\x00-\u024F]")
 #: Marks that end a word and are tokens of their own behind a letter or digit.
 TAIL = ".,;:!?#*$%&|)\""
 #: Words whose ids a worker keeps; beyond, it starts anew.
@@ -43,15 +48,21 @@ class WordCache:
     """Token ids of a text, from those of its white-space separated words, which a worker keeps.
 
     Right for tokenizers that fold case, drop white space and never merge across it or between
-    letters and marks. Words of letters only are encoded many at a time; the tokens that end a
-    word tell them apart.
+    letters and marks. A word is taken as a stem and the marks behind it. Stems of Latin letters
+    are encoded many at a time, folded already; the tokens that end a word tell them apart. All
+    other stems go through the whole tokenizer one by one.
     """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.of_letters = Tokenizer.from_str(model)
+        self.of_letters.normalizer = None
+        self.of_letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -61,50 +72,65 @@ class WordCache:
         self.stems: dict[str, bytes] = {}
 
     def _one_by_one(self, stems: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)
-        self.stems.update((s, np.array(f.ids, "<u4").tobytes()) for s, f in zip(stems, found))
-
-    def _encode_stems(self, stems: list[str]) -> None:
-        plain = [s for s in stems if s.isalpha()]
-        other = [s for s in stems if not s.isalpha()]
-        for k in range(0, len(other), 1000):
-            self._one_by_one(other[k : k + 1000])
-        for k in range(0, len(plain), 1000):
-            some = plain[k : k + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(ends) != len(some):  # a letter that is folded to several marks
+        for k in range(0, len(stems), 1000):
+            found = self.tokenizer.encode_batch_fast(stems[k : k + 1000], add_special_tokens=False)
+            self.stems.update((s, np.array(f.ids, "<u4").tobytes()) for s, f in zip(stems[k:], found))
+
+    def _of_letters(self, stems: list[str]) -> None:
+        for k in range(0, len(stems), 1000):
+            some = stems[k : k + 1000]
+            found = self.of_letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(some):
                 self._one_by_one(some)
                 continue
-            packed, at = ids.tobytes(), 0
-            for stem, end in zip(some, ends.tolist()):
-                self.stems[stem] = packed[at:end]
-                at = end
+            packed = ids.tobytes()
+            self.stems.update((s, packed[a:b]) for s, a, b in zip(some, [0, *ends], ends))
+
+    def _learn(self, new: list[str]) -> None:
+        """Put words into the cache."""
+        if not new:
+            return
+        known = self.stems
+        stems = [w.rstrip(TAIL) for w in new]
+        joined = "\n".join(stems)
+        if NOT_LATIN.search(joined) or not unicodedata.is_normalized("NFC", joined):
+            latin = [not NOT_LATIN.search(s) and unicodedata.is_normalized("NFC", s) for s in stems]
+            folded = [s.lower() if ok else s for s, ok in zip(stems, latin)]
+            letters = [ok and s.isalpha() for s, ok in zip(folded, latin)]
+        else:
+            folded = joined.lower().split("\n")
+            letters = [s.isalpha() for s in folded]
+        odd = []
+        for k, plain in enumerate(letters):
+            if not plain:
+                odd.append(k)
+                if not stems[k] or not stems[k][-1].isalnum():  # what is left isn't a stem with marks behind it
+                    stems[k] = new[k]
+                folded[k] = stems[k]
+        self._of_letters(list({s for s, plain in zip(folded, letters) if plain and s not in known}))
+        tails = {w[len(s) :] for w, s in zip(new, stems)} - {""}
+        self._one_by_one([s for s in {folded[k] for k in odd} | tails if s not in known])
+        known[""] = b""
+        self.words.update(
+            (w, known[f] if len(w) == len(s) else known[f] + known[w[len(s) :]]) for w, s, f in zip(new, stems, folded)
+        )
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.words) > KNOWN_WORDS or len(self.stems) > KNOWN_WORDS:
             self.words.clear()
             self.stems.clear()
-        split = [WHITE.split(t) for t in texts]
-        words, parts, needed = self.words, {}, set()
-        for word in {w for some in split for w in some if w not in words}:
-            stem = word.rstrip(TAIL)
-            if not stem or not stem[-1].isalnum():
-                stem = word
-            tail = word[len(stem) :]
-            stem = stem.lower() if stem.isascii() and "|>" not in stem else stem
-            parts[word] = (stem, tail)
-            needed.update(x for x in (stem, tail) if x and x not in self.stems)
-        self._encode_stems(list(needed))
-        stems = self.stems
-        for word, (stem, tail) in parts.items():
-            ids = stems[stem] if stem else b""
-            words[word] = ids + stems[tail] if tail else ids
-        found = [b"".join([words[w] for w in some]) for some in split]
-        for word in [w for w in parts if len(w) > 64]:  # rare, and they would fill the memory
+        split = [WHITE.split(t) if ODD.search(t) else t.split() for t in texts]
+        words = self.words
+        new = list(set().union(*split).difference(words))
+        self._learn(new)
+        found = [b"".join(map(words.__getitem__, some)) for some in split]
+        for word in [w for w in new if len(w) > 64]:  # rare, and they would fill the memory
             del words[word]
-            stems.pop(parts[word][0], None)
+            for part in (word, word.rstrip(TAIL), word.rstrip(TAIL).lower()):
+                self.stems.pop(part, None)
         return found
 
 
