@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sparkmart.llm import chat, line_dedup, quality_rules, secret_scan, toxicity, warc
+from sparkmart.llm import chat, line_dedup, order_minhash, quality_rules, secret_scan, toxicity, warc
 from sparkmart.llm.decontaminate import Decontaminator
 from sparkmart.llm.packing import Capacities, pack, tokenized
 from sparkmart.llm.common import shipping, table
@@ -305,3 +305,10 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages")
     )
+
+
+@query("op9_order_minhash")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their class of near-duplicates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.classes(docs).select("doc_id", "class_id", "class_size")

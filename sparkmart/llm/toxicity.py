@@ -47,7 +47,7 @@ BROADCAST_LABELS = 2_000_000
 @dataclass(frozen=True)
 class Settings:
     least_texts: int = 5  # toxic texts that a scored word is in
-    least_score: float = 2.5
+    least_score: float = 2.0
     support: int = 20  # texts that an exception to a prefix is in
     confidence: float = 1.64
     neutral: float = 1.0  # what a word without a score costs
