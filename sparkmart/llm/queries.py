@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sparkmart.llm import chat, line_dedup, order_minhash, quality_rules, secret_scan, toxicity, warc
+from sparkmart.llm import (
+    chat,
+    line_dedup,
+    order_minhash,
+    quality_rules,
+    repeats,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from sparkmart.llm.decontaminate import Decontaminator
 from sparkmart.llm.packing import Capacities, pack, tokenized
 from sparkmart.llm.common import shipping, table
@@ -312,3 +321,31 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their class of near-duplicates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return order_minhash.classes(docs).select("doc_id", "class_id", "class_size")
+
+
+@query(
+    "op10_repeated_passages",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+                  strlen(coalesce(text, '')) AS n FROM documents),
+places AS (SELECT r, doc_id, h, n, unnest(range(n)) AS p FROM d),
+windows AS (SELECT r, doc_id, p, substr(h, 2 * p + 1, {2 * repeats.WINDOW}) AS w
+            FROM places WHERE p + {repeats.WINDOW} <= n),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+hit AS (SELECT r, p FROM windows JOIN firsts ON windows.w = firsts.w WHERE doc_id > first),
+marked AS (
+  SELECT places.r, places.p, substr(h, 2 * places.p + 1, 2) AS byte,
+         max(hit.p) OVER (PARTITION BY places.r ORDER BY places.p ROWS BETWEEN {repeats.WINDOW - 1} PRECEDING
+                          AND CURRENT ROW) IS NOT NULL AS gone
+  FROM places LEFT JOIN hit ON hit.r = places.r AND hit.p = places.p),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS begins FROM marked),
+cut AS (SELECT r, count_if(gone) AS n_removed, count_if(begins) AS n_spans,
+               string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS kept FROM runs GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.r = d.r
+""",
+)
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that documents with smaller ids have."""
+    return repeats.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
