@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkmart.llm import quality_rules
-from sparkmart.llm.common import ship, shipping
+from sparkmart.llm import line_dedup, order_minhash, quality_rules
+from sparkmart.llm.common import ship, shipping, table
+from sparkmart.llm.decontaminate import Decontaminator
+from sparkmart.llm.queries import packed
 from sparkmart.staging import Staging
 
 
@@ -16,8 +19,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that too many documents of a source share go. A document that has no other lines
+    stays as it is: whether it is a copy is for the next stage to say."""
+    cut = line_dedup.drop_boilerplate(docs, F.col("source"), keep_emptied=True).select(*docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays: that with the smallest id."""
+    return order_minhash.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark contaminates go."""
+    return Decontaminator(table(spark, sf_dir, "benchmark")).clean(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, tokenized and packed into sequences."""
+    return packed(spark, docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", shipping(quality)),
+    ("line dedup", shipping(lines)),
+    ("near-duplicates", shipping(near_duplicates)),
+    ("decontamination", shipping(decontaminated)),
+    ("packing", shipping(packing)),
 ]
 
 #: Near-duplicate classes and best-fit packing can't be stated in SQL; tests/llm has the brute force.
@@ -28,7 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     ship(spark)
     staging = Staging(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES[:-1]):
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs, _ = staging.write(stage(spark, docs, sf_dir), f"stage-{k}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return docs

@@ -328,13 +328,14 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
                   strlen(coalesce(text, '')) AS n FROM documents),
-places AS (SELECT r, doc_id, h, n, unnest(range(n)) AS p FROM d),
-windows AS (SELECT r, doc_id, p, substr(h, 2 * p + 1, {2 * repeats.WINDOW}) AS w
-            FROM places WHERE p + {repeats.WINDOW} <= n),
-firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
-hit AS (SELECT r, p FROM windows JOIN firsts ON windows.w = firsts.w WHERE doc_id > first),
+places AS (
+  SELECT r, doc_id, p, substr(h, 2 * p + 1, 2) AS byte,
+         CASE WHEN p + {repeats.WINDOW} <= n THEN md5(substr(h, 2 * p + 1, {2 * repeats.WINDOW})) END AS w
+  FROM (SELECT r, doc_id, h, n, unnest(range(n)) AS p FROM d)),
+firsts AS (SELECT w, min(doc_id) AS first FROM places WHERE w IS NOT NULL GROUP BY w),
+hit AS (SELECT r, p FROM places JOIN firsts ON places.w = firsts.w WHERE doc_id > first),
 marked AS (
-  SELECT places.r, places.p, substr(h, 2 * places.p + 1, 2) AS byte,
+  SELECT places.r, places.p, byte,
          max(hit.p) OVER (PARTITION BY places.r ORDER BY places.p ROWS BETWEEN {repeats.WINDOW - 1} PRECEDING
                           AND CURRENT ROW) IS NOT NULL AS gone
   FROM places LEFT JOIN hit ON hit.r = places.r AND hit.p = places.p),
