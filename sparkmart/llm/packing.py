@@ -106,7 +106,7 @@ class WordCache:
         for k, plain in enumerate(letters):
             if not plain:
                 odd.append(k)
-                if not stems[k] or not stems[k][-1].isalnum():  # what is left isn't a stem with marks behind it
+                if not stems[k].lower()[-1:].isalnum():  # what is left isn't a stem with marks behind it
                     stems[k] = new[k]
                 folded[k] = stems[k]
         self._of_letters(list({s for s, plain in zip(folded, letters) if plain and s not in known}))
