@@ -21,7 +21,7 @@ equal results. An empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
 LAST_ID = (1 << 63) - 1
 
 #: Bytes of text whose anchors make up a bucket, more or less.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 #: Row keys (8 bytes) up to this number are broadcast to select texts.
 BROADCAST_KEYS = 1_000_000
 
@@ -211,6 +211,25 @@ def shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
     return dealt.mapInArrow(run, "name BIGINT, hash BIGINT")
 
 
+class _Firsts:
+    """Members with the smallest id by key; what turns out to have a larger one is handed on."""
+
+    def __init__(self, later: Callable[[tuple], None], id_at: int):
+        self.of: dict[tuple, list[tuple]] = {}
+        self.later, self.id_at = later, id_at
+
+    def add(self, key: tuple, now: tuple) -> None:
+        members = self.of.setdefault(key, [])
+        if not members or members[0][self.id_at] == now[self.id_at]:
+            members.append(now)
+        elif members[0][self.id_at] < now[self.id_at]:
+            self.later(now)
+        else:
+            for x in members:
+                self.later(x)
+            self.of[key] = [now]
+
+
 def contexts(texts: DataFrame) -> DataFrame:
     """From (row, id, text, hashes): around each of these anchors the bytes of all its windows
     (kind 0), and windows that a smaller id of the slice has in an equal context (kind 1)."""
@@ -231,19 +250,14 @@ def contexts(texts: DataFrame) -> DataFrame:
         for k, wanted in enumerate(part.column(3)):
             a, b = bounds[k], bounds[k + 1]
             keep[a:b] = np.isin(short[a:b], wanted.values.to_numpy())
-        least: dict[tuple[bytes, int], tuple] = {}
         out: list[tuple] = []
+        found_in = _Firsts(lambda x: out.append((1, x[1], x[2], x[3], x[4], x[5], None, None)), 2)
         for k, place, start, end, own in zip(*[found[n][keep].tolist() for n in ("text", "place", "start", "end", "hash")]):
             own = own - (1 << 64) if own >= 1 << 63 else own
-            now = (0, own, ids[k], rows[k], start, end, place - start, texts[k][start : end + WINDOW])
-            key = (now[7], now[6])
-            first = least.setdefault(key, now)
-            if first is not now:
-                if first[2] > now[2]:
-                    least[key], first, now = now, now, first
-                if first[2] < now[2]:
-                    out.append((1, now[1], now[2], now[3], now[4], now[5], None, None))
-        out += least.values()
+            text = texts[k][start : end + WINDOW]
+            found_in.add((text, place - start), (0, own, ids[k], rows[k], start, end, place - start, text))
+        for members in found_in.of.values():
+            out += members
         kinds = (pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.binary())
         for k in range(0, len(out), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[k : k + 50_000]), kinds)], names)
@@ -299,24 +313,20 @@ def covered_windows(gathered: DataFrame) -> DataFrame:
 
     def settle(group: list[tuple]) -> Iterator[tuple[int, int, int]]:
         """group: (id, row, start, end, before, bytes)."""
-        firsts: dict[tuple[bytes, int], tuple] = {}
+        done: list[tuple[int, int, int]] = []
+        firsts = _Firsts(lambda x: done.append(x[1:4]), 0)
         for now in group:
-            key = (now[5], now[4])
-            first = firsts.setdefault(key, now)
-            if first is not now:
-                if first[0] > now[0]:
-                    firsts[key], first, now = now, now, first
-                if first[0] < now[0]:
-                    yield now[1], now[2], now[3]
-        if len(firsts) == 1:
+            firsts.add((now[5], now[4]), now)
+        yield from done
+        if len(firsts.of) == 1:
             return
-        entries = list(firsts.values())
-        for members, _, _, low, high in maximal_repeats([(e[5], e[4]) for e in entries]):
-            least = min(entries[k][0] for k in members)
+        same = list(firsts.of.values())
+        for members, _, _, low, high in maximal_repeats([(e[0][5], e[0][4]) for e in same]):
+            least = min(same[k][0][0] for k in members)
             for k in members:
-                if entries[k][0] > least:
-                    place = entries[k][2] + entries[k][4]  # of the anchor
-                    yield entries[k][1], place - high + 1, place - low
+                if same[k][0][0] > least:
+                    for _, row, start, _, before, _ in same[k]:
+                        yield row, start + before - high + 1, start + before - low
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_, group, out = None, [], []
