@@ -21,7 +21,6 @@ items, no document is contaminated; an empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,16 +31,16 @@ from pyspark.sql import DataFrame
 
 from sparkmart.llm.common import columns, per_slice, texts_of
 
-#: What a word is, and the letters that are folded.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bytes that are no part of a word, once A-Z are folded: ASCII but for digits and letters. Those
+#: of other characters in UTF-8 are all words'.
+_APART = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 #: Characters of item texts that are sent to the tasks at once.
 BLOCK_CHARS = 8 << 20
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.translate(FOLD))
+def words_of(text: str) -> list[bytes]:
+    return text.encode().lower().translate(_APART).split()  # bytes.lower() folds A-Z alone
 
 
 @dataclass
@@ -49,7 +48,7 @@ class Block:
     """Test items as word numbers, one after the other, with a separator (-1) behind each."""
 
     items: list
-    vocabulary: dict[str, int]
+    vocabulary: dict[bytes, int]
     words: np.ndarray
     starts: np.ndarray  # of the windows
     lengths: np.ndarray  # of the windows
@@ -57,7 +56,7 @@ class Block:
 
     @classmethod
     def of(cls, rows: list[tuple], window: int) -> Block:
-        vocabulary: dict[str, int] = {}
+        vocabulary: dict[bytes, int] = {}
         words: list[int] = []
         starts, lengths, owners, items = [], [], [], []
         for item, text in rows:
@@ -77,7 +76,7 @@ class Block:
 class Shard:
     """The words of some texts and the suffix array of the suffixes that can match a block."""
 
-    def __init__(self, texts: list[list[str]], block: Block, depth: int):
+    def __init__(self, texts: list[list[bytes]], block: Block, depth: int):
         self.bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
         self.words = np.full(int(self.bounds[-1]) + depth, -2, np.int64)  # -2: ends and other words
         find = block.vocabulary.get
@@ -191,7 +190,7 @@ class Decontaminator:
         self.id_type = benchmark.schema[item_id].dataType.simpleString()
         self.blocks = [context.broadcast(b) for b in blocks_of(benchmark, item_id, item_text, block_chars)]
 
-    def _hits(self, texts: list[list[str]]) -> tuple[np.ndarray, list[set]]:
+    def _hits(self, texts: list[list[bytes]]) -> tuple[np.ndarray, list[set]]:
         """Hit words and the set of items with occurring windows, for each text."""
         blocks, window, name = self.blocks, self.window, self.name
         bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
@@ -211,7 +210,7 @@ class Decontaminator:
         sums = np.concatenate([[0], np.cumsum(hit)])
         return sums[bounds[1:]] - sums[bounds[:-1]], items
 
-    def _judged(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, list[set], np.ndarray]:
+    def _judged(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set], np.ndarray]:
         n_words = np.array([len(t) for t in texts], np.int64)
         n_hit, items = self._hits(texts)
         return n_words, n_hit, items, (n_hit > 0) & (self.ratio * n_hit >= n_words)

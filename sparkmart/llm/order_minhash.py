@@ -10,11 +10,14 @@ the threshold, a and b being their numbers of shingles. The alignment is a longe
 subsequence inside the band of diagonals that this similarity allows, taken bit-parallel.
 
 Equal texts are one text from the start. In a bucket, all members are compared with its leader,
-not with each other: that is linear in its size, and links copies of one original through it.
-Members that the leader doesn't align with lead in later rounds, against the whole bucket, first
-one per bucket and round, then all that are left; so every member is linked to its bucket's
-leaders or has been compared with everything in it. Classes are the connected components, found by
-alternating star contractions on staged edges. Nothing but counts comes to the driver.
+not with each other: that is linear in its size. The leader is the member whose buckets hold most
+texts, as an original's do among its copies. Buckets with several classes are looked at again:
+their members are put into finer buckets, of two sketches together, led first as before and then
+by the members that no leader aligned with. What then still waits is compared with each other
+where four sketches agree: texts at the threshold still meet there, while unlike copies of one
+original, which a coarse bucket is full of, hardly do.
+Classes are the connected components, found by alternating star contractions on staged edges.
+Nothing but counts comes to the driver.
 
 A null text is empty; texts without words are linked to equal ones only, texts of fewer than five
 words are one shingle. The class is named by its smallest doc_id (null if it has none but null).
@@ -43,8 +46,15 @@ THRESHOLD = 0.8
 SKETCHES, TAKEN = 16, 3
 #: Keys of texts (16 bytes) up to this number are broadcast to fetch the texts.
 BROADCAST_KEYS = 1_000_000
-#: Rounds with one new leader per bucket, before all that is left leads.
-SINGLE_ROUNDS = 3
+#: Sketches that together make a finer bucket, and a finest.
+PAIRED = [(i, (i + a) % SKETCHES) for a in (1, 3, 7) for i in range(SKETCHES)]
+FOURS = [
+    (i, (i + a) % SKETCHES, (i + b) % SKETCHES, (i + c) % SKETCHES)
+    for a, b, c in ((1, 2, 3), (1, 4, 6), (2, 5, 9), (3, 7, 12), (1, 5, 10), (2, 6, 13))
+    for i in range(SKETCHES)
+]
+#: Rounds with one new leader per finer bucket, before all that waits is compared.
+SINGLE_ROUNDS = 2
 
 
 def text_key(text: Column) -> Column:
@@ -59,18 +69,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 _SEEDS = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_WORDS: dict[str, int] = {}
+_WORDS: dict[bytes, int] = {}
 
 
-def shingle_hashes(words: list[str]) -> np.ndarray:
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash per shingle, in text order."""
     known = _WORDS
-    if len(known) > 500_000:
+    if len(known) > 100_000:
         known.clear()
     for word in words:
         if word not in known:
-            known[word] = xxhash.xxh64_intdigest(word)
-    hashes = np.array([known[w] for w in words], np.uint64)
+            known[word] = xxhash.xxh64_intdigest(word) - (1 << 63)  # fits a signed number
+    hashes = np.array([known[w] for w in words], np.int64).view(np.uint64)
     n = min(SHINGLE, len(words))
     if not n:
         return hashes
@@ -96,8 +106,12 @@ def sketches(shingles: np.ndarray, count: int = SKETCHES, taken: int = TAKEN) ->
         return np.zeros(0, np.uint64)
     own = labelled(shingles)
     taken = min(taken, len(own))
-    ranks = _mix(own[None, :] ^ _SEEDS[:count, None])
-    least = np.sort(np.argpartition(ranks, taken - 1, axis=1)[:, :taken], axis=1)  # in text order
+    ranks = (own[None, :] ^ _SEEDS[:count, None]) * (_SEEDS[30 : 30 + count, None] | np.uint64(1))
+    least, every = np.empty((count, taken), np.int64), np.arange(count)
+    for k in range(taken):
+        least[:, k] = ranks.argmin(axis=1)
+        ranks[every, least[:, k]] = np.uint64((1 << 64) - 1)
+    least.sort(axis=1)  # in text order
     keys = _SEEDS[100 : 100 + count].copy()
     for k in range(taken):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + own[least[:, k]])
@@ -147,25 +161,24 @@ def _aligned(a: list, b: list, band: int) -> int:
     return len(b) - row.bit_count()
 
 
-def bucket_members(docs: DataFrame, text_col: str) -> DataFrame:
-    """(bucket, t, n): each different text in the buckets of its sketches; n shingles."""
+def sketched(docs: DataFrame, text_col: str) -> DataFrame:
+    """(t, n, keys): of each different text its key, number of shingles and sketches; texts
+    without words have none and are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_col):
-                keys, owners, sizes = [], [], []
+                rows = []
                 for text in set(texts_of(part, text_col)):
                     shingles = shingle_hashes(words_of(text))
-                    found = sketches(shingles)
-                    keys.append(found)
-                    owners += [hashlib.md5(text.encode()).digest()] * len(found)
-                    sizes += [len(shingles)] * len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(owners, pa.binary()), pa.array(sizes, pa.int64())],
-                    ["bucket", "t", "n"],
-                )
+                    if len(shingles):
+                        keys = sketches(shingles).view(np.int64).tolist()
+                        rows.append((hashlib.md5(text.encode()).digest(), len(shingles), keys))
+                if rows:
+                    kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["t", "n", "keys"])
 
-    return docs.mapInArrow(run, "bucket BIGINT, t BINARY, n BIGINT")
+    return docs.select(text_col).mapInArrow(run, "t BINARY, n BIGINT, keys ARRAY<BIGINT>").dropDuplicates(["t"])
 
 
 def aligned_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -174,13 +187,13 @@ def aligned_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, shingles = None, None
         for batch in batches:
-            t, u, texts, others = (c.to_pylist() for c in batch.columns)
-            good = []
-            for text, name, other in zip(texts, u, others):
-                if name != last:  # pairs come by leader
-                    last, shingles = name, shingle_hashes(words_of(other))
-                good.append(similarity(shingle_hashes(words_of(text)), shingles, threshold) >= threshold)
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            for part in slices(batch, "text"):
+                good = []
+                for name, text, other in zip(*[part.column(k) for k in (1, 2, 3)]):
+                    if name != last:  # pairs come by leader
+                        last, shingles = name, shingle_hashes(words_of(other.as_py()))
+                    good.append(similarity(shingle_hashes(words_of(text.as_py())), shingles, threshold) >= threshold)
+                yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return pairs.select("t", "u", "text", "other").mapInArrow(run, "t BINARY, u BINARY")
 
@@ -200,57 +213,103 @@ class Texts:
         return self.staging.write(self.docs.join(keys, "t", "left_semi").dropDuplicates(["t"]), f"{name}-texts")[0]
 
 
-def links(
-    docs: DataFrame,
-    text_col: str,
-    threshold: float,
-    staging: Staging,
-    broadcast_keys: int = BROADCAST_KEYS,
-    single_rounds: int = SINGLE_ROUNDS,
-) -> DataFrame:
-    """(t, u): keys of different texts that align, enough of them to connect each class."""
-    texts = Texts(docs, text_col, staging, broadcast_keys)
-    members, _ = staging.write(bucket_members(docs, text_col).dropDuplicates(["bucket", "t"]), "buckets")
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members, _ = staging.write(members.join(sizes.select("bucket"), "bucket"), "full-buckets")
-    waiting = members  # who has not been led or a leader yet, by bucket
-    found, tried = None, None
-    for turn in range(single_rounds + 1):
-        if turn < single_rounds:
-            leaders = waiting.groupBy("bucket").agg(F.min(F.struct("t", "n")).alias("first"))
-            leaders = leaders.select("bucket", F.col("first.t").alias("u"), F.col("first.n").alias("m"))
-        else:
-            leaders = waiting.select("bucket", F.col("t").alias("u"), F.col("n").alias("m"))
-        led = members.join(leaders, "bucket").where("t <> u")
-        close = F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m")
-        # A pair is tried once, whichever of the two leads.
+class Linking:
+    """Pairs that have been tried, links found and the classes they make so far."""
+
+    def __init__(self, docs: DataFrame, text_col: str, threshold: float, staging: Staging, broadcast_keys: int):
+        self.texts = Texts(docs, text_col, staging, broadcast_keys)
+        self.threshold, self.staging = threshold, staging
+        self.found = self.tried = self.roots = None
+        self.turn = 0
+
+    def rooted(self, members: DataFrame) -> DataFrame:
+        """members with the root of each one's class."""
+        if self.roots is None:
+            return members.withColumn("root", F.col("t"))
+        return members.join(self.roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+
+    def mixed(self, members: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """The members, with their roots, of the buckets that hold several classes."""
+        members, _ = self.staging.write(self.rooted(members), f"{name}-rooted")
+        several = members.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+        members, seen = self.staging.write(members.join(several.select("bucket"), "bucket"), name, {"n": F.count(F.lit(1))})
+        return members, seen["n"]
+
+    def compare(self, led: DataFrame) -> None:
+        """Align the texts t and u (of n and m shingles) of each row that have not been yet."""
+        close = F.least("n", "m") >= F.lit(self.threshold) * F.greatest("n", "m")
         pairs = led.where(close).select(F.least("t", "u").alias("t"), F.greatest("t", "u").alias("u")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["t", "u"], "left_anti")
-        pairs, seen = staging.write(pairs, f"pairs-{turn}", {"n": F.count(F.lit(1))})
+        if self.tried is not None:
+            pairs = pairs.join(self.tried, ["t", "u"], "left_anti")
+        pairs, seen = self.staging.write(pairs, f"pairs-{self.turn}", {"n": F.count(F.lit(1))})
         if seen["n"]:
-            own = texts.of(pairs, f"round-{turn}")
+            own = self.texts.of(pairs, f"turn-{self.turn}")
             named = own.select(F.col("t").alias("u"), F.col("text").alias("other"))
             both = pairs.join(own, "t").join(named, "u")
-            good, _ = staging.write(aligned_pairs(both, threshold), f"links-{turn}")
-            found = good if found is None else found.unionByName(good)
-            tried = pairs if tried is None else tried.unionByName(pairs)
-        if turn == single_rounds:
-            break
-        # Who aligned with the bucket's leader is led; the leader itself is done.
-        done = leaders.select("bucket", F.col("u").alias("t"))
-        if found is not None:
-            either = found.unionByName(found.select(F.col("u").alias("t"), F.col("t").alias("u")))
-            done = done.unionByName(led.join(either, ["t", "u"], "left_semi").select("bucket", "t"))
-        waiting, seen = staging.write(waiting.join(done, ["bucket", "t"], "left_anti"), f"waiting-{turn}", {"n": F.count(F.lit(1))})
-        if not seen["n"]:
-            break
-    if found is None:
-        found = members.select("t", F.col("t").alias("u")).where("false")
-    return found
+            good, linked = self.staging.write(aligned_pairs(both, self.threshold), f"links-{self.turn}", {"n": F.count(F.lit(1))})
+            self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+            if linked["n"]:
+                self.found = good if self.found is None else self.found.unionByName(good)
+                self.roots = components(self.found, self.staging, f"classes-{self.turn}")
+        self.turn += 1
+
+
+def leaders_of(members: DataFrame) -> DataFrame:
+    """The heaviest member of each bucket."""
+    first = members.groupBy("bucket").agg(F.min(F.struct(-F.col("weight"), "t", "n", "root")).alias("first"))
+    return first.select("bucket", F.col("first.t").alias("u"), F.col("first.n").alias("m"), F.col("first.root").alias("leading"))
+
+
+def together_in(every: DataFrame, members: DataFrame, groups: list[tuple[int, ...]]) -> DataFrame:
+    """The members' texts in buckets of several sketches each."""
+    keys = F.array(*[F.xxhash64(F.lit(k), *[F.col("keys")[i] for i in g]) for k, g in enumerate(groups)])
+    texts = members.select("t", "weight").distinct()
+    return every.join(texts, "t").select(F.explode(keys).alias("bucket"), "t", "n", "weight")
 
 
-def components(edges: DataFrame, staging: Staging) -> DataFrame:
+def linked(
+    docs: DataFrame,
+    text_col: str,
+    threshold: float,
+    staging: Staging,
+    broadcast_keys: int = BROADCAST_KEYS,
+    single_rounds: int = SINGLE_ROUNDS,
+) -> DataFrame | None:
+    """(t, root): the class of each text that aligns with another and isn't its class's root."""
+    every, _ = staging.write(sketched(docs, text_col), "sketches")
+    coarse = every.select(F.explode("keys").alias("bucket"), "t", "n")
+    sizes = coarse.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    coarse, _ = staging.write(coarse.join(sizes, "bucket"), "coarse-members")
+    weights, _ = staging.write(coarse.groupBy("t").agg(F.sum("size").alias("weight")), "weights")
+    coarse = coarse.select("bucket", "t", "n").join(weights, "t")
+    linking = Linking(docs, text_col, threshold, staging, broadcast_keys)
+    coarse, _ = staging.write(linking.rooted(coarse), "coarse")
+    linking.compare(coarse.join(leaders_of(coarse), "bucket").where("t <> u"))
+    left, seen = linking.mixed(coarse.drop("root"), "coarse-mixed")
+    if not seen:
+        return linking.roots
+    fine, seen = linking.mixed(together_in(every, left, PAIRED), "fine")
+    waiting = fine.select("bucket", "t", "n", "weight")
+    for turn in range(single_rounds):
+        if not seen:
+            return linking.roots
+        # A class is done with in a bucket once a member of it has led there.
+        now, seen = linking.mixed(waiting, f"waiting-{turn}")
+        first, _ = staging.write(leaders_of(now), f"leaders-{turn}")
+        linking.compare(linking.rooted(fine.drop("root")).join(first, "bucket").where("root <> leading"))
+        done = linking.rooted(first.select("bucket", F.col("u").alias("t"))).select("bucket", "root")
+        rest = linking.rooted(now.drop("root")).join(done, ["bucket", "root"], "left_anti")
+        waiting, _ = staging.write(rest.select("bucket", "t", "n", "weight"), f"rest-{turn}")
+    now, seen = linking.mixed(waiting, "last")
+    if seen:
+        now, seen = linking.mixed(together_in(every, now, FOURS), "finest")
+    if seen:
+        other = now.select("bucket", F.col("t").alias("u"), F.col("n").alias("m"), F.col("root").alias("other"))
+        linking.compare(now.join(other, "bucket").where("t < u AND root <> other"))
+    return linking.roots
+
+
+def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
     """(t, root): every text that has a link and isn't the root, the smallest key, itself."""
 
     def stars(edges: DataFrame, name: str) -> tuple[DataFrame, dict]:
@@ -268,7 +327,7 @@ def components(edges: DataFrame, staging: Staging) -> DataFrame:
 
     last, turn = None, 0
     while True:
-        edges, seen = stars(edges, f"stars-{turn}")
+        edges, seen = stars(edges, f"{name}-{turn}")
         if seen == last or not seen["n"]:
             break
         last, turn = seen, turn + 1
@@ -287,9 +346,11 @@ def classes(
     by the smallest id (class_id), and class_size, the rows of the class."""
     staging = staging or Staging(docs.sparkSession)
     docs = columns(docs, id_col, text_col)
-    roots = components(links(docs, text_col, threshold, staging, **options), staging)
+    roots = linked(docs, text_col, threshold, staging, **options)
     keyed, _ = staging.write(docs.select(id_col, text_key(F.col(text_col)).alias("t")), "keys")
-    rooted = keyed.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+    rooted = keyed.withColumn("root", F.col("t"))
+    if roots is not None:
+        rooted = keyed.join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
     named = rooted.groupBy("root").agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return rooted.join(named, "root").select(id_col, "t", "root", "class_id", "class_size")
 
