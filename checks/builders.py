@@ -172,6 +172,7 @@ TRANSFORMED = """
   SELECT table_name, 'input_records', input_records FROM counts
   UNION ALL SELECT table_name, 'output_records', output_records FROM counts
   UNION ALL SELECT table_name, 'removed_records', input_records - output_records FROM counts
+  UNION ALL SELECT 'customers', 'invalid_emails', count(*) FROM customers_source WHERE NOT contains(email, '@')
 )
 """
 

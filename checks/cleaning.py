@@ -6,13 +6,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from checks.registry import build, query, star
+from checks.registry import build, numbered, query, star
 from sparkmart.functions.dates import segment
 from sparkmart.functions.parse import null_if_token
 from sparkmart.operators import cleaning
 from sparkmart.plans import reports, transforms
+from sparkmart.schemas import Source
 from sparkmart.sources import driver_tables
 from sparkmart.sources.driver_tables import AS_OF, table
+from sparkmart.sources.extracts import frame_extract
+from sparkmart.staging import Staging
 
 MEASURE = "DECIMAL(28,6)"
 
@@ -122,14 +125,20 @@ def some_nulls(spark, sf_dir):
 SELECT c_custkey, c_name, c_mktsegment AS segment FROM customer WHERE c_mktsegment <> 'MACHINERY'
 """)
 def required_columns(spark, sf_dir):
-    complete = cleaning.require(some_nulls(spark, sf_dir), ["c_custkey", "segment"])
-    return complete.select("c_custkey", "c_name", "segment")
+    source = Source(
+        name="segments",
+        file="segments.csv",
+        columns={"c_custkey": "id", "c_name": "text", "segment": "text"},
+        key="c_custkey",
+        required=("c_custkey", "segment"),
+    )
+    return transforms.clean(frame_extract(some_nulls(spark, sf_dir), source, ("c_name",)), Staging(spark)).rows
 
 
 @query("Q3_non_negative", """
 , accounts AS (
   SELECT c_custkey, CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_acctbal END
-                         AS DECIMAL(12,2)) AS balance,
+                         AS DECIMAL(18,6)) AS balance,
          CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
               WHEN c_acctbal < 0 THEN -1 ELSE c_nationkey END AS nation
   FROM customer
@@ -150,7 +159,15 @@ def non_negative(spark, sf_dir):
     accounts = table(spark, sf_dir, "customer").select(
         "c_custkey", balance.cast("decimal(12,2)").alias("balance"), nation.alias("nation")
     )
-    return cleaning.drop_negative(accounts, ["balance", "nation"])
+    source = Source(
+        name="balances",
+        file="balances.csv",
+        columns={"c_custkey": "id", "balance": "money", "nation": "int"},
+        key="c_custkey",
+        required=("c_custkey",),
+        non_negative=("balance", "nation"),
+    )
+    return transforms.clean(frame_extract(accounts, source, ("balance",)), Staging(spark)).rows
 
 
 @query("Q4_known_cost", """
@@ -185,7 +202,7 @@ WHERE full_date >= DATE '2001-08-02' - INTERVAL 90 DAY
 def recent_sales(spark, sf_dir):
     whole = star(spark, sf_dir)
     first = AS_OF - dt.timedelta(days=90)
-    recent = reports.since(whole.sales, first)
+    recent = reports.since(numbered(whole.sales), first)
     return recent.join(whole.date.select("date_key", "full_date"), "date_key").select(
         "sale_id", "full_date"
     )

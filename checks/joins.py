@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import avg2, build, query, star
+from checks.registry import avg2, build, numbered, query, star
 from sparkmart.functions.money import average, sum_money
 from sparkmart.operators.joins import absent_from, lookup, with_group_figures
+from sparkmart.operators.keys import POSITION, number_rows
 from sparkmart.plans import reports
 from sparkmart.sources import driver_tables
 from sparkmart.sources.driver_tables import table
@@ -67,7 +68,8 @@ SELECT sale_id, category, revenue FROM fact_sales JOIN dim_product USING (produc
 """)
 def fact_with_dimension(spark, sf_dir):
     whole = star(spark, sf_dir)
-    return lookup(whole.sales, whole.product, "product_key", ["category"]).select(
+    sales = numbered(whole.sales)
+    return lookup(sales, whole.product, "product_key", ["category"]).select(
         "sale_id", "category", "revenue"
     )
 
@@ -100,7 +102,7 @@ SELECT sale_id, orders, {avg2('spent', 'orders')} AS avg_order_value
 FROM fact_sales JOIN order_stats USING (customer_key)
 """)
 def customer_figures(spark, sf_dir):
-    sales = star(spark, sf_dir).sales.select("sale_id", "customer_key", "revenue")
+    sales = numbered(star(spark, sf_dir).sales.select("sale_id", "customer_key", "revenue"))
     figures = {
         "orders": F.count(F.lit(1)),
         "avg_order_value": average(sum_money("revenue"), F.count(F.lit(1))),
@@ -124,6 +126,13 @@ def absent_rows(spark, sf_dir):
     return absent_from(orders.select(day).distinct(), finished, "full_date")
 
 
+def placed(rows):
+    """Sorted rows with their places, 1..n in the order they have."""
+    positions = rows.withColumn(POSITION, F.monotonically_increasing_id())
+    staged, _ = Staging(rows.sparkSession).write(positions, "sorted")
+    return number_rows(staged, "place")
+
+
 @query("L1_one_measure", f"""
 SELECT row_number() OVER (ORDER BY revenue DESC, region) AS place, region, revenue
 FROM (SELECT region, CAST(sum(revenue) AS {MONEY}) AS revenue
@@ -132,9 +141,7 @@ FROM (SELECT region, CAST(sum(revenue) AS {MONEY}) AS revenue
 def one_measure(spark, sf_dir):
     """The order itself is part of the result: each row has its place."""
     sorted_rows = reports.revenue_per_region(star(spark, sf_dir))
-    place = (F.monotonically_increasing_id() + 1).alias("place")
-    one_partition = sorted_rows.coalesce(1)  # one row per region
-    return one_partition.select(place, "region", F.col("total_revenue").alias("revenue"))
+    return placed(sorted_rows).select("place", "region", F.col("total_revenue").alias("revenue"))
 
 
 @query("L2_two_keys", """
@@ -143,8 +150,7 @@ FROM (SELECT DISTINCT year, month FROM fact_sales JOIN dim_date USING (date_key)
 """)
 def two_keys(spark, sf_dir):
     sorted_rows = reports.monthly_sales_trends(star(spark, sf_dir))
-    place = (F.monotonically_increasing_id() + 1).alias("place")
-    return sorted_rows.coalesce(1).select(place, "year", "month")  # one row per month
+    return placed(sorted_rows).select("place", "year", "month")
 
 
 @query("L3_by_date", """
@@ -154,8 +160,7 @@ FROM (SELECT DISTINCT full_date FROM fact_sales JOIN dim_date USING (date_key)
 """)
 def by_date(spark, sf_dir):
     sorted_rows = reports.daily_sales_summary(star(spark, sf_dir), 30, driver_tables.AS_OF)
-    place = (F.monotonically_increasing_id() + 1).alias("place")
-    return sorted_rows.coalesce(1).select(place, "full_date")  # one row per day
+    return placed(sorted_rows).select("place", "full_date")
 
 
 @query("L4_top_k", f"""
@@ -168,7 +173,10 @@ def top_k(spark, sf_dir):
     return best.select("product_name", "total_revenue")
 
 
-@query("L5_preview")
+@query("L5_preview", """
+SELECT order_id, product_id, quantity FROM sales_clean ORDER BY order_id LIMIT 3
+""")
 def preview(spark, sf_dir):
-    """Any three rows; which ones is left to Spark."""
-    return build(spark, sf_dir).cleaned["sales"].rows.limit(3)
+    """The first three rows."""
+    sales = build(spark, sf_dir).cleaned["sales"].rows
+    return sales.orderBy("order_id").limit(3).select("order_id", "product_id", "quantity")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkmart.operators.keys import dense_keys
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.warehouse import Warehouse
 from sparkmart.sources import driver_tables
@@ -44,6 +45,7 @@ def build(spark: SparkSession, sf_dir: str) -> StarBuild:
             as_of=driver_tables.AS_OF,
             date_range=driver_tables.DATE_RANGE,
             staging=staging,
+            keep_staged=True,  # queries read the cleaned rows
         )
         _BUILDS[application] = run.run()
     return _BUILDS[application]
@@ -53,6 +55,13 @@ def star(spark: SparkSession, sf_dir: str):
     return build(spark, sf_dir).warehouse.star()
 
 
+def numbered(sales: DataFrame) -> DataFrame:
+    """The fact with sale_id as 1..n in its order: the stored ids are unique and rise with (date,
+    order), which is what the SQL compares, but have gaps."""
+    position = sales.withColumnRenamed("sale_id", "position")
+    return dense_keys(position, "sale_id", ["position"], Staging(sales.sparkSession), "numbered").drop("position")
+
+
 def half_away(top: str, bottom: str) -> str:
     """SQL for top / bottom as hundredths, in whole numbers, rounded half away from zero."""
     s, n = f"CAST({top} AS HUGEINT)", f"CAST({bottom} AS HUGEINT)"

@@ -7,12 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.registry import build, query, star
+from checks.registry import build, numbered, query, star
 from sparkmart.operators.joins import absent_from
 from sparkmart.operators.keys import dense_keys
+from sparkmart.operators.quality import QUARANTINE, VIOLATIONS
 from sparkmart.plans.calendar import describe_days
 from sparkmart.plans.warehouse import Warehouse
-from sparkmart.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, SOURCES
+from sparkmart.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, FACT_SALES, SOURCES
 from sparkmart.sources import driver_tables
 from sparkmart.sources.driver_tables import table
 from sparkmart.sources.extracts import csv_extract, extract_all, extraction_stats
@@ -34,7 +35,8 @@ SELECT p_partkey AS product_id, 'the "' || p_name || '", new' AS product_name,
 FROM part
 """)
 def csv_scan(spark, sf_dir):
-    """Names hold quotes and commas, one supplier is written as a null token, numbers are padded."""
+    """Names hold quotes and commas, one supplier is written as a null token, numbers are padded.
+    What two extracts with their columns in different orders have in common is all of either."""
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.concat(F.lit('the "'), "p_name", F.lit('", new')).alias("product_name"),
@@ -42,9 +44,14 @@ def csv_scan(spark, sf_dir):
         F.concat(F.lit(" "), F.col("p_retailprice").cast("decimal(18,2)")).alias("unit_cost"),
         F.when(F.col("p_brand") == "Brand#2", "N/A").otherwise(F.col("p_brand")).alias("supplier"),
     )
-    path = Staging(spark).path("products.csv")
+    staging = Staging(spark)
+    path = staging.path("products.csv")
     write_csv(parts, path)
-    return csv_extract(spark, path, SOURCES["products"]).data
+    other = staging.path("reordered")
+    write_csv(parts.select("supplier", "category", "product_id", "product_name", "unit_cost"), other)
+    whole = csv_extract(spark, path, SOURCES["products"]).data
+    again = csv_extract(spark, other, SOURCES["products"]).data
+    return whole.intersectAll(again)
 
 
 def written_extracts(spark, sf_dir):
@@ -200,7 +207,7 @@ def dimension_refresh(spark, sf_dir):
 
 @query("K4_fact_refresh", "SELECT * FROM fact_sales")
 def fact_refresh(spark, sf_dir):
-    return star(spark, sf_dir).sales.drop("created_at")
+    return numbered(star(spark, sf_dir).sales).drop("created_at")
 
 
 @query("K5_append", """
@@ -216,6 +223,53 @@ def append(spark, sf_dir):
     return warehouse.table(DIM_STORE)
 
 
+BAD_STORES = """
+SELECT store_id AS id, 'max_length:city,unique:store_key' AS broken FROM dim_store WHERE region = 'ASIA'
+UNION ALL SELECT store_id, 'not_null:region' FROM dim_store WHERE region <> 'ASIA' AND store_id % 3 = 0
+"""
+
+
+@query("K5_append_checked", BAD_STORES + """
+UNION ALL SELECT store_id, 'kept' FROM dim_store WHERE region = 'ASIA'
+UNION ALL SELECT store_id, 'kept' FROM dim_store WHERE region <> 'ASIA' AND store_id % 3 <> 0
+""")
+def append_checked(spark, sf_dir):
+    """Stores whose key is there already or whose region is missing are set apart, not added."""
+    warehouse = _fresh_warehouse(spark)
+    stores = build(spark, sf_dir).warehouse.table(DIM_STORE)
+    warehouse.append(stores.where("region = 'ASIA'"), DIM_STORE)
+    again = F.col("region") == "ASIA"
+    bad = stores.withColumns({
+        "city": F.when(again, F.repeat(F.lit("x"), F.lit(101))).otherwise(F.col("city")),
+        "store_id": F.when(again, -F.col("store_id")).otherwise(F.col("store_id")),
+        "region": F.when(again | (F.col("store_id") % 3 != 0), F.col("region")),
+    })
+    warehouse.append(bad, DIM_STORE, QUARANTINE)
+    kept = warehouse.table(DIM_STORE).select(F.col("store_id").alias("id"), F.lit("kept").alias("broken"))
+    names = F.concat_ws(",", VIOLATIONS).alias("broken")
+    return kept.unionByName(warehouse.rejected(DIM_STORE).select(F.abs("store_id").alias("id"), names))
+
+
+@query("K5_append_fact", """
+SELECT sale_id, CASE WHEN sale_id % 3 = 1 THEN 'foreign_key:store_key' ELSE 'check:quantity_positive' END AS broken
+FROM fact_sales WHERE sale_id % 3 <> 0
+""")
+def append_fact(spark, sf_dir):
+    """Of the sales, a third has an unknown store and a third no quantity; a refresh sets both apart."""
+    built = build(spark, sf_dir).warehouse
+    warehouse = _fresh_warehouse(spark)
+    warehouse.append(built.table(DIM_DATE), DIM_DATE)
+    for table in (DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE):
+        warehouse.refresh(built.table(table), table)
+    number = F.col("sale_id") % 3
+    sales = numbered(built.table(FACT_SALES)).withColumns({
+        "store_key": F.when(number == 1, F.lit(-1)).otherwise(F.col("store_key")),
+        "quantity": F.when(number == 2, F.lit(0)).otherwise(F.col("quantity")),
+    })
+    warehouse.refresh(sales, FACT_SALES, QUARANTINE)
+    return warehouse.rejected(FACT_SALES).select("sale_id", F.concat_ws(",", VIOLATIONS).alias("broken"))
+
+
 @query("K6_insert_if_absent", """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date,
        CASE WHEN year(o_orderdate) < 1998 THEN 'kept'
@@ -247,7 +301,7 @@ def absent_days(spark, sf_dir):
 SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
 FROM orders
 """)
-def numbered(spark, sf_dir):
+def price_ranks(spark, sf_dir):
     """Orders numbered 1..n from the dearest on."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", (-F.col("o_totalprice")).alias("falling_price")

@@ -43,29 +43,10 @@ def present(columns: Iterable[str]) -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
 
-def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with NULL in a required column. A column that is not there is an error."""
-    return df.dropna(subset=list(columns))
-
-
 def null_counts(columns: Iterable[str]) -> dict[str, Column]:
     return {f"nulls:{c}": F.count_if(F.col(c).isNull()) for c in columns}
 
 
-def drop_negative(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Per column in turn: once any value is negative, keep only rows with a value >= 0.
-
-    A column without negatives is left alone, its NULLs included. Whether there is a negative is
-    a scalar subquery, so nothing runs before the result is asked for.
-    """
-    for name in columns:
-        if name in df.columns:
-            negative = F.coalesce(F.bool_or(F.col(name) < 0), F.lit(False))
-            clean = F.coalesce(F.col(name) >= 0, F.lit(False))
-            df = df.where(clean | ~df.agg(negative).scalar())
-    return df
-
-
 def _subsets(columns: Sequence[str]) -> list[tuple[str, ...]]:
     return [s for size in range(len(columns) + 1) for s in combinations(columns, size)]
 
@@ -75,9 +56,10 @@ def _figure(kind: str, filtered: Iterable[str]) -> str:
 
 
 def sign_counts(columns: Sequence[str], among: Column) -> dict[str, Column]:
-    """Figures, taken in one pass, that tell what drop_negative does to the rows among.
+    """Figures, taken in one pass, that tell what the sign rule does to the rows among.
 
-    Which rows a column sees depends on which earlier columns had negatives, so the rows are
+    The rule goes column by column: once any value left is negative, only rows with a value >= 0
+    stay, so NULLs go too; a column without negatives is left alone, its NULLs included. Which rows a column sees depends on which earlier columns had negatives, so the rows are
     counted for each case: seven figures for two columns.
     """
     figures = {}
@@ -107,12 +89,20 @@ def kept_rows(flagged: Iterable[str], figures: dict[str, int]) -> int:
 
 
 def keep_non_negative(df: DataFrame, flagged: Iterable[str]) -> DataFrame:
-    """drop_negative for columns already known to have negatives."""
+    """The sign rule for columns already known to have negatives."""
     for name in flagged:
         df = df.where(F.col(name) >= 0)
     return df
 
 
+def null_message(column: str, count: int) -> str:
+    return f"Found {count} null values in required column: {column}"
+
+
+def email_message(count: int) -> str:
+    return f"Found {count} invalid email addresses"
+
+
 def negative_message(column: str, count: int) -> str:
     return f"Found {count} negative values in {column}"
 

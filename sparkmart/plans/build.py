@@ -1,27 +1,28 @@
 """The whole star build: extract, transform, load, with figures of every step.
 
-Tables are switched only after all of them are checked and written, so a run that fails leaves
-the warehouse as it was. All staged data is in the shared folder; a lost executor costs the tasks
-it ran, not the run.
+All tables, the rejected rows among them, are checked, written and counted first and then
+switched in one step, the last of a run; a run that fails leaves the warehouse as it was. All
+staged data is in the shared folder, from which a run that is over takes it away; a lost executor
+costs the tasks it ran, not the run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkmart.operators.keys import number_rows, stage_in_order
 from sparkmart.operators.quality import (
-    FAIL, QUARANTINE, ConstraintViolation, broken_rules, enforce, rule_counts,
+    FAIL, QUARANTINE, VIOLATIONS, ConstraintViolation, broken_rules, enforce, passes, rule_counts,
+    with_violations,
 )
 from sparkmart.plans import facts, transforms
 from sparkmart.plans.calendar import date_dimension
-from sparkmart.plans.warehouse import Warehouse, with_load_columns
+from sparkmart.plans.warehouse import Warehouse, rejected_name, with_load_columns
 from sparkmart.schemas import (
-    DIM_CUSTOMER, DIM_PRODUCT, DIM_STORE, FACT_SALES, TABLES, Table,
+    DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, FACT_SALES, TABLES, Table,
 )
 from sparkmart.sources.extracts import Extract, extract_all
 from sparkmart.staging import Staging
@@ -50,6 +51,7 @@ class StarBuild:
         date_range: tuple[dt.date, dt.date] | None = None,
         on_violation: str = FAIL,
         staging: Staging | None = None,
+        keep_staged: bool = False,
     ):
         self.extracts = extracts
         self.warehouse = warehouse
@@ -60,6 +62,7 @@ class StarBuild:
         )
         self.on_violation = on_violation
         self.staging = staging or Staging(warehouse.spark)
+        self.keep_staged = keep_staged
         self.cleaned: dict[str, transforms.Cleaned] = {}
         self.status = "NOT_STARTED"
         self.start_time: dt.datetime | None = None
@@ -73,12 +76,12 @@ class StarBuild:
     # -- steps ---------------------------------------------------------------------------------
 
     def extract(self) -> None:
-        """Set unreadable rows apart. Records are counted as the transforms read them."""
+        """Set unreadable rows apart, reading their source once. Other records are counted as the
+        transforms read them."""
         for name, extract in self.extracts.items():
-            unreadable = 0
-            if extract.unreadable is not None:
-                self._rejected[name] = extract.unreadable
-                unreadable = extract.unreadable.count()
+            self.extracts[name], unreadable = extract.parted(self.staging)
+            if unreadable:
+                self._rejected[name] = self.extracts[name].unreadable
             self.stats["extract"][name] = {
                 "records": unreadable, "columns": len(extract.source.columns),
             }
@@ -102,11 +105,19 @@ class StarBuild:
         }
         for name, cleaned in self.cleaned.items():
             self.stats["extract"][name]["records"] += cleaned.input
-            self.stats["transform"][name] = {
-                "input_records": cleaned.input,
-                "output_records": cleaned.output,
-                "removed_records": cleaned.input - cleaned.output,
-            }
+            for warning in cleaned.warnings:
+                logger.warning("%s: %s", name, warning)
+            if cleaned.counted is not None:
+                self._count(name)
+
+    def _count(self, name: str) -> None:
+        cleaned = self.cleaned[name]
+        self.stats["transform"][name] = {
+            "input_records": cleaned.input,
+            "output_records": cleaned.output,
+            "removed_records": cleaned.input - cleaned.output,
+            **cleaned.figures,
+        }
 
     def _prepare_customers(self) -> transforms.Cleaned:
         customers = transforms.transform_customers(
@@ -137,41 +148,54 @@ class StarBuild:
         )
         return products, sales
 
-    def _stage(
-        self,
-        df: DataFrame,
-        table: Table,
-        order_by: list[str],
-        derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    ) -> DataFrame:
-        """Check, order and number the rows of one table; derive adds columns that follow."""
+    def _stage_dimension(self, df: DataFrame, table: Table) -> None:
+        """Check, order and number the rows of a dimension, and write them, unrounded; being
+        stored, their size is known to lookups."""
+        order_by = [table.natural_key]
         if self.on_violation == QUARANTINE:
-            df, rejected = enforce(
-                derive(df), table.rules, self.staging, f"{table.name}_checked", QUARANTINE
-            )
+            df, rejected = enforce(df, table.rules, self.staging, f"{table.name}_checked", QUARANTINE)
             if rejected is not None:
                 self._rejected[table.name] = rejected
             staged, _ = stage_in_order(df, order_by, self.staging, table.name)
-            return number_rows(staged, table.surrogate_key)
-        staged, figures = stage_in_order(
-            df, order_by, self.staging, table.name, rule_counts(table.rules), derive
-        )
+        else:
+            counts = rule_counts(table.rules)
+            staged, figures = stage_in_order(df, order_by, self.staging, table.name, counts)
+            self._must_hold(table, figures)
+        keyed = number_rows(staged, table.surrogate_key)
+        self._keyed[table.name], _ = self.staging.write(keyed, f"{table.name}_keyed")
+
+    @staticmethod
+    def _must_hold(table: Table, figures: dict[str, int]) -> None:
         counts = broken_rules(figures)
         if counts:
             raise ConstraintViolation(table.name, counts)
-        return derive(number_rows(staged, table.surrogate_key))
 
-    def _stage_dimension(self, df: DataFrame, table: Table) -> None:
-        """Write the keyed rows, unrounded; being stored, their size is known to lookups."""
-        keyed = self._stage(df, table, [table.natural_key])
-        self._keyed[table.name], _ = self.staging.write(keyed, f"{table.name}_keyed")
+    def _write_fact(self, dims: facts.Dimensions) -> str:
+        """Write the fact, once, as its new version. Its rules are observed in that write."""
+        sales = self.cleaned["sales"]
+        inputs = facts.fact_inputs(sales.rows, dims)
+        rows = facts.with_fact_measures(facts.in_order(inputs, sales.staged, dims))
+        quarantine = self.on_violation == QUARANTINE
+        version, figures = self.warehouse.write_version(
+            with_load_columns(rows), FACT_SALES, rule_counts(FACT_SALES.rules), passes(FACT_SALES.rules)
+        )
+        counts = broken_rules(figures)
+        if counts and quarantine:
+            marked = with_violations(facts.with_fact_measures(inputs), FACT_SALES.rules)
+            self._rejected[FACT_SALES.name] = marked.where(F.size(VIOLATIONS) > 0)
+        elif counts:
+            self.warehouse.drop_version(version)
+            raise ConstraintViolation(FACT_SALES.name, counts)
+        return version
 
     def load(self) -> None:
         warehouse, load = self.warehouse, self.stats["load"]
         warehouse.create_database()
-        warehouse.create_dates()
         days = date_dimension(warehouse.spark, *self.date_range)
-        dates, _ = self.staging.write(warehouse.dates_with(days), "dim_date")
+        dates, figures = self.staging.write(
+            warehouse.dates_with(days), "dim_date", rule_counts(DIM_DATE.rules)
+        )
+        self._must_hold(DIM_DATE, figures)
         dims = facts.Dimensions(
             product=self._keyed["dim_product"],
             customer=self._keyed["dim_customer"],
@@ -179,34 +203,30 @@ class StarBuild:
             date=dates,
         )
         sales = self.cleaned["sales"]
-        inputs = facts.fact_inputs(sales.rows, dims)
-        order_by = ["date_key", "order_id"]
-        fact = self._stage(inputs, FACT_SALES, order_by, facts.with_fact_measures)
+        found = facts.lookup_figures(sales.rows, dims).first().asDict()
+        sales.counted = found.pop("sales")
+        self._count("sales")
         versions = together(
             warehouse.spark,
             {
-                DIM_PRODUCT.name: lambda: warehouse.write_version(dims.product, DIM_PRODUCT),
-                DIM_CUSTOMER.name: lambda: warehouse.write_version(dims.customer, DIM_CUSTOMER),
-                DIM_STORE.name: lambda: warehouse.write_version(dims.store, DIM_STORE),
-                FACT_SALES.name: lambda: warehouse.write_version(
-                    with_load_columns(fact), FACT_SALES
-                ),
+                DIM_DATE.name: lambda: warehouse.write_version(dates, DIM_DATE)[0],
+                DIM_PRODUCT.name: lambda: warehouse.write_version(dims.product, DIM_PRODUCT)[0],
+                DIM_CUSTOMER.name: lambda: warehouse.write_version(dims.customer, DIM_CUSTOMER)[0],
+                DIM_STORE.name: lambda: warehouse.write_version(dims.store, DIM_STORE)[0],
+                FACT_SALES.name: lambda: self._write_fact(dims),
             },
         )
-        # All rows are checked and written; from here on the warehouse changes.
-        load["dim_date"] = {"records_inserted": warehouse.add_dates(days)}
         for table, version in versions.items():
-            load[table] = {
-                "records_inserted": warehouse.publish(TABLES[table], version),
-                "records_source": self.cleaned[SOURCE_OF[table]].output,
-            }
+            load[table] = {"records_inserted": warehouse.count_version(version)}
+            if table in SOURCE_OF:
+                load[table]["records_source"] = self.cleaned[SOURCE_OF[table]].output
         if load["fact_sales"]["records_inserted"] < sales.output:
-            for row in facts.unresolved(sales.rows, dims).collect():
-                load["fact_sales"][f"unresolved_{row['lookup']}"] = row["unresolved"]
+            load["fact_sales"] |= {f"unresolved_{lookup}": n for lookup, n in found.items()}
         for name, rejected in self._rejected.items():
-            load[f"{name}_rejected"] = {
-                "records_inserted": warehouse.replace_rejected(rejected, name)
-            }
+            versions[rejected_name(name)], count = warehouse.write_rejected(rejected, name)
+            load[rejected_name(name)] = {"records_inserted": count}
+        # All rows are checked, written and counted; the warehouse changes here and nowhere else.
+        warehouse.publish(versions, [*TABLES, *self.extracts])
 
     def run(self) -> StarBuild:
         self.start_time = dt.datetime.now()
@@ -216,6 +236,8 @@ class StarBuild:
             self.transform()
             self.load()
             self.status = "SUCCESS"
+            if not self.keep_staged:
+                self.staging.drop()
         except Exception:
             self.status = "FAILED"
             logger.exception("the star build failed")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkmart.operators.joins import lookup
-from sparkmart.operators.quality import unmatched_keys
+from sparkmart.operators.quality import unpivot_counts
 from sparkmart.plans.transforms import with_measures
 
 
@@ -52,19 +52,53 @@ def fact_rows(sales: DataFrame, dims: Dimensions) -> DataFrame:
     return with_fact_measures(fact_inputs(sales, dims)).drop("price", "unit_cost")
 
 
-def unresolved(sales: DataFrame, dims: Dimensions) -> DataFrame:
-    """Per lookup, the number of sales without a match (a sale may miss several)."""
+def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """Inputs dealt to tasks by (date, order), sorted there, with sale_id rising in that order.
+
+    The bounds come from the staged sales, per day: their number and their first and last order.
+    That is one row for each day of the calendar, so it is broadcast. Within a day, orders are
+    dealt by their number, so that a hot day falls into many tasks.
+    """
+    per_day = (
+        sales.groupBy(F.to_date("order_date").alias("full_date"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("order_id").alias("_lo"), F.max("order_id").alias("_hi"))
+        .join(dims.date.select("full_date", F.col("date_key").alias("_day")), "full_date")
+    )
+    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    days = per_day.select(
+        F.col("_day").alias("date_key"), "_n", "_lo", "_hi",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_all"),
+    )
+    parts = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside = (F.col("order_id") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    place = (F.col("_before") + inside * F.col("_n")) / F.col("_all")
+    part = F.least(F.floor(place * parts), F.lit(parts - 1)).cast("int")
+    dealt = inputs.join(F.broadcast(days), "date_key").withColumn("_part", part)
+    ordered = dealt.repartitionById(parts, F.col("_part")).sortWithinPartitions("date_key", "order_id")
+    return ordered.withColumn("sale_id", F.monotonically_increasing_id() + 1).select("sale_id", *inputs.columns)
+
+
+def lookup_figures(sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """One row: the number of sales, and per lookup those with a value but no match (a sale may
+    miss several). The sales are read once and meet each dimension's keys in turn."""
     lookups = [
         ("product_id", dims.product, "product_id"),
         ("customer_id", dims.customer, "customer_id"),
         ("store_id", dims.store, "store_id"),
         ("order_date", dims.date, "full_date"),
     ]
-    counts = None
+    joined = sales.select("product_id", "customer_id", "store_id", F.to_date("order_date").alias("order_date"))
     for column, table, key in lookups:
-        missed = unmatched_keys(sales, column, table, key)
-        count = missed.agg(
-            F.lit(column).alias("lookup"), F.coalesce(F.sum("rows"), F.lit(0)).alias("unresolved")
-        )
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+        known = table.select(F.col(key).alias(column), F.lit(True).alias(f"_{column}"))
+        joined = joined.join(known, column, "left")
+    missed = [
+        F.count_if(F.col(column).isNotNull() & F.col(f"_{column}").isNull()).alias(column)
+        for column, _, _ in lookups
+    ]
+    return joined.agg(F.count(F.lit(1)).alias("sales"), *missed)
+
+
+def unresolved(sales: DataFrame, dims: Dimensions) -> DataFrame:
+    """Per lookup, the number of sales without a match."""
+    return unpivot_counts(lookup_figures(sales, dims).drop("sales"), "lookup", "unresolved")

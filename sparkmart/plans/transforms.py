@@ -22,18 +22,39 @@ from sparkmart.staging import Staging
 
 @dataclass
 class Cleaned:
-    """Clean rows with what cleaning found out."""
+    """Clean rows with what cleaning found out. staged are the complete rows as they were written;
+    output is counted when it is first asked for, unless a pass over the rows has counted them."""
 
     rows: DataFrame
     input: int
-    output: int
+    counted: int | None
     nulls: dict[str, int]
     negatives: dict[str, int]
+    invalid_emails: int = 0
+    staged: DataFrame | None = None
+
+    @property
+    def output(self) -> int:
+        if self.counted is None:
+            self.counted = self.rows.count()
+        return self.counted
 
     @property
     def messages(self) -> list[str]:
         return [cleaning.negative_message(c, n) for c, n in self.negatives.items()]
 
+    @property
+    def warnings(self) -> list[str]:
+        """What was dropped for missing values, or repaired."""
+        found = [cleaning.null_message(c, n) for c, n in self.nulls.items() if n]
+        return found + ([cleaning.email_message(self.invalid_emails)] if self.invalid_emails else [])
+
+    @property
+    def figures(self) -> dict[str, int]:
+        """Counts of what was dropped or repaired, where there was something."""
+        nulls = {f"nulls_{c}": n for c, n in self.nulls.items() if n}
+        return nulls | ({"invalid_emails": self.invalid_emails} if self.invalid_emails else {})
+
 
 def clean(extract: Extract, staging: Staging) -> Cleaned:
     """First row per key, then complete rows only, then the sign rule, in this order.
@@ -49,6 +70,9 @@ def clean(extract: Extract, staging: Staging) -> Cleaned:
         **cleaning.null_counts(source.required),
         **cleaning.sign_counts(source.non_negative, complete),
     }
+    if "email" in source.columns:
+        bad = complete & ~cleaning.has_at_sign(F.col("email"))
+        figures["invalid_emails"] = F.count_if(bad)
     staged, seen = staging.write(
         first.select(*source.columns, "_copies"), f"{source.name}_clean", figures, keep=complete
     )
@@ -56,7 +80,8 @@ def clean(extract: Extract, staging: Staging) -> Cleaned:
     nulls = {c: seen.get(f"nulls:{c}", 0) for c in source.required}
     rows = cleaning.keep_non_negative(staged.select(*source.columns), negatives)
     kept = cleaning.kept_rows(negatives, seen)
-    return Cleaned(rows, seen.get("input") or 0, kept, nulls, negatives)
+    emails = seen.get("invalid_emails") or 0
+    return Cleaned(rows, seen.get("input") or 0, kept, nulls, negatives, emails, rows)
 
 
 def transform_products(extract: Extract, as_of: dt.date, staging: Staging) -> Cleaned:
@@ -95,10 +120,7 @@ def transform_sales(
     """
     result = clean(extract, staging)
     costs = products.select("product_id", "unit_cost", *carry)
-    # Counting per product before the join keeps the count cheap, and flat under a hot product.
-    per_product = result.rows.groupBy("product_id").agg(F.count(F.lit(1)).alias("sales"))
-    known = per_product.join(costs.where("unit_cost IS NOT NULL"), "product_id")
-    result.output = known.agg(F.coalesce(F.sum("sales"), F.lit(0))).first()[0]
+    result.counted = None
     priced = lookup(result.rows, costs, "product_id", ["unit_cost", *carry], how="left")
     result.rows = with_measures(priced).where(F.col("unit_cost").isNotNull())
     return result

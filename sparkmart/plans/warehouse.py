@@ -1,22 +1,34 @@
 """The star schema in the catalog: creation, refresh, append and views.
 
-A refreshed table is a view over the version of it that was written last. A refresh writes the new
-version beside the old one and then points the view at it, so readers see the old rows until the
-new ones are complete, and a write that is lost half-way changes nothing. The date dimension only
-ever grows and is a plain table.
+Every table is written as versions, and one small view, the pointer, says which version of each
+table is published. A refresh writes new versions beside the old ones and then replaces the
+pointer, for all tables in one catalog operation, as its last step: readers see either the old
+tables or the new ones, and a run that fails before that changes nothing. The versions published
+before stay for readers that still use them; older ones go by age.
+
+Nothing is added unchecked: refresh and append run the row rules, the uniqueness of keys and the
+foreign keys of a table over the rows first.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from sparkmart.functions.dates import month_of_key
 from sparkmart.operators.joins import absent_from
+from sparkmart.operators.quality import (
+    FAIL, VIOLATIONS, ConstraintViolation, broken, broken_rules,
+)
 from sparkmart.plans import reports
-from sparkmart.schemas import DIM_DATE, FACT_SALES, TABLES, Table
+from sparkmart.schemas import DIM_DATE, FACT_SALES, FOREIGN_KEYS, TABLES, Table
+from sparkmart.staging import Staging
+
+POINTER = "published_versions"
+KEEP_FOR = dt.timedelta(days=7)
 
 
 def new_version() -> str:
@@ -33,13 +45,31 @@ def with_load_columns(fact: DataFrame) -> DataFrame:
     )
 
 
+def rejected_name(table: Table | str) -> str:
+    return f"{table if isinstance(table, str) else table.name}_rejected"
+
+
 class Warehouse:
     """A catalog database that holds the star schema as Parquet tables."""
 
-    def __init__(self, spark: SparkSession, database: str, location: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str,
+        location: str | None = None,
+        keep_for: dt.timedelta = KEEP_FOR,
+        staging: Staging | None = None,
+    ):
         self.spark = spark
         self.database = database
         self.location = location
+        self.keep_for = keep_for
+        self._staging = staging
+
+    @property
+    def staging(self) -> Staging:
+        self._staging = self._staging or Staging(self.spark)
+        return self._staging
 
     def name(self, table: Table | str) -> str:
         return f"{self.database}.{table if isinstance(table, str) else table.name}"
@@ -50,77 +80,164 @@ class Warehouse:
         place = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{place}")
 
-    def _create(self, table: Table, name: str) -> None:
-        layout = f" PARTITIONED BY ({table.partition_by})" if table.partition_by else ""
+    def create_schema(self) -> None:
+        """Make all five tables empty, in one step."""
+        versions = {}
+        for table in TABLES.values():
+            versions[table.name] = f"{table.name}_v{new_version()}"
+            layout = f" PARTITIONED BY ({table.partition_by})" if table.partition_by else ""
+            self.spark.sql(
+                f"CREATE TABLE {self.name(versions[table.name])} ({table.ddl}) USING parquet{layout}"
+            )
+        self.publish(versions)
+
+    # -- versions ------------------------------------------------------------------------------
+
+    def _pointers(self) -> tuple[dict[str, str], set[str]]:
+        """The published version of each table, and all versions that the pointer names."""
+        if not self.spark.catalog.tableExists(self.name(POINTER)):
+            return {}, set()
+        rows = self.spark.table(self.name(POINTER)).collect()  # a few for each table
+        now = {r.table_name: r.version for r in rows if r.version}
+        return now, {v for r in rows for v in (r.version, r.previous) if v}
+
+    def published(self) -> dict[str, str]:
+        """The published version of each table; read once for a consistent view of several."""
+        return self._pointers()[0]
+
+    def publish(self, versions: dict[str, str], rejects_of: Iterable[str] = ()) -> None:
+        """Make these versions the tables, all in one catalog operation.
+
+        rejects_of names the tables and sources whose rejected rows this run has settled: what is
+        not among the versions has no rejected rows any more.
+        """
+        before, _ = self._pointers()
+        settled = {rejected_name(t) for t in rejects_of}
+        now = {t: v for t, v in before.items() if t not in settled} | versions
+        rows = ", ".join(
+            f"('{t}', {self._literal(now.get(t))}, {self._literal(before.get(t))})"
+            for t in sorted(now.keys() | before.keys())
+        )
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(name)} ({table.ddl}) USING parquet{layout}"
+            f"CREATE OR REPLACE VIEW {self.name(POINTER)} AS"
+            f" SELECT * FROM VALUES {rows} AS t(table_name, version, previous)"
         )
+        self._drop_old()
 
-    def create_dates(self) -> None:
-        self._create(DIM_DATE, DIM_DATE.name)
+    @staticmethod
+    def _literal(version: str | None) -> str:
+        return f"'{version}'" if version else "CAST(NULL AS STRING)"
 
-    def create_schema(self) -> None:
-        """Drop all five tables and create them empty."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(DIM_DATE)}")
-        self.create_dates()
-        for table in TABLES.values():
-            if table is not DIM_DATE:
-                empty = f"{table.name}_v{new_version()}"
-                self._create(table, empty)
-                self.publish(table, empty)
+    def _drop_old(self) -> None:
+        """Drop versions that are neither published nor were so last, once they are old enough
+        not to be another run's that is still being written."""
+        _, named = self._pointers()
+        limit = (dt.datetime.now(dt.timezone.utc) - self.keep_for).strftime("%Y%m%d%H%M%S%f")
+        for found in self.spark.sql(f"SHOW TABLES IN {self.database}").collect():
+            age = re.fullmatch(r"\w+_v(\d{20})", found.tableName)
+            if age and found.tableName not in named and age[1] < limit:
+                self.drop_version(found.tableName)
 
-    # -- refresh -------------------------------------------------------------------------------
+    def drop_version(self, version: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(version)}")
 
     def _shaped(self, df: DataFrame, table: Table) -> DataFrame:
         """The table's columns, in order and rounded to its types."""
         return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in table.columns.items()])
 
-    def write_version(self, df: DataFrame, table: Table) -> str:
-        """Write the rows as a new version, not visible yet, and give its name."""
+    def write_version(
+        self, df: DataFrame, table: Table, figures: dict[str, Column] | None = None,
+        keep: Column | None = None,
+    ) -> tuple[str, dict[str, int]]:
+        """Write the rows as a new version, not visible yet; its name and the observed figures.
+
+        The figures are of all rows; with keep, only the rows it is true for are written.
+        """
         version = f"{table.name}_v{new_version()}"
+        observation = Observation()
+        if figures:
+            df = df.observe(observation, *[f.alias(n) for n, f in figures.items()])
+        if keep is not None:
+            df = df.where(keep)
         writer = self._shaped(df, table).write.format("parquet")
         if table.partition_by:
             writer = writer.partitionBy(table.partition_by)
         writer.saveAsTable(self.name(version))
-        return version
-
-    def _versions(self, table: Table) -> list[str]:
-        found = self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{table.name}_v*'").collect()
-        pattern = re.compile(rf"{table.name}_v\d+")
-        return [r.tableName for r in found if pattern.fullmatch(r.tableName)]
-
-    def publish(self, table: Table, version: str) -> int:
-        """Make a version the table, drop the others, and count what the table then holds."""
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(table)} TBLPROPERTIES ('version' = '{version}')"
-            f" AS SELECT * FROM {self.name(version)}"
-        )
-        for other in self._versions(table):
-            if other != version:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(other)}")
+        return version, dict(observation.get) if figures else {}
+
+    def write_rejected(self, rejected: DataFrame, name: str) -> tuple[str, int]:
+        """Write rows that broke a rule as a version of their own; its name and their number."""
+        version = f"{rejected_name(name)}_v{new_version()}"
+        rejected.write.format("parquet").saveAsTable(self.name(version))
+        return version, self.spark.table(self.name(version)).count()
+
+    # -- constraints ---------------------------------------------------------------------------
+
+    def checked(self, df: DataFrame, table: Table, also: DataFrame | None = None) -> DataFrame:
+        """The rows in the table's types, staged, with the names of all constraints that each
+        breaks: row rules, keys that repeat (in the rows or in also), foreign keys without a row.
+        """
+        marked = [F.when(broken(r), F.lit(r.name)) for r in table.rules]
+        rows = df.select(*df.columns, F.array_compact(F.array(*marked)).alias("_rules"))
+        for column, dimension in FOREIGN_KEYS.items() if table is FACT_SALES else ():
+            known = self.table(dimension).select(column, F.lit(True).alias(f"_{column}"))
+            rows = rows.join(known, column, "left")
+            missing = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
+            marked = F.when(missing, F.array(F.lit(f"foreign_key:{column}"))).otherwise(F.array().cast("array<string>"))
+            rows = rows.withColumn("_rules", F.concat("_rules", marked)).drop(f"_{column}")
+        for key in dict.fromkeys(k for k in (table.surrogate_key, table.natural_key) if k):
+            rows = rows.withColumn("_copies", F.count(key).over(Window.partitionBy(key)))
+            if also is not None:
+                there = also.select(key, F.lit(True).alias("_there")).distinct()
+                rows = rows.join(there, key, "left")
+            else:
+                rows = rows.withColumn("_there", F.lit(None).cast("boolean"))
+            repeated = (F.col("_copies") > 1) | F.col("_there").isNotNull()
+            marked = F.when(repeated, F.array(F.lit(f"unique:{key}"))).otherwise(F.array().cast("array<string>"))
+            rows = rows.withColumn("_rules", F.concat("_rules", marked)).drop("_copies", "_there")
+        rows = rows.select(*df.columns, F.col("_rules").alias(VIOLATIONS))
+        return self.staging.write(rows, f"{table.name}-checked-{new_version()}")[0]
+
+    def _sorted_out(self, marked: DataFrame, table: Table, on_violation: str) -> tuple[DataFrame, DataFrame | None]:
+        """Good rows and, with quarantine, bad ones; an error if there are any otherwise."""
+        counts = {
+            r.rule: r["count"]
+            for r in marked.select(F.explode(VIOLATIONS).alias("rule")).groupBy("rule").count().collect()
+        }
+        if not counts:
+            return marked.drop(VIOLATIONS), None
+        if on_violation == FAIL:
+            raise ConstraintViolation(table.name, dict(sorted(counts.items())))
+        return marked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), marked.where(F.size(VIOLATIONS) > 0)
+
+    def refresh(self, df: DataFrame, table: Table, on_violation: str = FAIL) -> int:
+        """Replace all rows by rows that keep the constraints; how many the table then holds."""
+        good, bad = self._sorted_out(self.checked(df, table), table, on_violation)
+        versions = {table.name: self.write_version(good, table)[0]}
+        if bad is not None:
+            versions[rejected_name(table)], _ = self.write_rejected(bad, table.name)
+        self.publish(versions, [table.name])
         return self.count(table)
 
-    def refresh(self, df: DataFrame, table: Table) -> int:
-        """Replace all rows."""
-        return self.publish(table, self.write_version(df, table))
-
-    # -- growth --------------------------------------------------------------------------------
-
-    def _stored_name(self, table: Table) -> str:
-        if table is DIM_DATE:
-            return self.name(table)
-        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()
-        return self.name(shown["value"])
+    def append(self, df: DataFrame, table: Table, on_violation: str = FAIL) -> int:
+        """Add rows that keep the constraints, bound by column name; how many rows were set apart."""
+        good, bad = self._sorted_out(self.checked(df, table, self.table(table)), table, on_violation)
+        self._shaped(good, table).write.insertInto(self.name(self.published()[table.name]))
+        if bad is None:
+            return 0
+        version, count = self.write_rejected(bad, table.name)
+        self.publish({rejected_name(table): version}, [table.name])
+        return count
 
-    def append(self, df: DataFrame, table: Table) -> None:
-        """Add rows, bound by column name."""
-        self._shaped(df, table).write.insertInto(self._stored_name(table))
+    # -- dates ---------------------------------------------------------------------------------
 
     def absent_dates(self, days: DataFrame) -> DataFrame:
         return absent_from(days, self.table(DIM_DATE), DIM_DATE.natural_key)
 
     def dates_with(self, days: DataFrame) -> DataFrame:
-        """The date dimension as it will be once the days are added."""
+        """The date dimension as it will be once the days are added; days there stay as they are."""
+        if DIM_DATE.name not in self.published():
+            return days
         return self.table(DIM_DATE).unionByName(self.absent_dates(days))
 
     def add_dates(self, days: DataFrame) -> int:
@@ -128,38 +245,49 @@ class Warehouse:
         self.append(self.absent_dates(days), DIM_DATE)
         return self.count(DIM_DATE)
 
-    def replace_rejected(self, rejected: DataFrame, table_name: str) -> int:
-        """Keep the rows that broke a rule in a table of their own."""
-        name = self.name(f"{table_name}_rejected")
-        rejected.write.mode("overwrite").saveAsTable(name)
-        return self.spark.table(name).count()
-
     # -- reading -------------------------------------------------------------------------------
 
+    def tables(self) -> dict[str, DataFrame]:
+        """All published tables, of one and the same switch."""
+        return {t: self.spark.table(self.name(v)) for t, v in self.published().items()}
+
     def table(self, table: Table | str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        name = table if isinstance(table, str) else table.name
+        versions = self.published()
+        if name not in versions:
+            raise ValueError(f"{self.database} has no {name}")
+        return self.spark.table(self.name(versions[name]))
+
+    def rejected(self, table: Table | str) -> DataFrame | None:
+        """The rows that the last run or append set apart, if there are any."""
+        return self.tables().get(rejected_name(table))
 
     def count(self, table: Table | str) -> int:
         """Rows now in the table; for Parquet, Spark reads no more than the file footers."""
         return self.table(table).count()
 
+    def count_version(self, version: str) -> int:
+        return self.spark.table(self.name(version)).count()
+
     def keys(self, table: Table) -> DataFrame:
         """Natural key and surrogate key of a dimension."""
         return self.table(table).select(table.natural_key, table.surrogate_key)
 
     def star(self) -> reports.Star:
+        tables = self.tables()
         return reports.Star(
-            sales=self.table("fact_sales"),
-            product=self.table("dim_product"),
-            customer=self.table("dim_customer"),
-            store=self.table("dim_store"),
-            date=self.table("dim_date"),
+            sales=tables["fact_sales"],
+            product=tables["dim_product"],
+            customer=tables["dim_customer"],
+            store=tables["dim_store"],
+            date=tables["dim_date"],
         )
 
     def register_views(self) -> None:
         """The tables and the two views under their plain names, for SQL text."""
+        tables = self.tables()
+        for name in TABLES:
+            tables[name].createOrReplaceTempView(name)
         star = self.star()
-        for table in TABLES.values():
-            self.table(table).createOrReplaceTempView(table.name)
         reports.sales_summary(star).createOrReplaceTempView("vw_sales_summary")
         reports.monthly_revenue(star).createOrReplaceTempView("vw_monthly_revenue")

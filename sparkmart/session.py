@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024**2
-MOST_SHUFFLE_PARTITIONS = 100_000
+LEAST_SHUFFLE_PARTITIONS = 200
 
 
 def cluster_settings(input_bytes: int) -> dict[str, str]:
@@ -14,9 +14,9 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
     Runtime planning merges shuffle partitions that turn out small and splits skewed ones, but
     never makes more of them than it starts with; so it starts with enough.
     """
-    partitions = input_bytes // BYTES_PER_SHUFFLE_PARTITION
+    partitions = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
     return {
-        "spark.sql.shuffle.partitions": str(min(max(partitions, 200), MOST_SHUFFLE_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(max(partitions, LEAST_SHUFFLE_PARTITIONS)),
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,6 +25,12 @@ def cluster_settings(input_bytes: int) -> dict[str, str]:
     }
 
 
+def bytes_under(spark: SparkSession, path: str) -> int:
+    """The size of all files under a path, from their listing; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def local_session(cores: int = 8, memory: str = "16g", **conf: str) -> SparkSession:
     settings = {
         "spark.driver.memory": memory,

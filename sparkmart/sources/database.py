@@ -17,13 +17,18 @@ class Database:
 
     @classmethod
     def from_environment(cls) -> Database:
-        """The endpoint that DB_HOST, DB_PORT, DB_NAME, DB_USER and DB_PASSWORD name."""
+        """The endpoint that DB_HOST, DB_PORT, DB_NAME, DB_USER and DB_PASSWORD name.
+
+        The name and the user must be set.
+        """
+        missing = [v for v in ("DB_NAME", "DB_USER") if not os.getenv(v)]
+        if missing:
+            raise ValueError(f"set {' and '.join(missing)}")
         host = os.getenv("DB_HOST", "localhost")
         port = os.getenv("DB_PORT", "5432")
-        name = os.getenv("DB_NAME", "etl_datawarehouse")
         return cls(
-            url=f"jdbc:postgresql://{host}:{port}/{name}",
-            user=os.getenv("DB_USER", "postgres"),
+            url=f"jdbc:postgresql://{host}:{port}/{os.environ['DB_NAME']}",
+            user=os.environ["DB_USER"],
             password=os.getenv("DB_PASSWORD", ""),
         )
 
@@ -41,8 +46,14 @@ def read_options(
     upper: object = None,
     partitions: int | None = None,
     fetch_size: int = 10_000,
+    one_task: bool = False,
 ) -> dict[str, str]:
-    """Reader options. With a numeric or date column and its range, tasks read in parallel."""
+    """Reader options. With a numeric or date column and its range, tasks read in parallel.
+
+    A read of a whole table by one task must be asked for.
+    """
+    if not column and not one_task:
+        raise ValueError(f"say how to split the read of {table}, or one_task=True")
     options = {**database.options, "dbtable": table, "fetchsize": str(fetch_size)}
     if column:
         if lower is None or upper is None or not partitions:
@@ -62,9 +73,10 @@ def read_table(spark: SparkSession, database: Database, table: str, **partitioni
 
 
 def write_options(
-    database: Database, table: str, connections: int = 8, batch_size: int = 10_000
+    database: Database, table: str, connections: int, batch_size: int = 10_000
 ) -> dict[str, str]:
-    """Writer options. A full refresh empties the table instead of dropping it."""
+    """Writer options. The tasks that write at once are as many as the database is to bear; a
+    full refresh empties the table instead of dropping it."""
     return {
         **database.options,
         "dbtable": table,
@@ -75,8 +87,13 @@ def write_options(
 
 
 def write_table(
-    df: DataFrame, database: Database, table: str, mode: str = "append", **settings: int
+    df: DataFrame,
+    database: Database,
+    table: str,
+    connections: int,
+    mode: str = "append",
+    batch_size: int = 10_000,
 ) -> None:
     """Append by column name, or replace all rows with mode overwrite."""
-    writer = df.write.format("jdbc").options(**write_options(database, table, **settings))
+    writer = df.write.format("jdbc").options(**write_options(database, table, connections, batch_size))
     writer.mode(mode).save()

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkmart.functions.parse import null_if_token, typed
 from sparkmart.operators.quality import FAIL
 from sparkmart.schemas import SOURCES, Source
+from sparkmart.staging import Staging
 from sparkmart.together import together
 
 INGEST_ORDER = ("_file", "_block", "_row")
 UNREADABLE = "_unreadable"
-_EXTRA = "_extra"
+_EXTRA, _ODD = "_extra", "_odd"
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,21 @@ class Extract:
     rows: DataFrame
     order_by: tuple[str, ...]
     path: str = ""
-    unreadable: DataFrame | None = None
+    marked: DataFrame | None = None
+
+    @property
+    def unreadable(self) -> DataFrame | None:
+        """Rows set apart, as text, with the names of the cells that cannot be read."""
+        return None if self.marked is None else self.marked.where(F.size(UNREADABLE) > 0)
+
+    def parted(self, staging: Staging) -> tuple[Extract, int]:
+        """The same extract with readable and unreadable rows read from one staged copy, so that
+        the source is read once; and the number of the latter."""
+        if self.marked is None:
+            return self, 0
+        counted = {"unreadable": F.count_if(F.size(UNREADABLE) > 0)}
+        staged, seen = staging.write(self.marked, f"{self.source.name}_marked", counted)
+        return _readable(self.source, staged, self.path), seen["unreadable"]
 
     @property
     def data(self) -> DataFrame:
@@ -49,17 +64,26 @@ def with_ingest_order(df: DataFrame) -> DataFrame:
 def read_csv_text(spark: SparkSession, path: str, **options) -> DataFrame:
     """Header CSV as text columns named by the header, with the ingest order.
 
-    Rows shorter than the header are filled with NULL; a longer row stops the job.
+    Rows shorter than the header are filled with NULL; a longer row stops the job. Each file's
+    header is compared with the first one's in the task that reads it: a file with other columns,
+    or the same in another order, stops the job with its name.
     """
     settings = {"header": True, "escape": '"', **options}
     names = spark.read.options(**settings).csv(path).columns
-    fields = ", ".join(f"`{n}` STRING" for n in [*names, _EXTRA])
-    rows = with_ingest_order(spark.read.options(**settings).schema(fields).csv(path))
-    too_long = F.concat(F.lit("more cells than header columns in "), F.col("_file"))
-    fits = F.when(F.col(_EXTRA).isNull(), F.lit(True)).otherwise(
+    fields = [f"`{n}` STRING" for n in names]
+    strict = {**settings, "enforceSchema": False, "columnNameOfCorruptRecord": _ODD}
+    rows = with_ingest_order(
+        spark.read.options(**strict).schema(", ".join([*fields, f"{_ODD} STRING"])).csv(path)
+    )
+    # A row of another length is kept as text as well; read again with one more column, it is long.
+    again = {k: str(v) for k, v in options.items()} | {"escape": settings["escape"]}
+    wider = F.from_csv(F.col(_ODD), ", ".join([*fields, f"{_EXTRA} STRING"]), again)
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit("")) if names else F.lit("")
+    too_long = F.concat(F.lit("more cells than header columns in "), F.col("_file"), F.lit(" at "), first)
+    fits = F.when(F.col(_ODD).isNull() | wider[_EXTRA].isNull(), F.lit(True)).otherwise(
         F.raise_error(too_long).cast("boolean")
     )
-    return rows.where(fits).drop(_EXTRA)
+    return rows.where(fits).drop(_ODD)
 
 
 def check_columns(df: DataFrame, source: Source) -> None:
@@ -84,17 +108,14 @@ def csv_extract(
     """
     raw = read_csv_text(spark, path, **options)
     check_columns(raw, source)
-    text = {
-        c: null_if_token(F.col(c)) if c in raw.columns else F.lit(None).cast("string")
-        for c in source.columns
-    }
+    text = _cell_texts(raw, source)
     values = {c: typed(text[c], kind) for c, kind in source.columns.items()}
     if on_unreadable == FAIL:
         cells = [
             _value_or_error(text[c], values[c], c, source.staging_type(c)).alias(c)
             for c in source.columns
         ]
-        rows, unreadable = raw.select(*cells, *INGEST_ORDER), None
+        rows = raw.select(*cells, *INGEST_ORDER)
     else:
         names = F.array_compact(
             F.array(
@@ -104,12 +125,23 @@ def csv_extract(
                 ]
             )
         )
-        marked = raw.withColumn(UNREADABLE, names)
-        unreadable = marked.where(F.size(UNREADABLE) > 0)
-        rows = marked.where(F.size(UNREADABLE) == 0).select(
-            *[v.alias(c) for c, v in values.items()], *INGEST_ORDER
-        )
-    return Extract(source, rows, INGEST_ORDER, path, unreadable)
+        return _readable(source, raw.withColumn(UNREADABLE, names), path)
+    return Extract(source, rows, INGEST_ORDER, path)
+
+
+def _cell_texts(df: DataFrame, source: Source) -> dict[str, Column]:
+    return {
+        c: null_if_token(F.col(c)) if c in df.columns else F.lit(None).cast("string")
+        for c in source.columns
+    }
+
+
+def _readable(source: Source, marked: DataFrame, path: str) -> Extract:
+    """The extract of rows whose unreadable cells have been named."""
+    texts = _cell_texts(marked, source)
+    cells = [typed(texts[c], kind).alias(c) for c, kind in source.columns.items()]
+    rows = marked.where(F.size(UNREADABLE) == 0).select(*cells, *INGEST_ORDER)
+    return Extract(source, rows, INGEST_ORDER, path, marked)
 
 
 def parquet_extract(spark: SparkSession, path: str, source: Source) -> Extract:

@@ -8,6 +8,7 @@ stages are run again.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # local-cluster has executors of their own
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmart-"))
     return context.getCheckpointDir()
@@ -37,6 +38,11 @@ class Staging:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def drop(self) -> None:
+        """Delete the folder, once nothing reads from it any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write(
         self,
         df: DataFrame,

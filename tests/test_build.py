@@ -263,15 +263,83 @@ def test_group_figures(spark, staging):
 
 
 def test_versions(spark, warehouse):
-    """An unfinished refresh is not seen; a finished one leaves a single version."""
+    """An unfinished refresh is not seen; the version before stays for readers, older ones go by age."""
     stores = spark.createDataFrame([(1, *STORE)], DIM_STORE.ddl)
     warehouse.create_database()
     warehouse.create_schema()
     assert warehouse.refresh(stores, DIM_STORE) == 1
     warehouse.write_version(stores.withColumn("city", F.lit("other")), DIM_STORE)
     assert [r.city for r in warehouse.table(DIM_STORE).collect()] == ["city"]
-    warehouse.append(stores.withColumn("city", F.lit("added")), DIM_STORE)
-    assert sorted(r.city for r in warehouse.table(DIM_STORE).collect()) == ["added", "city"]
+    more = stores.withColumns({"city": F.lit("added"), "store_key": F.lit(2), "store_id": F.lit(2)})
+    warehouse.append(more, DIM_STORE)
+    reader = warehouse.table(DIM_STORE)
+    warehouse.keep_for = dt.timedelta(0)
     assert warehouse.refresh(stores, DIM_STORE) == 1
+    assert sorted(r.city for r in reader.collect()) == ["added", "city"]
     names = [t.name for t in spark.catalog.listTables(warehouse.database)]
-    assert sum(name.startswith("dim_store_v") for name in names) == 1
+    assert sum(name.startswith("dim_store_v") for name in names) == 2
+
+
+STEPS = ["write_version", "count_version", "write_rejected", "publish"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_fails_at_any_step_changes_nothing(run, warehouse, monkeypatch, step):
+    products = [(5, "five", "c", D(1), "s"), (7, "seven", "c", D(1), "s")]
+    run([sale(1, product=5, price="18"), sale(2, product=7, price="2")], products=products)
+    star = warehouse.star()
+    before = {t: warehouse.table(t).collect() for t in TABLES_OF_STAR}
+    top = reports.top_selling_products(star, 3).collect()
+
+    def fail(*_args, **_kwargs):
+        raise RuntimeError(step)
+
+    more = [(3, "three", "c", D(1), "s"), *products, (9, "nine", "c", D(1), None)]
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, step, fail)
+        with pytest.raises(RuntimeError, match=step):
+            run([sale(1, product=3)], products=more, on_violation=quality.QUARANTINE)
+    assert {t: warehouse.table(t).collect() for t in TABLES_OF_STAR} == before
+    assert reports.top_selling_products(warehouse.star(), 3).collect() == top
+    assert warehouse.rejected("dim_product") is None
+
+
+def test_a_report_made_before_a_run_still_finishes_after_it(run, warehouse):
+    run([sale(1)])
+    summary = reports.executive_summary(warehouse.star())
+    run([sale(1), sale(2)])
+    assert summary.first().total_transactions == 1
+    assert reports.executive_summary(warehouse.star()).first().total_transactions == 2
+
+
+def test_rejected_rows_belong_to_their_run(run, warehouse):
+    run([sale(1), sale(2, quantity=0)], on_violation=quality.QUARANTINE)
+    assert warehouse.rejected("fact_sales").count() == 1
+    run([sale(1)], on_violation=quality.QUARANTINE)
+    assert warehouse.rejected("fact_sales") is None
+
+
+def test_append_checks_every_constraint(run, warehouse):
+    run([sale(1)])
+    good = warehouse.table(FACT_SALES)
+    bad = good.withColumns({"sale_id": F.lit(2), "quantity": F.lit(-5), "unit_price": F.lit(D(-1)), "store_key": F.lit(42)})
+    with pytest.raises(quality.ConstraintViolation) as error:
+        warehouse.append(bad, FACT_SALES)
+    assert error.value.counts == {
+        "check:quantity_positive": 1, "check:unit_price_not_negative": 1, "foreign_key:store_key": 1,
+    }
+    with pytest.raises(quality.ConstraintViolation) as error:
+        warehouse.append(good, FACT_SALES)
+    assert error.value.counts == {"unique:sale_id": 1}
+    both = bad.unionByName(good.withColumn("sale_id", F.lit(3)))
+    assert warehouse.append(both, FACT_SALES, quality.QUARANTINE) == 1
+    assert sorted(r.sale_id for r in warehouse.table(FACT_SALES).collect()) == [1, 3]
+    assert [r.sale_id for r in warehouse.rejected(FACT_SALES).collect()] == [2]
+    with pytest.raises(quality.ConstraintViolation) as error:
+        warehouse.refresh(warehouse.table(DIM_DATE).withColumn("day_name", F.lit(None).cast("string")), DIM_DATE)
+    assert list(error.value.counts) == ["not_null:day_name"]
+
+
+def test_staged_rows_go_with_the_run(run, tmp_path):
+    run([sale(1)])
+    assert not [p for p in (tmp_path / "staging").rglob("*.parquet")]

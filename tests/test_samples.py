@@ -1,4 +1,4 @@
-"""Golden values of the sample files as of 2026-03-10; SPARKMART_SAMPLES names their folder."""
+"""Golden values, worked out by hand, of small CSV extracts as of 2026-03-10; the command line."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import SAMPLES, SAMPLES_AS_OF as AS_OF
+from conftest import AS_OF
+from sparkmart.__main__ import main
 from sparkmart.plans import reports
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.warehouse import Warehouse
@@ -15,22 +17,66 @@ from sparkmart.sources.extracts import extract_all
 from sparkmart.sources.sql import run_query
 from sparkmart.staging import Staging
 
+FILES = {
+    # Product 1 twice, product 4 with a negative cost.
+    "products": '''product_id,product_name,category,unit_cost,supplier
+1,"Lamp 27""",Light,4.00,one
+2,Cup,Kitchen,1.50,two
+1,Second lamp,Other,7.00,two
+3,"Pan, large",Kitchen,10,two
+4,Bowl,Kitchen,-1.00,two
+''',
+    # An address without an at sign, a customer without a last name.
+    "customers": """customer_id,first_name,last_name,email,phone,city,state,registration_date
+1,Ann,Ash,ann@x,,Rome,RM,2025-03-10
+2,Bob,Birch,bob-at-x,555,Oslo,OS,2026-03-01
+3,Cid,NULL,c@x,,Bonn,BN,2026-03-01
+""",
+    "stores": """store_id,store_name,city,state,region,manager_name,opening_date
+1,North Shop,Rome,RM,North,Kim,2020-01-01
+2,South Shop,Bari,BA,South,,2021-01-01
+""",
+    # A copy of 101; 104 by the dropped customer; 105 and 106 of unknown products; 107 negative;
+    # 108 outside the window.
+    "sales": """order_id,product_id,customer_id,store_id,quantity,price,order_date
+100,1,1,1,2,10.00,2026-03-01
+101,2,1,2,3,4.00,2026-03-01
+102,3,2,1,1,25.00,2026-02-10
+103,1,2,2,1,9.99,2026-01-05
+101,2,1,2,9,9.00,2026-03-01
+104,1,3,1,1,5.00,2026-03-02
+105,9,1,1,1,5.00,2026-03-02
+106,4,1,1,1,5.00,2026-03-02
+107,1,1,1,-1,5.00,2026-03-02
+108,1,1,1,1,5.00,2025-01-01
+""",
+}
 
-pytestmark = pytest.mark.skipif(not SAMPLES, reason="SPARKMART_SAMPLES is not set")
+
+@pytest.fixture(scope="module")
+def samples(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("files")
+    for name, text in FILES.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
 
 
 @pytest.fixture(scope="module")
-def sample_build(spark, tmp_path_factory):
+def sample_build(spark, samples, tmp_path_factory):
     folder = tmp_path_factory.mktemp("samples")
     warehouse = Warehouse(spark, "samples_mart", location=str(folder / "mart"))
     staging = Staging(spark, str(folder))
-    return StarBuild(extract_all(spark, SAMPLES), warehouse, AS_OF, staging=staging).run()
+    return StarBuild(extract_all(spark, samples), warehouse, AS_OF, staging=staging).run()
 
 
 def money(*texts):
     return tuple(D(t) for t in texts)
 
 
+def rows_of(report):
+    return [tuple(r) for r in report.collect()]
+
+
 @pytest.fixture(scope="module")
 def star(sample_build):
     return sample_build.warehouse.star()
@@ -38,76 +84,67 @@ def star(sample_build):
 
 def test_executive_summary(star):
     row = reports.executive_summary(star).first()
-    assert tuple(row) == (500, *money("238132.65", "93372.62"), 1517, 50, 20, *money("476.27", "39.21"))
+    assert tuple(row) == (4, *money("66.99", "40.49"), 7, 2, 3, *money("16.75", "60.44"))
 
 
 def test_regions(star):
-    rows = [tuple(r) for r in reports.revenue_by_region(star).collect()]
-    assert rows == [
-        ("West", 213, 641, *money("99806.25", "38550.32", "468.57")),
-        ("South", 149, 452, *money("73302.48", "29841.51", "491.96")),
-        ("Northeast", 92, 283, *money("41611.45", "16376.15", "452.30")),
-        ("Midwest", 46, 141, *money("23412.47", "8604.64", "508.97")),
+    assert rows_of(reports.revenue_by_region(star)) == [
+        ("North", 2, 3, *money("45.00", "27.00", "22.50")),
+        ("South", 2, 4, *money("21.99", "13.49", "11.00")),
     ]
 
 
 def test_months(star):
-    rows = [tuple(r) for r in reports.monthly_sales_trends(star).collect()]
-    assert rows == [
-        (2026, 3, "March    ", 53, 152, *money("25680.79", "10009.49", "484.54")),
-        (2026, 2, "February ", 174, 505, *money("80378.70", "31444.87", "461.95")),
-        (2026, 1, "January  ", 158, 495, *money("80642.58", "32009.08", "510.40")),
-        (2025, 12, "December ", 115, 365, *money("51430.58", "19909.18", "447.22")),
+    assert rows_of(reports.monthly_sales_trends(star)) == [
+        (2026, 3, "March    ", 2, 5, *money("32.00", "19.50", "16.00")),
+        (2026, 2, "February ", 1, 1, *money("25.00", "15.00", "25.00")),
+        (2026, 1, "January  ", 1, 1, *money("9.99", "5.99", "9.99")),
     ]
 
 
 def test_categories(star):
-    rows = [tuple(r) for r in reports.category_performance(star).collect()]
-    assert rows[0] == ("Storage", 6, 148, 421, *money("76082.16", "31250.32", "211.15", "41.07"))
-    assert rows[-1] == ("Electronics", 1, 17, 59, *money("11626.29", "4722.11", "277.77", "40.62"))
-    assert [r[0] for r in rows] == ["Storage", "Furniture", "Audio", "Accessories", "Electronics"]
+    assert rows_of(reports.category_performance(star)) == [
+        ("Kitchen", 2, 2, 4, *money("37.00", "22.50", "11.25", "60.81")),
+        ("Light", 1, 2, 3, *money("29.99", "17.99", "9.00", "59.99")),
+    ]
 
 
 def test_stores(star):
-    rows = reports.sales_by_store(star).collect()
-    assert rows[0].store_name == "Store 8" and rows[-1].store_name == "Store 1"
-    assert tuple(rows[0])[4:] == (57, 166, *money("26974.87", "9935.30", "473.24"))
-    assert tuple(rows[-1])[4:] == (40, 121, *money("19071.86", "7738.14", "476.80"))
+    rows = rows_of(reports.sales_by_store(star))
+    assert [r[0] for r in rows] == ["North Shop", "South Shop"]
+    assert [r[4:] for r in rows] == [
+        (2, 3, *money("45.00", "27.00", "22.50")), (2, 4, *money("21.99", "13.49", "11.00")),
+    ]
 
 
 def test_customer_patterns(star):
-    rows = [tuple(r) for r in reports.customer_purchasing_patterns(star).collect()]
-    assert rows == [
-        ("Established", 43, 415, D("10.52"), *money("198698.72", "478.79")),
-        ("Recent", 6, 75, D("13.11"), *money("33566.57", "447.55")),
-        ("Loyal", 1, 10, D("10.00"), *money("5867.36", "586.74")),
+    assert rows_of(reports.customer_purchasing_patterns(star)) == [
+        ("New", 1, 2, D("2.00"), *money("34.99", "17.50")),
+        ("Established", 1, 2, D("2.00"), *money("32.00", "16.00")),
     ]
 
 
 def test_top_lists(star):
-    products = [tuple(r) for r in reports.top_selling_products(star, 3).collect()]
-    assert [p[0] for p in products] == ["External SSD 1TB", "Monitor Arm", "Tablet Stand"]
-    assert products[0][2:] == (92, *money("28624.94", "10684.02", "314.41"))
-    customers = [tuple(r) for r in reports.top_customers(star, 3).collect()]
-    assert [c[0] for c in customers] == [
-        "Customer_6 Last_6", "Customer_43 Last_43", "Customer_14 Last_14",
+    products = rows_of(reports.top_selling_products(star, 2))
+    assert [p[:3] for p in products] == [('Lamp 27"', "Light", 3), ("Pan, large", "Kitchen", 1)]
+    assert [p[3:5] for p in products] == [money("29.99", "17.99"), money("25.00", "15.00")]
+    customers = rows_of(reports.top_customers(star, 3))
+    assert [(c[0], *c[5:]) for c in customers] == [
+        ("Bob Birch", 2, 2, *money("34.99", "17.50")), ("Ann Ash", 2, 5, *money("32.00", "16.00")),
     ]
-    assert customers[0][5:] == (17, 60, *money("10832.14", "637.18"))
 
 
 def test_daily_summary(star):
     rows = reports.daily_sales_summary(star, 30, AS_OF).collect()
-    assert len(rows) == 30
-    assert sum(r.transactions for r in rows) == 175
-    assert sum(r.revenue for r in rows) == D("83096.44")
+    assert [(r.full_date, r.transactions, r.revenue) for r in rows] == [
+        (dt.date(2026, 3, 1), 2, D("32.00")), (dt.date(2026, 2, 10), 1, D("25.00")),
+    ]
 
 
 def test_views_agree_with_summary(star):
-    from pyspark.sql import functions as F
-
     sums = reports.sales_summary(star).agg(F.sum("revenue"), F.sum("profit"), F.count("*")).first()
-    assert tuple(sums) == (D("238132.65"), D("93372.62"), 500)
-    assert reports.monthly_revenue(star).agg(F.sum("total_revenue")).first()[0] == D("238132.65")
+    assert tuple(sums) == (D("66.99"), D("40.49"), 4)
+    assert reports.monthly_revenue(star).agg(F.sum("total_revenue")).first()[0] == D("66.99")
 
 
 def test_full_report_names(star):
@@ -119,39 +156,73 @@ def test_full_report_names(star):
     ]
 
 
-def test_quoted_quote(star):
-    names = {r.product_name for r in star.product.collect()}
-    assert 'Monitor 27"' in names
+def test_dimension_cells(star):
+    assert {r.product_name for r in star.product.collect()} == {'Lamp 27"', "Cup", "Pan, large"}
+    customers = {r.customer_id: (r.email, r.phone) for r in star.customer.collect()}
+    assert customers == {1: ("ann@x", None), 2: ("invalid@email.com", "555")}
 
 
 def test_sql_text(spark, sample_build):
     sample_build.warehouse.register_views()
     text = "SELECT count(*) AS n FROM vw_sales_summary WHERE region = %(region)s"
-    assert run_query(spark, text, {"region": "Midwest"}).first().n == 46
+    assert run_query(spark, text, {"region": "North"}).first().n == 2
     with pytest.raises(Exception):
         run_query(spark, "SELECT nothing FROM nowhere")
 
 
 def test_stats(sample_build):
     assert sample_build.status == "SUCCESS"
-    assert sample_build.stats["extract"]["sales"] == {"records": 500, "columns": 7}
-    assert sample_build.stats["transform"]["sales"] == {
-        "input_records": 500, "output_records": 500, "removed_records": 0,
+    stats = sample_build.stats
+    assert stats["extract"]["sales"] == {"records": 10, "columns": 7}
+    assert stats["transform"] == {
+        "products": {"input_records": 5, "output_records": 3, "removed_records": 2},
+        "customers": {
+            "input_records": 3, "output_records": 2, "removed_records": 1, "nulls_last_name": 1,
+            "invalid_emails": 1,
+        },
+        "stores": {"input_records": 2, "output_records": 2, "removed_records": 0},
+        "sales": {"input_records": 10, "output_records": 6, "removed_records": 4},
     }
-    assert sample_build.stats["load"]["dim_date"] == {"records_inserted": 151}
-    assert sample_build.stats["load"]["fact_sales"] == {
-        "records_inserted": 500, "records_source": 500,
+    assert stats["load"]["dim_date"] == {"records_inserted": 151}
+    assert stats["load"]["fact_sales"] == {
+        "records_inserted": 4, "records_source": 6, "unresolved_product_id": 0,
+        "unresolved_customer_id": 1, "unresolved_store_id": 0, "unresolved_order_date": 1,
     }
-    assert sample_build.validation_errors == []
-    assert sample_build.validation_frame().count() == 0
+    assert [e["message"] for e in sample_build.validation_errors] == [
+        "Found 1 negative values in unit_cost", "Found 1 negative values in quantity",
+    ]
     summary = {r.metric: r.value for r in sample_build.summary_frame().where("stage = 'run'").collect()}
     assert summary["status"] == "SUCCESS" and int(summary["duration_seconds"]) >= 0
 
 
-@pytest.mark.parametrize(
-    "as_of, sales", [(dt.date(2026, 6, 1), 227), (dt.date(2026, 12, 4), 0)]
-)
-def test_window(spark, warehouse, staging, as_of, sales):
-    run = StarBuild(extract_all(spark, SAMPLES), warehouse, as_of, staging=staging).run()
+@pytest.mark.parametrize("as_of, sales", [(dt.date(2026, 6, 1), 3), (dt.date(2026, 12, 4), 0)])
+def test_window(spark, samples, warehouse, staging, as_of, sales):
+    run = StarBuild(extract_all(spark, samples), warehouse, as_of, staging=staging).run()
     assert run.stats["load"]["fact_sales"]["records_inserted"] == sales
-    assert run.stats["load"]["fact_sales"]["unresolved_order_date"] == 500 - sales
+
+
+def test_command_line_prints_every_row(spark, tmp_path, capsys):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for name in ("products", "customers"):
+        (folder / f"{name}.csv").write_text(FILES[name])
+    heads = {name: text.split("\n")[0] for name, text in FILES.items()}
+    stores = [f"{k},Shop {k:02d},Rome,RM,North,Kim,2020-01-01" for k in range(1, 26)]
+    days = [AS_OF - dt.timedelta(days=d) for d in range(31)]
+    sales = [f"{d * 100 + k},1,1,{k},1,5.00,{day}" for d, day in enumerate(days) for k in range(1, 26)]
+    (folder / "stores.csv").write_text("\n".join([heads["stores"], *stores]))
+    (folder / "sales.csv").write_text("\n".join([heads["sales"], *sales]))
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        main([str(folder), "--database", "printed_mart", "--location", str(tmp_path / "mart"), "--as-of", str(AS_OF)])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    printed = capsys.readouterr().out
+    assert "store_performance: 25 rows" in printed and "daily_summary: 31 rows" in printed
+    assert all(f"\nShop {k:02d}\t" in printed for k in range(1, 26))
+    daily = printed[printed.index("daily_summary:") :]
+    assert all(f"\n{day}\t" in daily for day in days)
+    assert spark.table("printed_mart.report_store_performance").count() == 25

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkmart.operators.cleaning import keep_first
 from sparkmart.operators.joins import lookup, with_group_figures
 from sparkmart.operators.keys import POSITION, number_rows, stage_in_order
-from sparkmart.plans import reports
+from sparkmart.plans import facts, reports
 from sparkmart.session import cluster_settings
 from sparkmart.sources.driver_tables import AS_OF
 
@@ -160,4 +160,34 @@ def test_no_python_in_any_plan(small_build):
 def test_settings_grow_with_the_data():
     assert cluster_settings(0)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_settings(1024**4)["spark.sql.shuffle.partitions"] == "2048"
-    assert cluster_settings(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_settings(100 * 1024**4)["spark.sql.shuffle.partitions"] == "204800"
+    assert cluster_settings(100 * 1024**4 + 1)["spark.sql.shuffle.partitions"] == "204801"
+
+
+def test_fact_input_is_dealt_by_day_and_order(spark, staging, small_limits):
+    """A hot day with a third of the sales falls into many tasks; ids rise with (date, order)."""
+    day = F.when(F.col("id") % 3 == 0, 69).otherwise(F.col("id") % 300).cast("int")
+    sales, _ = staging.write(
+        spark.range(0, ROWS, 1, 8).select(F.col("id").alias("order_id"), F.date_add(F.lit("2025-01-01"), day).alias("order_date")),
+        "sales",
+    )
+    dates = sales.select(F.col("order_date").alias("full_date"), F.date_format("order_date", "yyyyMMdd").cast("int").alias("date_key")).distinct()
+    inputs = sales.select("order_id", F.date_format("order_date", "yyyyMMdd").cast("int").alias("date_key"))
+    ordered, _ = staging.write(facts.in_order(inputs, sales, facts.Dimensions(None, None, None, dates)), "ordered")
+    sizes = ordered.groupBy(F.shiftright(F.col("sale_id") - 1, 33)).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 1.2 * ROWS / 16
+    rows = [tuple(r) for r in ordered.orderBy("sale_id").collect()]
+    assert len({r[0] for r in rows}) == ROWS
+    assert [r[1:] for r in rows] == sorted((r[1:] for r in rows), key=lambda r: (r[1], r[0]))
+
+
+def test_sales_are_read_once_for_all_lookup_figures(small_build):
+    warehouse = small_build.warehouse
+    sales = warehouse.star().sales
+    keyed = sales.select(
+        F.col("product_key").alias("product_id"), F.col("customer_key").alias("customer_id"),
+        F.col("store_key").alias("store_id"), F.col("created_at").alias("order_date"),
+    )
+    tables = [warehouse.table(t) for t in ("dim_product", "dim_customer", "dim_store", "dim_date")]
+    plan = plan_of(facts.lookup_figures(keyed, facts.Dimensions(*tables)))
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "fact_sales" in line]) == 1

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SAMPLES_AS_OF
+from conftest import AS_OF
 from pyspark.sql import functions as F
 
 from sparkmart.operators.cleaning import keep_first
@@ -50,6 +50,29 @@ def test_long_row_stops_the_job(spark, tmp_path):
         extract.data.collect()
 
 
+@pytest.mark.parametrize("second", [
+    "product_id,category,product_name,unit_cost,supplier\n7,light,lamp,2,s\n",
+    "product_id,product_name,category,unit_cost\n7,lamp,light,2\n",
+])
+def test_files_with_other_headers_stop_the_job(spark, tmp_path, second):
+    folder = tmp_path / "products"
+    folder.mkdir()
+    write(folder / "a.csv", HEADER + "1,a,b,2,c\n" * 200)
+    write(folder / "b.csv", second)
+    extract = csv_extract(spark, str(folder), PRODUCTS)
+    with pytest.raises(Exception, match="header.*[ab].csv|[ab].csv"):
+        extract.data.collect()
+
+
+def test_files_with_equal_headers(spark, tmp_path):
+    folder = tmp_path / "products"
+    folder.mkdir()
+    write(folder / "a.csv", HEADER + "1,a,b,2,c\n")
+    write(folder / "b.csv", HEADER + "2,a,b\n")
+    rows = csv_extract(spark, str(folder), PRODUCTS).data.orderBy("product_id").collect()
+    assert [(r.product_id, r.supplier) for r in rows] == [(1, "c"), (2, None)]
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(Exception):
         csv_extract(spark, str(tmp_path / "none.csv"), PRODUCTS).data.count()
@@ -118,7 +141,7 @@ def test_quarantined_extract_reaches_its_table(spark, tmp_path):
     write(folder / "customers.csv", "customer_id,first_name,last_name,email,phone,city,state,registration_date\n1,a,b,a@b,,c,ST,2026-01-01\n")
     write(folder / "sales.csv", ",".join(SALES.columns) + "\n1,1,1,1,2,5.00,2026-03-01\n")
     run = build_from_csv(
-        spark, str(folder), "unreadable_mart", SAMPLES_AS_OF, "quarantine", str(tmp_path / "mart")
+        spark, str(folder), "unreadable_mart", AS_OF, "quarantine", str(tmp_path / "mart")
     )
     assert run.stats["load"]["products_rejected"] == {"records_inserted": 1}
     assert run.stats["extract"]["products"] == {"records": 2, "columns": 5}
@@ -137,8 +160,13 @@ def test_database_options(monkeypatch):
     options = database.read_options(db, "fact_sales", "sale_id", 1, 1000, 10)
     assert options["partitionColumn"] == "sale_id" and options["numPartitions"] == "10"
     assert options["user"] == "me" and options["password"] == "secret"
-    assert "partitionColumn" not in database.read_options(db, "dim_store")
+    assert "partitionColumn" not in database.read_options(db, "dim_store", one_task=True)
+    with pytest.raises(ValueError):
+        database.read_options(db, "dim_store")
     with pytest.raises(ValueError):
         database.read_options(db, "fact_sales", "sale_id")
     written = database.write_options(db, "fact_sales", connections=4)
     assert written["numPartitions"] == "4" and written["truncate"] == "true"
+    monkeypatch.delenv("DB_USER")
+    with pytest.raises(ValueError, match="DB_USER"):
+        database.Database.from_environment()
