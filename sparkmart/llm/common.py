@@ -1,18 +1,16 @@
-"""What several operators share: reading a table, staging a step, Arrow batches cut by size."""
+"""What several operators share: reading a table, sending the package, Arrow batches cut by size."""
 
 from __future__ import annotations
 
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkmart.staging import Staging
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,9 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each Spark application."""
+    """Send this package to the Python workers, once for each Spark application.
+
+    Rows are whole texts here, and Spark's batches of 10,000 rows would hold tens of megabytes on
+    either side of each worker; where that default is in force, batches of 1,000 rows replace it.
+    """
+    if spark.conf.get(ROWS_PER_BATCH) == "10000":
+        spark.conf.set(ROWS_PER_BATCH, "1000")
     application = spark.sparkContext.applicationId
     if application not in _SHIPPED:
         _SHIPPED.add(application)
@@ -43,12 +49,6 @@ def shipping(function: Callable) -> Callable:
     return run
 
 
-def staged(df: DataFrame, name: str, staging: Staging | None = None) -> DataFrame:
-    """df written once into the shared folder and read back: its lineage ends there."""
-    staging = staging or Staging(df.sparkSession)
-    return staging.write(df, name)[0]
-
-
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of a batch, each with about most_bytes of text or a single row."""
     offsets, start, size = batch.column(column), 0, 0
@@ -85,7 +85,3 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Only these columns; others, whatever their names, go no further."""
     return df.select(*[df[n] for n in names])
-
-
-def record(data: Sequence, names: Sequence[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([a if isinstance(a, pa.Array) else pa.array(a) for a in data], list(names))

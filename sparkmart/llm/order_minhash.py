@@ -177,6 +177,7 @@ def sketched(docs: DataFrame, text_col: str) -> DataFrame:
                 if rows:
                     kinds = (pa.binary(), pa.int64(), pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["t", "n", "keys"])
+        _WORDS.clear()  # the worker goes on to other tasks
 
     return docs.select(text_col).mapInArrow(run, "t BINARY, n BIGINT, keys ARRAY<BIGINT>").dropDuplicates(["t"])
 
@@ -194,6 +195,7 @@ def aligned_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
                         last, shingles = name, shingle_hashes(words_of(other.as_py()))
                     good.append(similarity(shingle_hashes(words_of(text.as_py())), shingles, threshold) >= threshold)
                 yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        _WORDS.clear()
 
     return pairs.select("t", "u", "text", "other").mapInArrow(run, "t BINARY, u BINARY")
 

@@ -40,12 +40,12 @@ ODD = re.compile(r"[\x1C-\x1F]")
 NOT_LATIN = re.compile(r"[^\x00-\u024F]")
 #: Marks that end a word and are tokens of their own behind a letter or digit.
 TAIL = ".,;:!?#*$%&|)\""
-#: Words whose ids a worker keeps; beyond, it starts anew.
+#: Words whose ids a task keeps; beyond, it starts anew.
 KNOWN_WORDS = 400_000
 
 
 class WordCache:
-    """Token ids of a text, from those of its white-space separated words, which a worker keeps.
+    """Token ids of a text, from those of its white-space separated words, which a task keeps.
 
     Right for tokenizers that fold case, drop white space and never merge across it or between
     letters and marks. A word is taken as a stem and the marks behind it. Stems of Latin letters
@@ -110,18 +110,22 @@ class WordCache:
                     stems[k] = new[k]
                 folded[k] = stems[k]
         self._of_letters(list({s for s, plain in zip(folded, letters) if plain and s not in known}))
-        tails = {w[len(s) :] for w, s in zip(new, stems)} - {""}
-        self._one_by_one([s for s in {folded[k] for k in odd} | tails if s not in known])
+        ending = [k for k, (w, s) in enumerate(zip(new, stems)) if len(w) > len(s)]
+        tails = [new[k][len(stems[k]) :] for k in ending]
+        self._one_by_one([s for s in {folded[k] for k in odd} | set(tails) if s not in known])
         known[""] = b""
-        self.words.update(
-            (w, known[f] if len(w) == len(s) else known[f] + known[w[len(s) :]]) for w, s, f in zip(new, stems, folded)
-        )
+        ids = [known[f] for f in folded]
+        for k, tail in zip(ending, tails):
+            ids[k] += known[tail]
+        self.words.update(zip(new, ids))
+
+    def forget(self) -> None:
+        self.words, self.stems = {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.words) > KNOWN_WORDS or len(self.stems) > KNOWN_WORDS:
-            self.words.clear()
-            self.stems.clear()
+            self.forget()
         split = [WHITE.split(t) if ODD.search(t) else t.split() for t in texts]
         words = self.words
         new = list(set().union(*split).difference(words))
@@ -174,6 +178,7 @@ def tokenized(
                 arrays += [pa.array(x, t) for x, t in zip(named, kinds)][: 5 if with_ids else 4]
                 names = [id_col, "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
+        _CACHES[0].forget()  # the worker goes on to other tasks, of any kind
 
     return docs.mapInArrow(run, schema)
 

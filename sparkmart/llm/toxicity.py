@@ -79,7 +79,7 @@ class Model:
     def hits(self, words: list[str]) -> list[tuple[int, float]]:
         """Places and scores of the words that have one."""
         seen = self.seen
-        if len(seen) > 400_000:
+        if len(seen) > 200_000:
             seen.clear()
         for word in words:
             if word not in seen:
