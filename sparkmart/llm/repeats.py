@@ -134,7 +134,8 @@ def anchor_buckets(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
                     name = int(names[own[a]])
                     rows.append((name % buckets, 1, np.array([name]).tobytes(), None, which[a:b].astype("<u8").tobytes()))
                 each, owner = hashes[begins], text[begins]
-                bucket = (((each >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)).astype(np.int64)
+                even = (each * _FACTORS[1]) >> np.uint64(40)  # anchors are small hashes, buckets must be even
+                bucket = ((even * np.uint64(buckets)) >> np.uint64(24)).astype(np.int64)
                 order = np.lexsort([owner, bucket])
                 each, owner, bucket = each[order], owner[order], bucket[order]
                 for a, b in _runs(bucket):
@@ -251,7 +252,8 @@ def contexts(texts: DataFrame) -> DataFrame:
             a, b = bounds[k], bounds[k + 1]
             keep[a:b] = np.isin(short[a:b], wanted.values.to_numpy())
         out: list[tuple] = []
-        found_in = _Firsts(lambda x: out.append((1, x[1], x[2], x[3], x[4], x[5], None, None)), 2)
+        # What is settled here goes on by its row: all copies of a passage have the same hash.
+        found_in = _Firsts(lambda x: out.append((1, x[3], x[2], x[3], x[4], x[5], None, None)), 2)
         for k, place, start, end, own in zip(*[found[n][keep].tolist() for n in ("text", "place", "start", "end", "hash")]):
             own = own - (1 << 64) if own >= 1 << 63 else own
             text = texts[k][start : end + WINDOW]
