@@ -174,7 +174,7 @@ class StarBuild:
         """Write the fact, once, as its new version. Its rules are observed in that write."""
         sales = self.cleaned["sales"]
         inputs = facts.fact_inputs(sales.rows, dims)
-        rows = facts.with_fact_measures(facts.in_order(inputs, sales.staged, dims))
+        rows = facts.with_fact_measures(facts.in_order(inputs, sales.staged, dims, sales.output))
         quarantine = self.on_violation == QUARANTINE
         version, figures = self.warehouse.write_version(
             with_load_columns(rows), FACT_SALES, rule_counts(FACT_SALES.rules), passes(FACT_SALES.rules)

@@ -52,12 +52,17 @@ def fact_rows(sales: DataFrame, dims: Dimensions) -> DataFrame:
     return with_fact_measures(fact_inputs(sales, dims)).drop("price", "unit_cost")
 
 
-def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions) -> DataFrame:
+#: A task of the fact's write has about so many sales at least, lest files become tiny.
+LEAST_ROWS = 100_000
+
+
+def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions, rows: int | None = None) -> DataFrame:
     """Inputs dealt to tasks by (date, order), sorted there, with sale_id rising in that order.
 
     The bounds come from the staged sales, per day: their number and their first and last order.
     That is one row for each day of the calendar, so it is broadcast. Within a day, orders are
-    dealt by their number, so that a hot day falls into many tasks.
+    dealt by their number, so that a hot day falls into many tasks. These are as many as the
+    session's shuffle partitions, or fewer where the rows, if their number is given, are few.
     """
     per_day = (
         sales.groupBy(F.to_date("order_date").alias("full_date"))
@@ -71,6 +76,7 @@ def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions) -> DataFrame
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_all"),
     )
     parts = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts if rows is None else max(1, min(parts, -(-rows // LEAST_ROWS)))
     inside = (F.col("order_id") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
     place = (F.col("_before") + inside * F.col("_n")) / F.col("_all")
     part = F.least(F.floor(place * parts), F.lit(parts - 1)).cast("int")

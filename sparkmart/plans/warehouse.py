@@ -20,9 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from sparkmart.functions.dates import month_of_key
 from sparkmart.operators.joins import absent_from
-from sparkmart.operators.quality import (
-    FAIL, VIOLATIONS, ConstraintViolation, broken, broken_rules,
-)
+from sparkmart.operators.quality import FAIL, VIOLATIONS, ConstraintViolation, broken
 from sparkmart.plans import reports
 from sparkmart.schemas import DIM_DATE, FACT_SALES, FOREIGN_KEYS, TABLES, Table
 from sparkmart.staging import Staging
