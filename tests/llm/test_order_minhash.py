@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -45,8 +46,15 @@ def test_banded_alignment():
         assert found == (pytest.approx(real) if real >= 0.8 else 0.0)
 
 
+def may_reach(a, b):
+    """Whether texts with these shingle counts share enough of them, in whatever order."""
+    common, total = sum((a & b).values()), sum(a.values()) + sum(b.values())
+    return common >= 0.8 * (total - common)
+
+
 def brute(rows):
     shingles = [om.shingle_hashes(words_of(t or "")) for _, t in rows]
+    counts = [Counter(s.tolist()) for s in shingles]
     root = list(range(len(rows)))
 
     def find(x):
@@ -57,7 +65,8 @@ def brute(rows):
     for x in range(len(rows)):
         for y in range(x):
             same = (rows[x][1] or "") == (rows[y][1] or "")
-            if same or len(shingles[x]) and len(shingles[y]) and plain_similarity(shingles[x].tolist(), shingles[y].tolist()) >= 0.8:
+            worth = len(shingles[x]) and len(shingles[y]) and may_reach(counts[x], counts[y])
+            if same or worth and plain_similarity(shingles[x].tolist(), shingles[y].tolist()) >= 0.8:
                 root[find(x)] = find(y)
     groups: dict = {}
     for x, (doc, _) in enumerate(rows):
