@@ -13,9 +13,10 @@ Equal texts are one text from the start. In a bucket, all members are compared w
 not with each other: that is linear in its size. The leader is the member whose buckets hold most
 texts, as an original's do among its copies. Buckets with several classes are looked at again:
 their members are put into finer buckets, of two sketches together, led first as before and then
-by the members that no leader aligned with. What then still waits is compared with each other
-where four sketches agree: texts at the threshold still meet there, while unlike copies of one
-original, which a coarse bucket is full of, hardly do.
+by the members that no leader aligned with. That only saves work: all texts of the coarse buckets
+that hold several classes then still meet each text of another class that they may align with. The
+shingles of a text are put in one order for all texts, rare ones first; texts at the threshold
+share one of those that come before the last 80 % (a prefix filter, which loses no pair).
 Classes are the connected components, found by alternating star contractions on staged edges.
 Nothing but counts comes to the driver.
 
@@ -29,6 +30,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +48,12 @@ THRESHOLD = 0.8
 SKETCHES, TAKEN = 16, 3
 #: Keys of texts (16 bytes) up to this number are broadcast to fetch the texts.
 BROADCAST_KEYS = 1_000_000
-#: Sketches that together make a finer bucket, and a finest.
+#: Sketches that together make a finer bucket.
 PAIRED = [(i, (i + a) % SKETCHES) for a in (1, 3, 7) for i in range(SKETCHES)]
-FOURS = [
-    (i, (i + a) % SKETCHES, (i + b) % SKETCHES, (i + c) % SKETCHES)
-    for a, b, c in ((1, 2, 3), (1, 4, 6), (2, 5, 9), (3, 7, 12), (1, 5, 10), (2, 6, 13))
-    for i in range(SKETCHES)
-]
-#: Rounds with one new leader per finer bucket, before all that waits is compared.
+#: Rounds with one new leader per finer bucket, before texts of different classes are compared.
 SINGLE_ROUNDS = 2
+#: Bits of a shingle's hash that name the slot it is counted in. Counts only put shingles in order.
+SLOT_BITS = 20
 
 
 def text_key(text: Column) -> Column:
@@ -138,6 +137,11 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     return matched / (total - matched) if matched >= least else 0.0
 
 
+def ratio(threshold: float) -> tuple[int, int]:
+    """The threshold as it is written, in whole numbers: 0.8 is 4 / 5."""
+    return Fraction(str(float(threshold))).as_integer_ratio()
+
+
 def _same_ahead(a: np.ndarray, b: np.ndarray) -> int:
     n = min(len(a), len(b))
     unlike = np.flatnonzero(a[:n] != b[:n])
@@ -182,6 +186,61 @@ def sketched(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "t BINARY, n BIGINT, keys ARRAY<BIGINT>").dropDuplicates(["t"])
 
 
+def shingled(texts: DataFrame) -> DataFrame:
+    """(t, shingles): the labelled shingles of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                own = [labelled(shingle_hashes(words_of(text))).view(np.int64) for text in texts_of(part, "text")]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.list_(pa.int64()))], ["t", "shingles"])
+        _WORDS.clear()
+
+    return texts.select("t", "text").mapInArrow(run, "t BINARY, shingles ARRAY<BIGINT>")
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many shingles of all the texts (t, shingles) fall into each slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            counts += np.bincount(_slots(batch.column(1).flatten().to_numpy()), minlength=1 << SLOT_BITS)
+        slots = np.flatnonzero(counts)
+        for k in range(0, len(slots), 100_000):
+            own = slots[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(counts[own])], ["slot", "n"])
+
+    found = texts.select("t", "shingles").mapInArrow(run, "slot BIGINT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def prefixes(texts: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    """(bucket, t, n, ahead): the shingles, rare slots first, one of which any text at the threshold
+    shares; ahead is how many of the text's n shingles come from there on, in this order."""
+    sent = texts.sparkSession.sparkContext.broadcast(counts)
+    over, under = ratio(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                own = batch.column(1)[k].values.to_numpy()
+                n = len(own)
+                some = n + over * n // -under + 1  # n - ceil(threshold * n) + 1
+                first = own[np.lexsort((own, sent.value[_slots(own)]))[:some]]
+                t, whole = pa.repeat(batch.column(0)[k], len(first)), pa.repeat(pa.scalar(n, pa.int64()), len(first))
+                ahead = pa.array(n - np.arange(len(first), dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(first), t, whole, ahead], ["bucket", "t", "n", "ahead"])
+
+    return texts.select("t", "shingles").mapInArrow(run, "bucket BIGINT, t BINARY, n BIGINT, ahead BIGINT")
+
+
 def aligned_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (t, u, text, other) that align, as (t, u)."""
 
@@ -208,7 +267,10 @@ class Texts:
         self.staging, self.broadcast_keys = staging, broadcast_keys
 
     def of(self, pairs: DataFrame, name: str) -> DataFrame:
-        keys = pairs.select(F.explode(F.array("t", "u")).alias("t")).distinct()
+        return self.at(pairs.select(F.explode(F.array("t", "u")).alias("t")), name)
+
+    def at(self, keys: DataFrame, name: str) -> DataFrame:
+        keys = keys.distinct()
         keys, seen = self.staging.write(keys, f"{name}-keys", {"n": F.count(F.lit(1))})
         if seen["n"] <= self.broadcast_keys:
             keys = F.broadcast(keys)
@@ -255,6 +317,36 @@ class Linking:
                 self.roots = components(self.found, self.staging, f"classes-{self.turn}")
         self.turn += 1
 
+    def compare_unlike(self, keys: DataFrame) -> None:
+        """Align each two texts of these keys (t) that have different classes and may align."""
+        own, _ = self.staging.write(shingled(self.texts.at(keys, "unlike")), "shingles")
+        members, seen = self.mixed(prefixes(own, slot_counts(own), self.threshold), "prefixes")
+        if not seen:
+            return
+        # All but the largest class of a bucket look for partners in it.
+        sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("largest"))
+        seeking = members.join(largest, "bucket").where("root <> largest").drop("largest")
+        met = members.toDF("bucket", *[f"other_{c}" for c in members.columns[1:]])
+        over, under = ratio(self.threshold)
+        most = F.least("ahead", "other_ahead")  # shingles in common, where this is the first
+        may = (F.col("root") != F.col("other_root")) & (most * (over + under) >= (F.col("n") + F.col("other_n")) * over)
+        a, b = F.struct("t", "n"), F.struct(F.col("other_t").alias("t"), F.col("other_n").alias("n"))
+        pairs = seeking.join(met, "bucket").where(may).groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        pairs = pairs.agg(F.count(F.lit(1)).alias("shared")).select("a.t", "a.n", F.col("b.t").alias("u"), F.col("b.n").alias("m"), "shared")
+        pairs, seen = self.staging.write(pairs, "unlike-pairs", {"n": F.count(F.lit(1))})
+        if seen["n"]:
+            # Of two classes first the pair with most in common: if it aligns, they are one class.
+            classes = F.array_sort(F.array("root", "other")).alias("classes")
+            best = F.max_by(F.struct("t", "n", "u", "m"), F.struct("shared", "t", "u")).alias("best")
+            self.compare(self.apart(pairs).groupBy(classes).agg(best).select("best.*"))
+            self.compare(self.apart(pairs))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose texts t and u have different classes, with both (root, other)."""
+        others = self.rooted(pairs.select(F.col("u").alias("t")).distinct()).select(F.col("t").alias("u"), F.col("root").alias("other"))
+        return self.rooted(pairs).join(others, "u").where("root <> other")
+
 
 def leaders_of(members: DataFrame) -> DataFrame:
     """The heaviest member of each bucket."""
@@ -294,7 +386,7 @@ def linked(
     waiting = fine.select("bucket", "t", "n", "weight")
     for turn in range(single_rounds):
         if not seen:
-            return linking.roots
+            break
         # A class is done with in a bucket once a member of it has led there.
         now, seen = linking.mixed(waiting, f"waiting-{turn}")
         first, _ = staging.write(leaders_of(now), f"leaders-{turn}")
@@ -302,12 +394,10 @@ def linked(
         done = linking.rooted(first.select("bucket", F.col("u").alias("t"))).select("bucket", "root")
         rest = linking.rooted(now.drop("root")).join(done, ["bucket", "root"], "left_anti")
         waiting, _ = staging.write(rest.select("bucket", "t", "n", "weight"), f"rest-{turn}")
-    now, seen = linking.mixed(waiting, "last")
-    if seen:
-        now, seen = linking.mixed(together_in(every, now, FOURS), "finest")
+    # What was done with above has not met the members that have not led: it meets them here.
+    left, seen = linking.mixed(left.drop("root"), "coarse-last")
     if seen:
-        other = now.select("bucket", F.col("t").alias("u"), F.col("n").alias("m"), F.col("root").alias("other"))
-        linking.compare(now.join(other, "bucket").where("t < u AND root <> other"))
+        linking.compare_unlike(left.select("t"))
     return linking.roots
 
 

@@ -127,3 +127,42 @@ def test_sketches_follow_order():
 
 def test_empty(docs, fresh):
     assert om.classes(docs([]), staging=fresh).count() == 0
+
+
+def classes_of(rows):
+    """The classes by comparing all pairs, for many texts."""
+    shingles = [om.shingle_hashes(words_of(t)) for _, t in rows]
+    counts = [Counter(s.tolist()) for s in shingles]
+    root = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            if root[x] != root[y] and may_reach(counts[x], counts[y]) and om.similarity(shingles[x], shingles[y]) >= 0.8:
+                root = [root[y] if r == root[x] else r for r in root]
+    return {frozenset(rows[k][0] for k in range(len(rows)) if root[k] == r) for r in set(root)}
+
+
+def found_classes(rows):
+    groups: dict = {}
+    for r in rows.collect():
+        groups.setdefault(r.root, set()).add(r.doc_id)
+    return {frozenset(g) for g in groups.values()}
+
+
+def second_copies():
+    """Groups of an original, copies, and copies of copies that are near their copy only."""
+    rng = random.Random(3)
+    rows = []
+    for group in range(4):
+        words = [f"g{group}w{j}" for j in range(150)]
+        texts = [words]
+        for _ in range(60):
+            texts.append(edited(words, 0.015, rng))
+        for copy in texts[1:61]:
+            texts.append(edited(copy, 0.035, rng))
+        rows += [(1000 * group + k, " ".join(t)) for k, t in enumerate(texts)]
+    return rows
+
+
+def test_second_copies_meet_members_that_have_led(docs, fresh):
+    rows = second_copies()
+    assert found_classes(om.classes(docs(rows), staging=fresh)) == classes_of(rows)
