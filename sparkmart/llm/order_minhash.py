@@ -122,7 +122,8 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     total = len(a) + len(b)
-    least = threshold * total / (1 + threshold)  # matches that are needed
+    over, under = ratio(threshold)
+    least = -(-over * total // (over + under))  # matches that are needed, in whole numbers
     if min(len(a), len(b)) < least:
         return 0.0
     head = _same_ahead(a, b)
@@ -133,7 +134,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     if matched + sum(common.values()) < least:
         return 0.0
     if common:
-        matched += _aligned(rest_a, rest_b, int(total - 2 * least) + 1)
+        matched += _aligned(rest_a, rest_b, total - 2 * least + 1)
     return matched / (total - matched) if matched >= least else 0.0
 
 
@@ -301,7 +302,8 @@ class Linking:
 
     def compare(self, led: DataFrame) -> None:
         """Align the texts t and u (of n and m shingles) of each row that have not been yet."""
-        close = F.least("n", "m") >= F.lit(self.threshold) * F.greatest("n", "m")
+        over, under = ratio(self.threshold)
+        close = F.least("n", "m") * under >= F.greatest("n", "m") * over
         pairs = led.where(close).select(F.least("t", "u").alias("t"), F.greatest("t", "u").alias("u")).distinct()
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["t", "u"], "left_anti")

@@ -166,3 +166,9 @@ def second_copies():
 def test_second_copies_meet_members_that_have_led(docs, fresh):
     rows = second_copies()
     assert found_classes(om.classes(docs(rows), staging=fresh)) == classes_of(rows)
+
+
+def test_pairs_at_exactly_the_threshold():
+    for k in range(1, 500):
+        short, long = np.arange(4 * k, dtype=np.uint64), np.arange(5 * k, dtype=np.uint64)
+        assert om.similarity(short, long) == 0.8
