@@ -23,6 +23,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import columns, slices, texts_of
+from sparkmart.llm.spans import distinct, spans
 from sparkmart.staging import Staging
 
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -43,6 +45,15 @@ TAIL = ".,;:!?#*$%&|)\""
 #: Words whose ids a task keeps; beyond, it starts anew.
 KNOWN_WORDS = 400_000
 
+#: Latin-1 characters with the case folded and white space made one.
+FOLD = bytes(
+    32 if chr(c) in "\t\n\v\f\r\x85\xa0" else ord(chr(c).lower()) for c in range(256)
+)
+#: Of the folded characters: white space and the end of a text 0, letters and digits 1, marks that end a word 2.
+KIND = np.array(
+    [0 if c in (0, 32) else 2 if chr(c) in TAIL else 1 if chr(c).isalnum() else 3 for c in range(256)], np.uint8
+)
+
 
 class WordCache:
     """Token ids of a text, from those of its white-space separated words, which a task keeps.
@@ -51,6 +62,10 @@ class WordCache:
     letters and marks. A word is taken as a stem and the marks behind it. Stems of Latin letters
     are encoded many at a time, folded already; the tokens that end a word tell them apart. All
     other stems go through the whole tokenizer one by one.
+
+    Texts of Latin-1 characters, nearly all as a rule, are folded and parted from their marks many
+    at a time, as bytes; only stems are looked up there, not every spelling of a word. Texts with
+    other characters or with strings that the tokenizer treats specially go word by word.
     """
 
     def __init__(self, model: str):
@@ -63,30 +78,37 @@ class WordCache:
         self.of_letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        self.of_ascii = Tokenizer.from_str(model)  # whose letters stand for themselves in the vocabulary
+        self.of_ascii.normalizer, self.of_ascii.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
         suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.special = [t.content.lower().encode("latin-1", "replace") for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
 
-    def _one_by_one(self, stems: list[str]) -> None:
+    def _one_by_one(self, stems: list[str]) -> list[bytes]:
+        ids = []
         for k in range(0, len(stems), 1000):
             found = self.tokenizer.encode_batch_fast(stems[k : k + 1000], add_special_tokens=False)
-            self.stems.update((s, np.array(f.ids, "<u4").tobytes()) for s, f in zip(stems[k:], found))
+            ids += [np.array(f.ids, "<u4").tobytes() for f in found]
+        return ids
 
-    def _of_letters(self, stems: list[str]) -> None:
+    def _of_letters(self, stems: list[str]) -> list[bytes]:
+        ids: list[bytes] = []
         for k in range(0, len(stems), 1000):
             some = stems[k : k + 1000]
-            found = self.of_letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, "<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            joined = " ".join(some)
+            tokenizer = self.of_ascii if joined.isascii() else self.of_letters
+            found = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
             if len(ends) != len(some):
-                self._one_by_one(some)
+                ids += self._one_by_one(some)
                 continue
-            packed = ids.tobytes()
-            self.stems.update((s, packed[a:b]) for s, a, b in zip(some, [0, *ends], ends))
+            packed = found.tobytes()
+            ids += map(packed.__getitem__, map(slice, [0, *ends], ends))
+        return ids
 
     def _learn(self, new: list[str]) -> None:
         """Put words into the cache."""
@@ -109,10 +131,12 @@ class WordCache:
                 if not stems[k].lower()[-1:].isalnum():  # what is left isn't a stem with marks behind it
                     stems[k] = new[k]
                 folded[k] = stems[k]
-        self._of_letters(list({s for s, plain in zip(folded, letters) if plain and s not in known}))
+        plain = list({s for s, plain in zip(folded, letters) if plain and s not in known})
+        known.update(zip(plain, self._of_letters(plain)))
         ending = [k for k, (w, s) in enumerate(zip(new, stems)) if len(w) > len(s)]
         tails = [new[k][len(stems[k]) :] for k in ending]
-        self._one_by_one([s for s in {folded[k] for k in odd} | set(tails) if s not in known])
+        others = [s for s in {folded[k] for k in odd} | set(tails) if s not in known]
+        known.update(zip(others, self._one_by_one(others)))
         known[""] = b""
         ids = [known[f] for f in folded]
         for k, tail in zip(ending, tails):
@@ -120,12 +144,75 @@ class WordCache:
         self.words.update(zip(new, ids))
 
     def forget(self) -> None:
-        self.words, self.stems = {}, {}
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        if len(self.words) > KNOWN_WORDS or len(self.stems) > KNOWN_WORDS:
+        if max(len(self.words), len(self.stems), len(self.parts)) > KNOWN_WORDS:
             self.forget()
+        found: list[bytes] = [b""] * len(texts)
+        plain, numbers, others = [], [], []
+        for k, text in enumerate(texts):
+            try:
+                folded = text.encode("latin-1").translate(FOLD)
+            except UnicodeEncodeError:
+                others.append(k)
+                continue
+            if b"\x00" in folded or any(s in folded for s in self.special):
+                others.append(k)
+            else:
+                plain.append(folded)
+                numbers.append(k)
+        if plain:
+            for k, ids in zip(numbers, self._latin(plain)):
+                found[k] = ids
+        if others:
+            for k, ids in zip(others, self._by_words([texts[k] for k in others])):
+                found[k] = ids
+        return found
+
+    def _latin(self, folded: list[bytes]) -> list[bytes]:
+        """The ids of texts of Latin-1 characters, folded, without null characters."""
+        texts = np.frombuffer(b"\x00" + b"\x00".join(folded) + b"\x00", np.uint8)
+        kind = KIND[texts]
+        first, stop = spans(kind == 2)
+        behind = first[(kind[first - 1] == 1) & (kind[stop] == 0)]  # between a stem and white space
+        texts = np.insert(texts, behind, 32)
+        starts, ends = spans((texts != 0) & (texts != 32))
+        some, part = distinct(texts, starts, ends)
+        whole = texts.tobytes()
+        parts = [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
+        known = self.parts
+        new = [p for p in parts if p not in known]
+        self._learn_parts(new)
+        ids = [known[p] for p in parts]
+        for p in new:
+            if len(p) > 64:  # rare, and they would fill the memory
+                known.pop(p, None)
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2  # of ids, as are all counts below
+        offset = (np.cumsum(size) - size)[part]
+        size = size[part]
+        stops = np.cumsum(size)
+        found = pool[np.repeat(offset - (stops - size), size) + np.arange(size.sum())].tobytes()
+        before = np.append(0, stops)[np.searchsorted(starts, np.flatnonzero(texts == 0))]
+        return [found[4 * a : 4 * b] for a, b in zip(before.tolist(), before[1:].tolist())]
+
+    def _learn_parts(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        named = b" ".join(new).decode("latin-1").split(" ")
+        letters = np.fromiter(map(str.isalpha, named), bool, len(named))
+        plain = np.fromiter(map(str.isascii, named), bool, len(named))
+        for encode, kind in (
+            (self._of_letters, letters & plain), (self._of_letters, letters & ~plain), (self._one_by_one, ~letters)
+        ):
+            some = list(compress(named, kind.tolist()))
+            self.parts.update(zip(compress(new, kind.tolist()), encode(some)))
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         split = [WHITE.split(t) if ODD.search(t) else t.split() for t in texts]
         words = self.words
         new = list(set().union(*split).difference(words))
@@ -141,6 +228,18 @@ class WordCache:
 _CACHES: dict[int, WordCache] = {}
 
 
+def encoded(
+    batches: Iterator[pa.RecordBatch], model: Broadcast, text_col: str
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Inside a task: slices of its rows, each with the ids of its texts."""
+    if 0 not in _CACHES:
+        _CACHES[0] = WordCache(model.value)
+    for batch in batches:
+        for part in slices(batch, text_col, 3 << 20):
+            yield part, _CACHES[0].encode(texts_of(part, text_col))
+    _CACHES[0].forget()  # the worker goes on to other tasks, of any kind
+
+
 def tokenized(
     docs: DataFrame,
     model: Broadcast,
@@ -161,24 +260,20 @@ def tokenized(
     last, step = np.array([end], "<u4").tobytes(), 4 * length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if 0 not in _CACHES:
-            _CACHES[0] = WordCache(model.value)
-        for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
-                rows, owner = [], []
-                for k, ids in enumerate(_CACHES[0].encode(texts_of(part, text_col))):
-                    ids += last
-                    for n, at in enumerate(range(0, len(ids), step)):
-                        piece = ids[at : at + step]
-                        owner.append(k)
-                        rows.append((n, at // 4, len(piece) // 4, zlib.crc32(piece), piece))
-                named = list(zip(*rows))
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                arrays = [part.column(id_col).take(pa.array(owner, pa.int64()))]
-                arrays += [pa.array(x, t) for x, t in zip(named, kinds)][: 5 if with_ids else 4]
-                names = [id_col, "piece", "start", "length", "ids_crc32", "ids"]
-                yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
-        _CACHES[0].forget()  # the worker goes on to other tasks, of any kind
+        for part, texts in encoded(batches, model, text_col):
+            rows, owner = [], []
+            for k, ids in enumerate(texts):
+                ids += last
+                for n, at in enumerate(range(0, len(ids), step)):
+                    piece = ids[at : at + step]
+                    owner.append(k)
+                    rows.append((n, at // 4, len(piece) // 4, zlib.crc32(piece), piece))
+            named = list(zip(*rows))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            arrays = [part.column(id_col).take(pa.array(owner, pa.int64()))]
+            arrays += [pa.array(x, t) for x, t in zip(named, kinds)][: 5 if with_ids else 4]
+            names = [id_col, "piece", "start", "length", "ids_crc32", "ids"]
+            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
     return docs.mapInArrow(run, schema)
 
