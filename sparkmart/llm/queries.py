@@ -11,8 +11,11 @@ import public_tokenizers
 
 from sparkmart.llm import (
     chat,
+    concatenation,
     line_dedup,
     order_minhash,
+    phrases,
+    prefix_trie,
     quality_rules,
     repeats,
     secret_scan,
@@ -350,3 +353,99 @@ FROM d LEFT JOIN cut ON cut.r = d.r
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that documents with smaller ids have."""
     return repeats.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+CRC_STEP = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),"
+    f" lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: {CRC_STEP}), 4294967295)"
+)
+
+
+@query(
+    "op11_prefix_trie",
+    rf"""
+WITH said AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (
+  SELECT conv_id, list({{'h': sha256(length(role) || ':' || role || text),
+                        'w': len(regexp_extract_all(text, '[^ 	-
+]+'))}} ORDER BY turn NULLS FIRST, role, text) AS own
+  FROM said GROUP BY conv_id),
+plan AS (SELECT conv_id, own, conv_id - ((conv_id % 20) + 20) % 20 AS base, {CRC_SQL} % 4 AS h FROM lists),
+rebuilt AS (
+  SELECT plan.conv_id, list_concat(coalesce(lists.own[1 : h], []), plan.own[h + 1 :]) AS turns
+  FROM plan LEFT JOIN lists ON lists.conv_id = plan.base),
+keys AS (SELECT conv_id, turns, array_to_string(list_transform(turns, lambda t: t.h), '') AS whole FROM rebuilt),
+passes AS (SELECT conv_id, substr(whole, 1, 64 * d) AS node, d, len(turns) AS n, CASE WHEN d > 0 THEN turns[d].w ELSE 0 END AS words
+           FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM keys)),
+nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+          FROM passes GROUP BY node, d),
+kids AS (SELECT substr(node, 1, 64 * (d - 1)) AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+tree AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.node = nodes.node),
+below AS (
+  SELECT substr(node, 1, 64 * j) AS node, sum((n_convs - 1) * words) AS saved, count_if(n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS j FROM tree) GROUP BY 1)
+SELECT tree.conv_id, tree.d AS depth, parents.conv_id AS parent_conv_id, tree.n_convs, tree.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, tree.ends_sha256
+FROM tree JOIN below ON below.node = tree.node
+LEFT JOIN nodes parents ON tree.d > 0 AND parents.node = substr(tree.node, 1, 64 * (tree.d - 1))
+""",
+)
+def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, some with the opening of another one of their group."""
+    staging = Staging(spark)
+    turns = prefix_trie.reopened_turns(table(spark, sf_dir, "conversations"), staging)
+    return prefix_trie.build(turns, staging)
+
+
+@query("op12_concatenation")
+def concatenated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one stream of tokens, cut into sequences of 2048."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as model:
+        tokenizer = spark.sparkContext.broadcast(model.read())
+    return concatenation.cut(concatenation.stream(table(spark, sf_dir, "documents"), tokenizer), 2048)
+
+
+PHRASES_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {FOLD_SQL} AS t FROM documents),
+pieces AS (SELECT r, lang, unnest(ps) AS piece, unnest(range(len(ps))) AS p
+           FROM (SELECT r, lang, string_split_regex(t, '[.,;:!?\\x0A-\\x0D]') AS ps FROM d)),
+split AS (SELECT r, lang, p, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(ws[i + 1 : i + size], ' ') AS phrase
+  FROM (SELECT lang, ws, size, unnest(range(len(ws) - size + 1)) AS i
+        FROM split, (SELECT unnest([1, 2, 3]) AS size) WHERE len(ws) >= size)),
+f AS MATERIALIZED (
+  SELECT lang, size, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM grams
+  GROUP BY lang, size, phrase HAVING count(*) >= 10),
+sides AS MATERIALIZED (
+  SELECT lang, phrase, a, k, array_to_string(ws[1 : k], ' ') AS lhs, array_to_string(ws[k + 1 :], ' ') AS rhs
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM f)),
+cuts AS (
+  SELECT sides.lang, sides.phrase, sides.a, k, x.a AS l, y.a AS r,
+         CAST(1000000 * CAST(sides.a AS HUGEINT) * sides.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM sides JOIN f x ON x.lang = sides.lang AND x.phrase = lhs
+  JOIN f y ON y.lang = sides.lang AND y.phrase = rhs),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts),
+around AS (
+  SELECT lang, part, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM f WHERE size = 3)
+  GROUP BY lang, part),
+ranked AS (
+  SELECT w.lang, w.phrase, w.a, l, r, score,
+         row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, w.a DESC, w.phrase) AS rank
+  FROM weakest w LEFT JOIN around ON around.lang = w.lang AND around.part = w.phrase
+  WHERE nth = 1 AND (most IS NULL OR 100 * most < 50 * w.a))
+SELECT ranked.lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", PHRASES_SQL)
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two or three words of each language of the documents."""
+    counted = phrases.frequent_phrases(table(spark, sf_dir, "documents"), most=3, min_count=10)
+    return phrases.collocations(counted, most=3, first=2000)
