@@ -205,9 +205,23 @@ def dimension_refresh(spark, sf_dir):
     return warehouse.table(DIM_CUSTOMER)
 
 
+def _with_dimensions(spark, sf_dir) -> tuple[Warehouse, DataFrame]:
+    """A warehouse with the dimensions of the star and no sales yet, and the star's sales."""
+    built = build(spark, sf_dir).warehouse
+    warehouse = _fresh_warehouse(spark)
+    warehouse.append(built.table(DIM_DATE), DIM_DATE)
+    for dimension in (DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE):
+        warehouse.refresh(built.table(dimension), dimension)
+    return warehouse, built.table(FACT_SALES)
+
+
 @query("K4_fact_refresh", "SELECT * FROM fact_sales")
 def fact_refresh(spark, sf_dir):
-    return numbered(star(spark, sf_dir).sales).drop("created_at")
+    """The second refresh replaces the sales of the first."""
+    warehouse, sales = _with_dimensions(spark, sf_dir)
+    warehouse.refresh(sales.where("quantity > 10").withColumn("quantity", F.lit(1)), FACT_SALES)
+    warehouse.refresh(sales, FACT_SALES)
+    return numbered(warehouse.table(FACT_SALES)).drop("created_at")
 
 
 @query("K5_append", """
@@ -255,21 +269,73 @@ SELECT sale_id, CASE WHEN sale_id % 3 = 1 THEN 'foreign_key:store_key' ELSE 'che
 FROM fact_sales WHERE sale_id % 3 <> 0
 """)
 def append_fact(spark, sf_dir):
-    """Of the sales, a third has an unknown store and a third no quantity; a refresh sets both apart."""
-    built = build(spark, sf_dir).warehouse
-    warehouse = _fresh_warehouse(spark)
-    warehouse.append(built.table(DIM_DATE), DIM_DATE)
-    for table in (DIM_PRODUCT, DIM_CUSTOMER, DIM_STORE):
-        warehouse.refresh(built.table(table), table)
+    """Of the sales, a third has an unknown store and a third no quantity; an append to sales that
+    are there sets both apart."""
+    warehouse, sales = _with_dimensions(spark, sf_dir)
     number = F.col("sale_id") % 3
-    sales = numbered(built.table(FACT_SALES)).withColumns({
+    sales = numbered(sales)
+    warehouse.append(sales.where(number == 0), FACT_SALES)
+    bad = sales.where(number != 0).withColumns({
         "store_key": F.when(number == 1, F.lit(-1)).otherwise(F.col("store_key")),
         "quantity": F.when(number == 2, F.lit(0)).otherwise(F.col("quantity")),
     })
-    warehouse.refresh(sales, FACT_SALES, QUARANTINE)
+    warehouse.append(bad, FACT_SALES, QUARANTINE)
     return warehouse.rejected(FACT_SALES).select("sale_id", F.concat_ws(",", VIOLATIONS).alias("broken"))
 
 
+@query("K5_fact_in_appends", """
+SELECT *, CASE WHEN date_month < 199701 THEN 'appended' ELSE 'late' END AS came FROM fact_sales
+""")
+def fact_in_appends(spark, sf_dir):
+    """The sales in three appends, the last with its columns in another order and with all the rows
+    of the first once more, which are set apart; what was appended is read before and after."""
+    warehouse, sales = _with_dimensions(spark, sf_dir)
+    early = sales.where("date_month < 199701")
+    warehouse.append(early.where("store_key % 2 = 0"), FACT_SALES)
+    warehouse.append(early.where("store_key % 2 = 1"), FACT_SALES)
+    seen = warehouse.table(FACT_SALES).select("sale_id", F.lit("appended").alias("came"))
+    again = sales.where("date_month >= 199701 OR store_key % 2 = 0")
+    warehouse.append(again.select(*reversed(again.columns)), FACT_SALES, QUARANTINE)
+    whole = warehouse.table(FACT_SALES).join(seen, "sale_id", "left").fillna("late", ["came"])
+    return numbered(whole).drop("created_at")
+
+
+@query("K5_repeated_keys", """
+SELECT 'unique:store_id' AS broken, count(*) AS n FROM fact_sales WHERE store_key % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'unique:store_id,unique:store_key', count(*) FROM fact_sales WHERE store_key % 3 = 1
+UNION ALL SELECT 'unique:store_key', count(*) FROM fact_sales WHERE store_key % 3 = 2
+""")
+def repeated_keys(spark, sf_dir):
+    """As many new stores as there are sales: their ids or keys repeat, as often as a store has sales,
+    or are there already."""
+    built = build(spark, sf_dir).warehouse
+    warehouse = _fresh_warehouse(spark)
+    stores = built.table(DIM_STORE)
+    warehouse.append(stores, DIM_STORE)
+    sales = numbered(built.table(FACT_SALES)).select("store_key", "sale_id").join(stores, "store_key")
+    new, kind = -F.col("sale_id"), F.col("store_key") % 3
+    bad = sales.withColumns({
+        "store_key": F.when(kind == 0, new).otherwise(F.col("store_key")),
+        "store_id": F.when(kind == 2, new).otherwise(F.col("store_id")),
+    }).drop("sale_id")
+    warehouse.append(bad, DIM_STORE, QUARANTINE)
+    names = F.array_join(F.array_sort(VIOLATIONS), ",").alias("broken")
+    return warehouse.rejected(DIM_STORE).groupBy(names).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("K5_compact", "SELECT * FROM dim_customer")
+def compact(spark, sf_dir):
+    """Four appends made one segment."""
+    warehouse = _fresh_warehouse(spark)
+    customers = build(spark, sf_dir).warehouse.table(DIM_CUSTOMER)
+    for part in range(4):
+        warehouse.append(customers.where(F.col("customer_key") % 4 == part), DIM_CUSTOMER)
+    warehouse.compact(DIM_CUSTOMER)
+    if len(warehouse.published()[DIM_CUSTOMER.name]) != 1:
+        raise AssertionError("more than one segment is left")
+    return warehouse.table(DIM_CUSTOMER)
+
+
 @query("K6_insert_if_absent", """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date,
        CASE WHEN year(o_orderdate) < 1998 THEN 'kept'

@@ -1,26 +1,37 @@
-"""The star schema in the catalog: creation, refresh, append and views.
+"""The star schema in the catalog: creation, refresh, append, compaction and views.
 
-Every table is written as versions, and one small view, the pointer, says which version of each
-table is published. A refresh writes new versions beside the old ones and then replaces the
-pointer, for all tables in one catalog operation, as its last step: readers see either the old
-tables or the new ones, and a run that fails before that changes nothing. The versions published
-before stay for readers that still use them; older ones go by age.
+Every table is a list of segments, tables of their own that never change once they are published,
+and one small view, the pointer, is the manifest: it names the segments of each table. A refresh
+writes new segments beside the old ones, an append one more; either then replaces the pointer, for
+all tables in one catalog operation, as its last step. Readers see the old rows or the new ones,
+and a run that fails before that changes nothing. The segments published before stay for readers
+that still use them; older ones go by age. compact() makes many segments one.
 
 Nothing is added unchecked: refresh and append run the row rules, the uniqueness of keys and the
-foreign keys of a table over the rows first.
+foreign keys of a table over the rows first. The rows are written once; keys are then counted and
+looked up by themselves, and only where some are bad do whole rows meet them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sparkmart.functions.dates import month_of_key
 from sparkmart.operators.joins import absent_from
-from sparkmart.operators.quality import FAIL, VIOLATIONS, ConstraintViolation, broken
+from sparkmart.operators.quality import (
+    FAIL,
+    VIOLATIONS,
+    ConstraintViolation,
+    broken,
+    duplicate_keys,
+    rule_counts,
+    unmatched_keys,
+)
 from sparkmart.plans import reports
 from sparkmart.schemas import DIM_DATE, FACT_SALES, FOREIGN_KEYS, TABLES, Table
 from sparkmart.staging import Staging
@@ -29,6 +40,10 @@ POINTER = "published_versions"
 KEEP_FOR = dt.timedelta(days=7)
 
 
+class ConcurrentChange(RuntimeError):
+    """Another run published a table while this one was at work on it."""
+
+
 def new_version() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
@@ -89,47 +104,56 @@ class Warehouse:
             )
         self.publish(versions)
 
-    # -- versions ------------------------------------------------------------------------------
+    # -- segments ------------------------------------------------------------------------------
 
-    def _pointers(self) -> tuple[dict[str, str], set[str]]:
-        """The published version of each table, and all versions that the pointer names."""
+    def _manifest(self) -> dict[str, tuple[list[str], list[str]]]:
+        """For each table the segments that are published and those that were so before."""
         if not self.spark.catalog.tableExists(self.name(POINTER)):
-            return {}, set()
-        rows = self.spark.table(self.name(POINTER)).collect()  # a few for each table
-        now = {r.table_name: r.version for r in rows if r.version}
-        return now, {v for r in rows for v in (r.version, r.previous) if v}
+            return {}
+        rows = self.spark.table(self.name(POINTER)).collect()  # one for each table
+        return {r.table_name: (list(r.segments), list(r.previous)) for r in rows}
 
-    def published(self) -> dict[str, str]:
-        """The published version of each table; read once for a consistent view of several."""
-        return self._pointers()[0]
+    def published(self) -> dict[str, list[str]]:
+        """The segments of each table; read once for a consistent view of several."""
+        return {t: now for t, (now, _) in self._manifest().items() if now}
 
-    def publish(self, versions: dict[str, str], rejects_of: Iterable[str] = ()) -> None:
-        """Make these versions the tables, all in one catalog operation.
+    def publish(
+        self,
+        segments: Mapping[str, str | Sequence[str]],
+        rejects_of: Iterable[str] = (),
+        basis: Mapping[str, Sequence[str]] | None = None,
+    ) -> None:
+        """Make these segments (a single one may come as its name) the tables, in one catalog operation.
 
         rejects_of names the tables and sources whose rejected rows this run has settled: what is
-        not among the versions has no rejected rows any more.
+        not among the segments has no rejected rows any more. basis tells what tables were when the
+        run read them; if one is not that any more, nothing is published.
         """
-        before, _ = self._pointers()
+        before = self.published()
+        for table, read in (basis or {}).items():
+            if before.get(table, []) != list(read):
+                raise ConcurrentChange(f"{table} has changed since it was read")
         settled = {rejected_name(t) for t in rejects_of}
-        now = {t: v for t, v in before.items() if t not in settled} | versions
+        new = {t: [s] if isinstance(s, str) else list(s) for t, s in segments.items()}
+        now = {t: s for t, s in before.items() if t not in settled} | new
         rows = ", ".join(
             f"('{t}', {self._literal(now.get(t))}, {self._literal(before.get(t))})"
             for t in sorted(now.keys() | before.keys())
         )
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(POINTER)} AS"
-            f" SELECT * FROM VALUES {rows} AS t(table_name, version, previous)"
+            f" SELECT * FROM VALUES {rows} AS t(table_name, segments, previous)"
         )
         self._drop_old()
 
     @staticmethod
-    def _literal(version: str | None) -> str:
-        return f"'{version}'" if version else "CAST(NULL AS STRING)"
+    def _literal(segments: Sequence[str] | None) -> str:
+        return f"CAST(array({', '.join(repr(s) for s in segments or ())}) AS ARRAY<STRING>)"
 
     def _drop_old(self) -> None:
-        """Drop versions that are neither published nor were so last, once they are old enough
+        """Drop segments that are neither published nor were so last, once they are old enough
         not to be another run's that is still being written."""
-        _, named = self._pointers()
+        named = {s for lists in self._manifest().values() for listed in lists for s in listed}
         limit = (dt.datetime.now(dt.timezone.utc) - self.keep_for).strftime("%Y%m%d%H%M%S%f")
         for found in self.spark.sql(f"SHOW TABLES IN {self.database}").collect():
             age = re.fullmatch(r"\w+_v(\d{20})", found.tableName)
@@ -171,62 +195,105 @@ class Warehouse:
 
     # -- constraints ---------------------------------------------------------------------------
 
-    def checked(self, df: DataFrame, table: Table, also: DataFrame | None = None) -> DataFrame:
-        """The rows in the table's types, staged, with the names of all constraints that each
-        breaks: row rules, keys that repeat (in the rows or in also), foreign keys without a row.
+    def existing_keys(self, table: Table, key: str, low: object, high: object) -> DataFrame:
+        """The keys of a table from low to high. The bounds reach the scan, where the statistics of
+        files and row groups leave out what lies outside: tables are sorted by their keys."""
+        return self.table(table).select(key).where(F.col(key).between(F.lit(low), F.lit(high)))
+
+    def _bad_keys(self, rows: DataFrame, table: Table, bounds: dict, against: bool) -> list[tuple[str, str, DataFrame]]:
+        """(rule, column, values): the values that break a foreign key or a unique one, staged.
+
+        Values are looked at without the rest of their rows: each once for foreign keys, counted for
+        unique ones, and against the part of the table that the new keys' range leaves.
         """
-        marked = [F.when(broken(r), F.lit(r.name)) for r in table.rules]
-        rows = df.select(*df.columns, F.array_compact(F.array(*marked)).alias("_rules"))
+        found = []
+
+        def note(rule: str, column: str, values: DataFrame) -> None:
+            name = f"{table.name}-{rule.replace(':', '-')}-{new_version()}"
+            staged, seen = self.staging.write(values.select(column), name, {"n": F.count(F.lit(1))})
+            if seen["n"]:
+                found.append((rule, column, staged))
+
         for column, dimension in FOREIGN_KEYS.items() if table is FACT_SALES else ():
-            known = self.table(dimension).select(column, F.lit(True).alias(f"_{column}"))
-            rows = rows.join(known, column, "left")
-            missing = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
-            marked = F.when(missing, F.array(F.lit(f"foreign_key:{column}"))).otherwise(F.array().cast("array<string>"))
-            rows = rows.withColumn("_rules", F.concat("_rules", marked)).drop(f"_{column}")
+            note(f"foreign_key:{column}", column, unmatched_keys(rows, column, self.table(dimension)))
         for key in dict.fromkeys(k for k in (table.surrogate_key, table.natural_key) if k):
-            rows = rows.withColumn("_copies", F.count(key).over(Window.partitionBy(key)))
-            if also is not None:
-                there = also.select(key, F.lit(True).alias("_there")).distinct()
-                rows = rows.join(there, key, "left")
-            else:
-                rows = rows.withColumn("_there", F.lit(None).cast("boolean"))
-            repeated = (F.col("_copies") > 1) | F.col("_there").isNotNull()
-            marked = F.when(repeated, F.array(F.lit(f"unique:{key}"))).otherwise(F.array().cast("array<string>"))
-            rows = rows.withColumn("_rules", F.concat("_rules", marked)).drop("_copies", "_there")
-        rows = rows.select(*df.columns, F.col("_rules").alias(VIOLATIONS))
-        return self.staging.write(rows, f"{table.name}-checked-{new_version()}")[0]
-
-    def _sorted_out(self, marked: DataFrame, table: Table, on_violation: str) -> tuple[DataFrame, DataFrame | None]:
+            values = duplicate_keys(rows, [key]).select(key)
+            low, high = bounds[f"low:{key}"], bounds[f"high:{key}"]
+            if against and low is not None:
+                there = self.existing_keys(table, key, low, high)
+                values = values.unionByName(there.join(rows.select(key), key, "left_semi")).distinct()
+            note(f"unique:{key}", key, values)
+        return found
+
+    def checked(self, df: DataFrame, table: Table, against: bool = False) -> tuple[DataFrame, DataFrame | None]:
+        """The rows, staged, and those of them that break constraints, if any do, with the names of
+        all rules that each breaks: row rules, foreign keys without a row, keys that repeat (in the
+        rows or, with against, in the table)."""
+        keys = dict.fromkeys(k for k in (table.surrogate_key, table.natural_key) if k)
+        bounds = {f"low:{k}": F.min(k) for k in keys} | {f"high:{k}": F.max(k) for k in keys}
+        figures = rule_counts(table.rules) | bounds
+        rows, seen = self.staging.write(df, f"{table.name}-checked-{new_version()}", figures)
+        bad = self._bad_keys(rows, table, seen, against)
+        if not bad and not any(seen[name] for name in rule_counts(table.rules)):
+            return rows, None
+        marked = rows
+        flags = [F.when(broken(r), F.lit(r.name)) for r in table.rules]
+        for rule, column, values in bad:  # one row per value: Spark may split a hot one of the rows
+            flag = f"_{rule}"
+            marked = marked.join(values.withColumn(flag, F.lit(True)), column, "left")
+            flags.append(F.when(F.col(f"`{flag}`"), F.lit(rule)))
+        return rows, marked.select(*rows.columns, F.array_compact(F.array(*flags)).alias(VIOLATIONS))
+
+    def _sorted_out(
+        self, df: DataFrame, table: Table, on_violation: str, against: bool = False
+    ) -> tuple[DataFrame, DataFrame | None]:
         """Good rows and, with quarantine, bad ones; an error if there are any otherwise."""
-        counts = {
-            r.rule: r["count"]
-            for r in marked.select(F.explode(VIOLATIONS).alias("rule")).groupBy("rule").count().collect()
-        }
-        if not counts:
-            return marked.drop(VIOLATIONS), None
+        rows, marked = self.checked(df, table, against)
+        if marked is None:
+            return rows, None
         if on_violation == FAIL:
-            raise ConstraintViolation(table.name, dict(sorted(counts.items())))
+            rules = marked.select(F.explode(VIOLATIONS).alias("rule")).groupBy("rule").count().collect()
+            raise ConstraintViolation(table.name, dict(sorted((r.rule, r["count"]) for r in rules)))
         return marked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), marked.where(F.size(VIOLATIONS) > 0)
 
     def refresh(self, df: DataFrame, table: Table, on_violation: str = FAIL) -> int:
         """Replace all rows by rows that keep the constraints; how many the table then holds."""
-        good, bad = self._sorted_out(self.checked(df, table), table, on_violation)
-        versions = {table.name: self.write_version(good, table)[0]}
+        good, bad = self._sorted_out(df, table, on_violation)
+        segments = {table.name: self.write_version(good, table)[0]}
         if bad is not None:
-            versions[rejected_name(table)], _ = self.write_rejected(bad, table.name)
-        self.publish(versions, [table.name])
+            segments[rejected_name(table)], _ = self.write_rejected(bad, table.name)
+        self.publish(segments, [table.name])
         return self.count(table)
 
     def append(self, df: DataFrame, table: Table, on_violation: str = FAIL) -> int:
-        """Add rows that keep the constraints, bound by column name; how many rows were set apart."""
-        good, bad = self._sorted_out(self.checked(df, table, self.table(table)), table, on_violation)
-        self._shaped(good, table).write.insertInto(self.name(self.published()[table.name]))
-        if bad is None:
-            return 0
-        version, count = self.write_rejected(bad, table.name)
-        self.publish({rejected_name(table): version}, [table.name])
+        """Add rows that keep the constraints, bound by column name; how many rows were set apart.
+
+        The rows become one more segment. It and the rejected rows are published together; until
+        then, and if anything fails, the table is what it was.
+        """
+        before = self._segments(table)
+        good, bad = self._sorted_out(df, table, on_violation, against=True)
+        version, seen = self.write_version(good, table, {"n": F.count(F.lit(1))})
+        segments: dict[str, Sequence[str]] = {table.name: [*before, version]}
+        if not seen["n"]:
+            self.drop_version(version)
+            segments[table.name] = before
+        count = 0
+        if bad is not None:
+            rejected, count = self.write_rejected(bad, table.name)
+            segments[rejected_name(table)] = [rejected]
+        self.publish(segments, [table.name], {table.name: before})
         return count
 
+    def compact(self, table: Table) -> int:
+        """Write all segments of a table as one, in the order of its keys; how many there were."""
+        before = self._segments(table)
+        if len(before) > 1:
+            order = [c for c in (table.partition_by, table.surrogate_key) if c]
+            whole = self.table(table).repartitionByRange(*order).sortWithinPartitions(*order)
+            self.publish({table.name: self.write_version(whole, table)[0]}, basis={table.name: before})
+        return len(before)
+
     # -- dates ---------------------------------------------------------------------------------
 
     def absent_dates(self, days: DataFrame) -> DataFrame:
@@ -245,16 +312,22 @@ class Warehouse:
 
     # -- reading -------------------------------------------------------------------------------
 
+    def _read(self, segments: Sequence[str]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [self.spark.table(self.name(s)) for s in segments])
+
+    def _segments(self, table: Table | str) -> list[str]:
+        name = table if isinstance(table, str) else table.name
+        found = self.published().get(name)
+        if not found:
+            raise ValueError(f"{self.database} has no {name}")
+        return found
+
     def tables(self) -> dict[str, DataFrame]:
         """All published tables, of one and the same switch."""
-        return {t: self.spark.table(self.name(v)) for t, v in self.published().items()}
+        return {t: self._read(segments) for t, segments in self.published().items()}
 
     def table(self, table: Table | str) -> DataFrame:
-        name = table if isinstance(table, str) else table.name
-        versions = self.published()
-        if name not in versions:
-            raise ValueError(f"{self.database} has no {name}")
-        return self.spark.table(self.name(versions[name]))
+        return self._read(self._segments(table))
 
     def rejected(self, table: Table | str) -> DataFrame | None:
         """The rows that the last run or append set apart, if there are any."""

@@ -16,6 +16,7 @@ from sparkmart.operators.keys import dense_keys
 from sparkmart.plans import reports
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.calendar import date_dimension
+from sparkmart.plans.warehouse import ConcurrentChange
 from sparkmart.schemas import DIM_DATE, DIM_STORE, FACT_SALES, TABLES as TABLES_OF_STAR, Rule
 from sparkmart.sources import driver_tables
 from sparkmart.sources.extracts import extract_all
@@ -277,7 +278,7 @@ def test_versions(spark, warehouse):
     assert warehouse.refresh(stores, DIM_STORE) == 1
     assert sorted(r.city for r in reader.collect()) == ["added", "city"]
     names = [t.name for t in spark.catalog.listTables(warehouse.database)]
-    assert sum(name.startswith("dim_store_v") for name in names) == 2
+    assert sum(name.startswith("dim_store_v") for name in names) == 3  # now one segment, before two
 
 
 STEPS = ["write_version", "count_version", "write_rejected", "publish"]
@@ -319,6 +320,83 @@ def test_rejected_rows_belong_to_their_run(run, warehouse):
     assert warehouse.rejected("fact_sales") is None
 
 
+@pytest.mark.parametrize("step", ["checked", "write_version", "write_rejected", "publish"])
+def test_an_append_that_fails_at_any_step_changes_nothing(run, warehouse, monkeypatch, step):
+    run([sale(1), sale(2)])
+    good = warehouse.table(FACT_SALES)
+    reader, before = warehouse.table(FACT_SALES), sorted(good.collect())
+    more = good.withColumn("sale_id", F.col("sale_id") + 10)
+    more = more.unionByName(good.withColumns({"sale_id": F.col("sale_id") + 20, "quantity": F.lit(0)}))
+
+    def fail(*_args, **_kwargs):
+        raise RuntimeError(step)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, step, fail)
+        with pytest.raises(RuntimeError, match=step):
+            warehouse.append(more, FACT_SALES, quality.QUARANTINE)
+    assert sorted(warehouse.table(FACT_SALES).collect()) == before
+    assert warehouse.rejected(FACT_SALES) is None
+    assert warehouse.append(more, FACT_SALES, quality.QUARANTINE) == 2
+    assert sorted(reader.collect()) == before and warehouse.count(FACT_SALES) == 4
+    assert warehouse.rejected(FACT_SALES).count() == 2
+
+
+def test_an_append_is_one_switch(run, warehouse, monkeypatch):
+    """While good and rejected rows are written, readers see the old ones; no statement writes into a
+    published segment."""
+    run([sale(1)])
+    seen = []
+    write_rejected, publish = warehouse.write_rejected, warehouse.publish
+
+    def looking(method):
+        def call(*args, **kwargs):
+            seen.append((warehouse.count(FACT_SALES), warehouse.rejected(FACT_SALES)))
+            return method(*args, **kwargs)
+
+        return call
+
+    monkeypatch.setattr(warehouse, "write_rejected", looking(write_rejected))
+    monkeypatch.setattr(warehouse, "publish", looking(publish))
+    good = warehouse.table(FACT_SALES)
+    more = good.withColumn("sale_id", F.lit(7)).unionByName(good.withColumns({"sale_id": F.lit(8), "quantity": F.lit(0)}))
+    warehouse.append(more, FACT_SALES, quality.QUARANTINE)
+    assert seen == [(1, None), (1, None)]
+    assert warehouse.count(FACT_SALES) == 2 and warehouse.rejected(FACT_SALES).count() == 1
+    segments = warehouse.published()["fact_sales"]
+    assert len(segments) == 2
+    assert warehouse.append(good.where("1 = 0"), FACT_SALES) == 0  # no rows, no segment
+    assert warehouse.published()["fact_sales"] == segments
+
+
+def test_two_appends_at_a_time(run, warehouse, monkeypatch):
+    """The second to finish is refused: its rows were checked against a table that is no more."""
+    run([sale(1)])
+    good = warehouse.table(FACT_SALES)
+    write_version = warehouse.write_version
+
+    def meanwhile(*args, **kwargs):
+        monkeypatch.setattr(warehouse, "write_version", write_version)
+        warehouse.append(good.withColumn("sale_id", F.lit(2)), FACT_SALES)
+        return write_version(*args, **kwargs)
+
+    monkeypatch.setattr(warehouse, "write_version", meanwhile)
+    with pytest.raises(ConcurrentChange):
+        warehouse.append(good.withColumn("sale_id", F.lit(2)), FACT_SALES)
+    assert sorted(r.sale_id for r in warehouse.table(FACT_SALES).collect()) == [1, 2]
+
+
+def test_compact(run, warehouse):
+    run([sale(1), sale(2)])
+    good = warehouse.table(FACT_SALES)
+    for n in range(1, 4):
+        warehouse.append(good.withColumn("sale_id", F.col("sale_id") + 10 * n), FACT_SALES)
+    before = sorted(warehouse.table(FACT_SALES).collect())
+    reader = warehouse.table(FACT_SALES)
+    assert warehouse.compact(FACT_SALES) == 4 and warehouse.compact(FACT_SALES) == 1
+    assert sorted(warehouse.table(FACT_SALES).collect()) == before == sorted(reader.collect())
+
+
 def test_append_checks_every_constraint(run, warehouse):
     run([sale(1)])
     good = warehouse.table(FACT_SALES)
