@@ -10,8 +10,8 @@ over all documents; what falls short of the global support, hash collisions incl
 then, so the bitmap's size decides how much pass two shuffles and nothing else.
 
 Each task sums its counts before it shuffles them, so a frequent word or a language with most of
-the documents is one row per task and phrase. Hashes are shuffled in sorted runs, one row per task
-and range of hashes.
+the documents is one entry per task and phrase. Entries are shuffled in sorted runs, one row per
+task and range of hashes, and merged by range; equal hashes of pass two are told apart by the words.
 
 A null text is empty, a null language is `und`. Empty texts and tables have no phrases. Repeated
 rows count repeatedly. Ties in score go by frequency, then by the phrase's bytes. A very long text
@@ -20,11 +20,12 @@ is worked on in parts that end where pieces end. Other columns, whatever their n
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ FOLD = bytes(
     10 if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256)
 )
 STEP = np.uint64(0xD6E8FEB86659FD93)
-#: Bytes of text worked on at a time, and hashes a task holds before it sends them on.
-BYTES_AT_ONCE, HASHES_AT_ONCE = 4 << 20, 6_000_000
+#: Bytes of text worked on at a time; hashes, and entries with their words, that a task sums up at once.
+BYTES_AT_ONCE, HASHES_AT_ONCE, ENTRIES_AT_ONCE = 2 << 20, 3_000_000, 600_000
 #: Bytes of text behind one range of hashes: what a task has to merge at a time.
 BYTES_PER_RANGE = 8 << 20
 
@@ -61,7 +62,7 @@ class Words:
         self.texts = texts
         breaks = texts == 10
         self.starts, self.ends = spans(~(white | breaks))
-        self.piece = np.cumsum(breaks, dtype=np.int64)[self.starts]
+        self.piece = np.cumsum(breaks, dtype=np.int32)[self.starts]
         self.owner = np.searchsorted(owner_ends, self.starts, side="right")
         self.own = hashes(texts, self.starts, self.ends)
         self.language = languages[self.owner]
@@ -107,12 +108,15 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]
 
 
 def _of(folded: list[bytes], named: list[str]) -> Words:
-    kinds = {name: None for name in named}
-    codes = {n: int.from_bytes(n.encode(), "little") % ((1 << 61) - 1) for n in kinds}
-    languages = mixed(np.array([codes[n] for n in named], np.uint64) + np.uint64(1))
+    codes = {name: _code(name.encode()) for name in set(named)}
+    languages = np.array([codes[n] for n in named], np.uint64)
     return Words(b"".join(folded), languages, np.array([len(f) for f in folded], np.int64))
 
 
+def _code(name: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little")
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Numbers as bytes, first all lowest ones, then all second ones ..., which compresses well."""
     return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
@@ -125,6 +129,8 @@ def _numbers(planes: bytes, kind: str) -> np.ndarray:
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys with the sums of their counts."""
+    if len(keys) == 1:
+        return keys[0], counts[0]
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key)
     key, count = key[order], count[order]
@@ -132,26 +138,49 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+def _ranges(key: np.ndarray, range_bits: int) -> Iterator[tuple[int, int, int]]:
+    """(range, from, to) of the sorted keys, for each range that has some."""
+    if not range_bits:
+        yield from [(0, 0, len(key))] if len(key) else []
+        return
+    number = key >> np.uint64(64 - range_bits)
+    first = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(key) else np.zeros(0, np.int64)
+    yield from zip(number[first].tolist(), first.tolist(), [*first[1:].tolist(), len(key)])
+
+
+def _gaps(key: np.ndarray) -> bytes:
+    gaps = key.copy()
+    gaps[1:] -= key[:-1]
+    return _planes(gaps)
+
+
+def _keys(planes: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(planes, "<u8"), dtype=np.uint64)
+
+
+def _batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows, whose last fields are bytes, in batches of about `most` bytes."""
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*held), kinds)], names)
+
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= most:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+MINED = (["shard", "range", "hashes", "counts"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+COUNTED = (["range", "hashes", "counts", "sizes", "texts"], [pa.int64(), *[pa.binary()] * 4])
+
+
 def _mine(most: int, shards: int, range_bits: int):
     """Tasks of pass one: the counts of all hashes, in rows of (shard, range, hashes, counts)."""
-    edges = np.arange(1 << range_bits, dtype=np.uint64) << np.uint64(64 - range_bits) if range_bits else np.zeros(1, np.uint64)
-
-    def rows(shard: int, key: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-        cuts = np.append(np.searchsorted(key, edges), len(key))
-        used = np.flatnonzero(cuts[1:] > cuts[:-1])
-        gaps = key.copy()
-        gaps[1:] -= key[:-1]
-        found: list[list] = [[], []]
-        for r in used.tolist():
-            a, b = int(cuts[r]), int(cuts[r + 1])
-            run = gaps[a:b].copy()
-            run[0] = key[a]
-            found[0].append(_planes(run))
-            found[1].append(_planes(count[a:b].astype(np.uint32)))
-        arrays = [pa.array(np.full(len(used), shard, np.int32)), pa.array(used.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(
-            arrays + [pa.array(f, pa.binary()) for f in found], ["shard", "range", "hashes", "counts"]
-        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
@@ -160,23 +189,30 @@ def _mine(most: int, shards: int, range_bits: int):
         counts: list[np.ndarray] = []
 
         def settle() -> None:
-            key, count = np.unique(np.concatenate(raw), return_counts=True)
-            keys.append(key)
-            counts.append(count)
+            whole = np.concatenate(raw)
             raw.clear()
+            whole.sort()
+            first = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+            keys.append(whole[first])
+            counts.append(np.diff(np.append(first, len(whole))).astype(np.uint32))
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            key, count = _summed(keys, counts)
+            keys.clear()
+            counts.clear()
+            found = ((shard, r, _gaps(key[a:b]), _planes(count[a:b].astype(np.uint32))) for r, a, b in _ranges(key, range_bits))
+            yield from _batches(found, *MINED)
 
         for words, _ in _words(batches):
-            raw.extend(key for _, _, key in words.phrases(most))
+            raw.extend(key for _, _, key in words.phrases(most) if len(key))
             if sum(map(len, raw)) >= HASHES_AT_ONCE:
                 settle()
                 if sum(map(len, keys)) >= HASHES_AT_ONCE:
-                    yield rows(shard, *_summed(keys, counts))
-                    keys.clear()
-                    counts.clear()
+                    yield from rows()
         if raw:
             settle()
         if keys:
-            yield rows(shard, *_summed(keys, counts))
+            yield from rows()
 
     return run
 
@@ -188,11 +224,11 @@ def _frequent(range_bits: int, filter_bits: int, support: int):
         number = key[0].as_py()
         bits = np.zeros(1 << (filter_bits - range_bits), bool)
         shard = table.column("shard").to_numpy()
-        hashed, counted = table.column("hashes").to_pylist(), table.column("counts").to_pylist()
+        hashed, counted = table.column("hashes"), table.column("counts")
         for s in np.unique(shard):
             mine = np.flatnonzero(shard == s).tolist()
-            gaps = [_numbers(hashed[k], "<u8") for k in mine]
-            keys, counts = _summed([np.cumsum(g, dtype=np.uint64) for g in gaps], [_numbers(counted[k], "<u4").astype(np.int64) for k in mine])
+            counts = [_numbers(counted[k].as_py(), "<u4").astype(np.int64) for k in mine]
+            keys, counts = _summed([_keys(hashed[k].as_py()) for k in mine], counts)
             places = keys[counts >= support] >> np.uint64(64 - filter_bits)
             bits[places - np.uint64(number << (filter_bits - range_bits))] = True
         segment = np.packbits(bits, bitorder="little").tobytes()
@@ -201,12 +237,14 @@ def _frequent(range_bits: int, filter_bits: int, support: int):
     return merge
 
 
-def candidates(
-    texts: DataFrame, most: int, min_count: int, shards: int, filter_bits: int
-) -> np.ndarray:
-    """The bitmap of the hashes that have the local support in a shard. texts is (lang, text)."""
+def range_bits_of(texts: DataFrame, most: int) -> int:
+    """The bits of a hash that name its range: one range for each BYTES_PER_RANGE of text."""
     size = texts.agg(F.sum(F.octet_length(F.col(texts.columns[1])))).first()[0] or 0
-    range_bits = min(max(0, (size // BYTES_PER_RANGE).bit_length()), filter_bits - 3)
+    return min(max(0, (size // BYTES_PER_RANGE).bit_length()), most)
+
+
+def candidates(texts: DataFrame, most: int, min_count: int, shards: int, filter_bits: int, range_bits: int) -> np.ndarray:
+    """The bitmap of the hashes that have the local support in a shard. texts is (lang, text)."""
     mined = texts.mapInArrow(_mine(most, shards, range_bits), "shard INT, `range` BIGINT, hashes BINARY, counts BINARY")
     merge = _frequent(range_bits, filter_bits, -(-min_count // shards))
     found = mined.groupBy("range").applyInArrow(merge, "`range` BIGINT, bits BINARY")
@@ -217,12 +255,45 @@ def candidates(
     return bitmap
 
 
-def _count(most: int, bitmap, filter_bits: int):
-    """Tasks of pass two: (lang, phrase, size, f) of the candidates, and all words of a language
-    under the empty phrase."""
+def _merged(keys: np.ndarray, counts: np.ndarray, texts: list[bytes] | bytes, sizes: np.ndarray | None = None):
+    """Entries with equal words made one: the first place of each, its sum, and where all texts end."""
+    blob = np.frombuffer(b"".join(texts) if isinstance(texts, list) else texts, np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) if sizes is None else sizes
+    ends = np.cumsum(sizes)
+    some, group = distinct(blob, ends - sizes, ends, keys)
+    order = np.argsort(group, kind="stable")
+    first = np.searchsorted(group[order], np.arange(len(some)))
+    return some, np.add.reduceat(counts[order], first) if len(some) else counts, ends
+
+
+def _count(most: int, bitmap: Broadcast, filter_bits: int, range_bits: int):
+    """Tasks of pass two: the candidates' counts, in rows of (range, hashes, counts, sizes, texts).
+
+    A text is the words, a line end, which no word has, and the language. The words of a language
+    in all stand under no words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        texts: list[bytes] = []
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            key = np.concatenate(keys)
+            some, count, _ = _merged(key, np.concatenate(counts), texts)
+            order = np.argsort(key[some])
+            some, count, key = some[order], count[order], key[some][order]
+            own = [texts[k] for k in some.tolist()]
+            sizes = np.fromiter(map(len, own), np.uint32, len(own))
+            for held in (keys, counts, texts):
+                held.clear()
+            found = (
+                (r, _gaps(key[a:b]), _planes(count[a:b]), _planes(sizes[a:b]), b"".join(own[a:b]))
+                for r, a, b in _ranges(key, range_bits)
+            )
+            yield from _batches(found, *COUNTED)
+
         for words, named in _words(batches):
             picked = []
             for size, first, key in words.phrases(most):
@@ -231,24 +302,59 @@ def _count(most: int, bitmap, filter_bits: int):
                 picked.append((first[let], key[let], np.full(int(let.sum()), size)))
             first, key, size = (np.concatenate(x) for x in zip(*picked))
             starts, ends = words.starts[first], words.ends[first + size - 1]
-            some, group = distinct(words.texts, starts, ends, key, words.language[first])
-            whole = words.texts.tobytes()
-            phrase = [whole[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
-            owners = words.owner[first[some]].tolist()
-            totals: dict[str, int] = {}
-            for name, n in zip(named, np.bincount(words.owner, minlength=len(named)).tolist()):
-                totals[name] = totals.get(name, 0) + n
-            arrays = [
-                pa.array([named[k] for k in owners] + list(totals), pa.string()),
-                pa.array(phrase + [b""] * len(totals), pa.binary()).cast(pa.string()),
-                pa.array(np.append(size[some], np.zeros(len(totals), np.int64)).astype(np.int32)),
-                pa.array(np.append(np.bincount(group, minlength=len(some)), list(totals.values())).astype(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "f"])
+            whole, suffix = words.texts.tobytes(), [b"\n" + n.encode() for n in named]
+            owners = words.owner[first]
+            some, group = distinct(words.texts, starts, ends, key)
+            if suffix_differs(owners, some, group, suffix):
+                some = group = np.arange(len(key))
+            texts.extend(
+                whole[a:b] + suffix[o] for a, b, o in zip(starts[some].tolist(), ends[some].tolist(), owners[some].tolist())
+            )
+            keys.append(key[some])
+            counts.append(np.bincount(group, minlength=len(some)))
+            totals: dict[bytes, int] = {}
+            for own, n in zip(suffix, np.bincount(words.owner, minlength=len(named)).tolist()):
+                totals[own] = totals.get(own, 0) + n
+            texts.extend(totals)
+            keys.append(np.array([_code(t) for t in totals], np.uint64))
+            counts.append(np.array(list(totals.values()), np.int64))
+            if len(texts) >= ENTRIES_AT_ONCE:
+                yield from rows()
+        if texts:
+            yield from rows()
 
     return run
 
 
+def suffix_differs(owners: np.ndarray, some: np.ndarray, group: np.ndarray, suffix: list[bytes]) -> bool:
+    """Whether spans that were taken for one belong to texts of different languages: the hashes
+    hold the language, so that is a collision."""
+    number = {s: k for k, s in enumerate(dict.fromkeys(suffix))}
+    language = np.array([number[s] for s in suffix], np.int64)[owners]
+    return bool((language != language[some][group]).any())
+
+
+def _sum_up(min_count: int):
+    """Groups of pass two: (lang, phrase, size, f) of what has the global support."""
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        keys = np.concatenate([_keys(x.as_py()) for x in table.column("hashes")])
+        counts = np.concatenate([_numbers(x.as_py(), "<i8") for x in table.column("counts")])
+        sizes = np.concatenate([_numbers(x.as_py(), "<u4") for x in table.column("sizes")]).astype(np.int64)
+        blob = b"".join(x.as_py() for x in table.column("texts"))
+        some, count, ends = _merged(keys, counts, blob, sizes)
+        held = (count >= min_count) | (np.frombuffer(blob, np.uint8)[ends[some] - sizes[some]] == 10)
+        rows = []
+        for k, f in zip(some[held].tolist(), count[held].tolist()):
+            phrase, lang = blob[ends[k] - sizes[k] : ends[k]].split(b"\n", 1)
+            rows.append((lang.decode(), phrase.decode(), phrase.count(b" ") + 1 if phrase else 0, f))
+        values = list(zip(*rows)) if rows else [()] * 4
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        return pa.table([pa.array(x, k) for x, k in zip(values, kinds)], ["lang", "phrase", "size", "f"])
+
+    return merge
+
+
 def frequent_phrases(
     docs: DataFrame,
     most: int = 3,
@@ -267,11 +373,13 @@ def frequent_phrases(
     spark = docs.sparkSession
     staging = staging or Staging(spark)
     texts = columns(docs, lang_col, text_col)
-    bitmap = candidates(texts, most, min_count, shards, filter_bits)
+    range_bits = range_bits_of(texts, filter_bits - 3)
+    bitmap = candidates(texts, most, min_count, shards, filter_bits, range_bits)
     shared = spark.sparkContext.broadcast(bitmap.tobytes())
-    counted = texts.mapInArrow(_count(most, shared, filter_bits), "lang STRING, phrase STRING, size INT, f BIGINT")
-    summed = counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-    return staging.write(summed.where((F.col("f") >= min_count) | (F.col("size") == 0)), "phrases")[0]
+    schema = "`range` BIGINT, hashes BINARY, counts BINARY, sizes BINARY, texts BINARY"
+    counted = texts.mapInArrow(_count(most, shared, filter_bits, range_bits), schema)
+    summed = counted.groupBy("range").applyInArrow(_sum_up(min_count), "lang STRING, phrase STRING, size INT, f BIGINT")
+    return staging.write(summed, "phrases")[0]
 
 
 def _words_of(phrase: Column, start: Column | int, size: Column | int) -> Column:

@@ -68,13 +68,12 @@ def hashes(
 
 
 def distinct(
-    texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray | None = None, label: np.ndarray | None = None
+    texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """The spans with different bytes, one number for each, and of every span the place in that list.
 
-    keys are hashes that bring equal spans together, hashes() unless given; label, if given, must
-    agree too. Spans whose key agrees with that of the first of their group, but whose bytes or label
-    do not, stand alone, so that one text may be listed more than once, but never two as one.
+    keys are hashes that bring equal spans together, hashes() unless given. Bytes are compared with
+    those of the first span with that hash; the few that differ are told apart one by one.
     """
     eights = Eights(texts)
     keys = hashes(texts, starts, ends, eights) if keys is None else keys
@@ -89,8 +88,6 @@ def distinct(
     sizes = ends - starts
     leader = first[group]
     alike = sizes == sizes[leader]
-    if label is not None:
-        alike &= label == label[leader]
     rest = np.flatnonzero(alike & (leader != np.arange(len(leader))))
     for k in range(0, LONG, 8):
         rest = rest[sizes[rest] > k]
@@ -102,8 +99,12 @@ def distinct(
     for k in rest[sizes[rest] > LONG].tolist():
         a, b, n = starts[k], starts[leader[k]], sizes[k]
         alike[k] &= bool((texts[a : a + n] == texts[b : b + n]).all())
-    alone = np.flatnonzero(~alike)
-    if len(alone):
-        group[alone] = len(first) + np.arange(len(alone))
-        first = np.concatenate([first, alone])
-    return first, group
+    others: dict[bytes, int] = {}
+    found = []
+    for k in np.flatnonzero(~alike).tolist():
+        text = texts[starts[k] : ends[k]].tobytes()
+        if text not in others:
+            others[text] = len(first) + len(others)
+            found.append(k)
+        group[k] = others[text]
+    return (np.append(first, found).astype(np.int64) if found else first), group

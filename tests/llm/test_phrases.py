@@ -91,13 +91,17 @@ def test_longer_phrases(sent, fresh):
     assert plain(collocations(table, most=4)) == expected(rows, 4, 5)
 
 
-def test_every_hash_alike(sent, fresh, monkeypatch):
+def test_every_hash_alike(sent, fresh):
     """Hash collisions cost time, nothing else: with all hashes equal, phrases are told apart by bytes."""
     rows = some_rows(3, 20)
     texts = np.frombuffer(b"aa bb aa cc aa bb", np.uint8)
     starts, ends = spans.spans(texts != 32)
     first, group = spans.distinct(texts, starts, ends, np.zeros(len(starts), np.uint64))
     assert [texts[starts[f] : ends[f]].tobytes() for f in first[group]] == b"aa bb aa cc aa bb".split()
+    assert len(first) == 3
+    assert phrases.suffix_differs(np.array([0, 1, 1]), np.array([0, 2]), np.array([0, 0, 1]), [b"en", b"fr"])
+    some, sums, ends = phrases._merged(np.zeros(4, np.uint64), np.array([1, 2, 3, 4]), [b"x\na", b"yy\na", b"x\na", b"yy\na"])
+    assert some.tolist() == [0, 1] and sums.tolist() == [4, 6] and ends.tolist() == [3, 7, 10, 14]
     table = frequent_phrases(frame(sent, rows, 2), filter_bits=3, staging=fresh)  # a bitmap that lets all through
     assert plain(collocations(table)) == expected(rows)
 
@@ -110,6 +114,35 @@ def test_products_beyond_64_bits(sent, fresh):
     assert plain(collocations(table)) == [("en", 1, "a b", big, big + 5, big + 7, 9 * big, score)]
 
 
+def test_tasks_that_send_early(monkeypatch):
+    """However little a task holds, the sums are the same."""
+    import pyarrow as pa
+
+    rows = [(lang, text) for lang, text in some_rows(11, 80)]
+    batch = pa.RecordBatch.from_pylist([{"lang": lang, "text": t} for lang, t in rows], pa.schema([("lang", pa.string()), ("text", pa.string())]))
+
+    class Sent:
+        value = np.full(1 << 7, 255, np.uint8).tobytes()
+
+    def summed():
+        sent_on = pa.Table.from_batches(list(phrases._count(3, Sent, 10, 4)(iter([batch]))))
+        found = {}
+        for r in set(sent_on.column("range").to_pylist()):
+            mine = sent_on.filter(pa.array([x == r for x in sent_on.column("range").to_pylist()]))
+            for e in phrases._sum_up(10)((pa.scalar(r),), mine).to_pylist():
+                assert (e["lang"], e["phrase"]) not in found
+                found[e["lang"], e["phrase"]] = e["f"]
+        return sent_on.num_rows, found
+
+    n, whole = summed()
+    f, words = counted(rows)
+    assert whole == {(lang, " ".join(w)): a for (lang, w), a in f.items() if a >= 10} | {(lang, ""): a for lang, a in words.items()}
+    monkeypatch.setattr(phrases, "BYTES_AT_ONCE", 500)
+    monkeypatch.setattr(phrases, "ENTRIES_AT_ONCE", 40)
+    more, again = summed()
+    assert again == whole and more > n
+
+
 def test_empty(sent, fresh):
     table = frequent_phrases(frame(sent, [], 1), staging=fresh)
     assert table.count() == 0 and collocations(table).count() == 0
