@@ -1,21 +1,26 @@
 """Secret scan with an inverted trigram index; DataFrame functions only.
 
 From each rule's regular expression a Boolean query over trigrams follows: trigrams that every
-match must contain. Texts are indexed by the trigrams that some query asks for, folded to lower
-case: one posting (trigram, row) where it occurs. Postings are matched with the queries'
-conjunctions and intersected by counting per row; rows that satisfy a query are candidates, and
-only on candidates the regular expression runs. A rule without a mandatory trigram runs on all
-texts. The queries are as short as the rules, so they are broadcast; postings are shuffled by
-row, so a frequent trigram is no group.
-
-Spans are half-open ranges of code points: leftmost, non-overlapping per rule. A null text is
-empty and has no spans. Rows are found again by a hash of id and text: repeated rows share their
-postings and each give a result; null ids are rows like others.
+match must contain. A text is indexed in one pass: one regular expression, a tree of all trigrams
+that some query asks for, looks at each place of the text, folded to lower case, and gives the
+postings, the different trigrams that occur. They stay beside the text in its row; there the
+conjunctions of the queries are intersected with them, and a rule's regular expression runs on
+the texts that satisfy its query and on no others. A rule without a mandatory trigram runs on all
+texts. Nothing is shuffled, so no trigram, id or text makes a group. postings() gives the index as
+(trigram, row) for searches that start from a trigram.
+
+Spans are half-open ranges of code points: leftmost, non-overlapping per rule. Where they begin is
+summed up in chunks of CHUNK matches, so the work grows with the number of matches of a text,
+however many. A null text is empty and has no spans; an empty table gives an empty one. Repeated
+rows each give a result; null ids are rows like others. Spans of different rules may overlap, and
+of two that start together the rule listed first comes first. Other columns, whatever their names,
+go no further.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -54,6 +59,8 @@ RULES = BASE_RULES + MORE_RULES
 
 #: Strings that a part of a pattern may stand for before it counts as unknown.
 MOST_STRINGS = 24
+#: Matches whose places are summed up at a time.
+CHUNK = 128
 
 
 Conjunctions = list[frozenset[str]]
@@ -127,60 +134,98 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def postings(docs: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(trigram, row): the index of all texts for these trigrams."""
-    folded = F.lower(F.col(text_col))
-    present = F.array_compact(F.array(*[F.when(F.contains(folded, F.lit(g)), F.lit(g)) for g in trigrams]))
-    return docs.select(row_key(id_col, text_col).alias("row"), F.explode(present).alias("trigram"))
+def _quoted(character: str) -> str:
+    return character if character.isalnum() and character.isascii() else f"\\x{{{ord(character):x}}}"
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame | None:
-    """(row, kinds): the rows that satisfy the trigram queries, with the kinds to look for.
+def trigram_tree(trigrams: list[str]) -> str:
+    """A regular expression that finds each of the trigrams at each place where it begins."""
+    firsts: dict[str, dict[str, list[str]]] = {}
+    for a, b, c in sorted(set(trigrams)):
+        firsts.setdefault(a, {}).setdefault(b, []).append(c)
+    branches = []
+    for a, seconds in firsts.items():
+        ends = [f"{_quoted(b)}[{''.join(map(_quoted, thirds))}]" for b, thirds in seconds.items()]
+        branches.append(f"{_quoted(a)}(?:{'|'.join(ends)})")
+    return f"(?=({'|'.join(branches)}))"
+
+
+def asked_for(rules: tuple[Rule, ...]) -> list[str]:
+    """The trigrams in the queries of the rules."""
+    return sorted({g for rule in rules for conjunction in trigram_query(rule.pattern) for g in conjunction})
+
+
+def posted(text: Column, trigrams: list[str]) -> Column:
+    """The different ones of the trigrams that a text has, folded, found in one pass."""
+    if not trigrams:
+        return F.array().cast("array<string>")
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(trigram_tree(trigrams)), F.lit(1)))
+
+
+def postings(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(trigram, row): the index of all texts for these trigrams, a row named by row_key."""
+    found = F.explode(posted(F.coalesce(F.col(text_col), F.lit("")), trigrams))
+    return columns(docs, id_col, text_col).select(found.alias("trigram"), row_key(id_col, text_col).alias("row"))
+
+
+def satisfied(rule: Rule, found: Column) -> Column:
+    """Whether the postings of a text satisfy the rule's query."""
+    query = [[g for g in sorted(conjunction)] for conjunction in trigram_query(rule.pattern)]
+    if not query:
+        return F.lit(True)
+    wanted = F.array(*[F.array(*map(F.lit, conjunction)) for conjunction in query])
+    return F.exists(wanted, lambda c: F.forall(c, lambda g: F.array_contains(found, g)))
 
-    None if no rule has a query.
-    """
-    terms = [
-        (rule.kind, k, g, len(conjunction))
-        for rule in rules
-        for k, conjunction in enumerate(trigram_query(rule.pattern))
-        for g in sorted(conjunction)
-    ]
-    if not terms:
-        return None
-    trigrams = sorted({g for _, _, g, _ in terms})
-    wanted = docs.sparkSession.createDataFrame(terms, "kind STRING, conjunction INT, trigram STRING, needed INT")
-    hits = (
-        postings(docs, trigrams, id_col, text_col)
-        .dropDuplicates(["row", "trigram"])
-        .join(F.broadcast(wanted), "trigram")  # as many rows as the rules have trigrams
-        .groupBy("row", "kind", "conjunction", "needed")
-        .agg(F.count(F.lit(1)).alias("present"))
-        .where("present = needed")
-    )
-    return hits.groupBy("row").agg(F.collect_set("kind").alias("kinds"))
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
-    """The rule's spans in a text: positions are running sums of gaps and matches."""
+    """The rule's spans in a text: positions are running sums of gaps and matches.
+
+    A running sum over an array copies what it has at each step. So it is taken in chunks, then over
+    the totals of the chunks.
+    """
     pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(
-        F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"),
+    gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
+    hits = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    zipped = [gaps.alias("gap"), hits.alias("hit")]
+    if rule.group:
+        zipped.append(F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("value"))
+    parts = F.transform(
+        F.arrays_zip(*zipped),
+        lambda x: F.struct(
+            x["gap"].alias("gap"),
+            F.coalesce(x["hit"], F.lit(0)).alias("hit"),
+            F.coalesce(x["value" if rule.group else "hit"] >= rule.least, F.lit(False)).alias("long"),
+        ),
     )
-    none = F.array().cast("array<struct<start:int,end:int,long:boolean>>")
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        found = F.struct(start.alias("start"), end.alias("end"), (F.length(x["value"]) >= rule.least).alias("long"))
+        start = acc["at"] + x["gap"]
+        end = start + x["hit"]
+        found = F.struct(start.alias("start"), end.alias("end"), x["long"].alias("long"))
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(found)).alias("found"))
 
-    every = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])
-    return F.transform(
-        F.filter(every, lambda s: F.coalesce(s["long"], F.lit(False))),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
-    )
+    none = F.array().cast("array<struct<start:int,end:int,long:boolean>>")
+    first = F.struct(F.lit(0).alias("at"), none.alias("found"))
+
+    def chunked(parts: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, lambda k: F.aggregate(F.slice(parts, k * CHUNK + 1, F.lit(CHUNK)), first, step))
+
+    def whole(acc: Column, chunk: Column) -> Column:
+        moved = F.transform(
+            F.filter(chunk["found"], lambda s: s["long"]),
+            lambda s: F.struct((s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end")),
+        )
+        return F.struct((acc["at"] + chunk["at"]).alias("at"), F.concat(acc["found"], F.array(moved)).alias("found"))
+
+    lists = F.array().cast("array<array<struct<start:int,end:int>>>")
+    start = F.struct(F.lit(0).alias("at"), lists.alias("found"))
+    return F.flatten(F.aggregate(bound(parts, chunked), start, whole, lambda acc: acc["found"]))
 
 
 def scan(
@@ -189,17 +234,12 @@ def scan(
     """One row per row of docs: the id and spans, an array of (start, kind number, end, kind)
     in this order; kinds are numbered as the rules are listed."""
     docs = columns(docs, id_col, text_col)
-    docs = docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
-    found = candidates(docs, rules, id_col, text_col)
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
-    if found is not None:
-        rows = rows.join(found, "row", "left")
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("postings", posted(F.col("text"), asked_for(rules)))
     none = F.array().cast("array<struct<start:int,end:int>>")
     kinds = []
     for number, rule in enumerate(rules):
-        spans = spans_of(F.col("text"), rule)
-        if trigram_query(rule.pattern):
-            spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(none)
+        spans = F.when(satisfied(rule, F.col("postings")), spans_of(F.col("text"), rule)).otherwise(none)
         kinds.append(F.transform(spans, _named(number, rule.kind)))
     return rows.select(F.col(id_col), F.array_sort(F.concat(*kinds)).alias("spans"))
 

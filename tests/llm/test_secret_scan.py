@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparkmart.llm.secret_scan import BASE_RULES, RULES, Rule, scan, trigram_query
+from sparkmart.llm.secret_scan import BASE_RULES, RULES, Rule, asked_for, postings, row_key, scan, trigram_query
 
 HEX = "0123456789abcdef" * 3
 CASES = [
@@ -82,6 +83,32 @@ def test_only_full_scans_and_empty(docs):
     assert scan(docs([])).count() == 0
 
 
-def test_no_python_in_the_plan(docs):
+def test_no_python_and_no_shuffle_in_the_plan(docs):
     plan = scan(docs([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    assert plan.count("(?=(") == 1  # the postings are made once, for all rules
+
+
+def test_work_grows_with_the_hits(docs):
+    def seconds(n):
+        rows = docs([(1, "password=abcdef12 x " * n)])
+        start = time.perf_counter()
+        (found,) = scan(rows).collect()
+        took = time.perf_counter() - start
+        assert [(s.start, s.end) for s in found.spans] == [(20 * k, 20 * k + 17) for k in range(n)]
+        return took
+
+    seconds(1000)
+    assert min(seconds(64_000) for _ in range(2)) < 2.5 * max(seconds(32_000) for _ in range(2))
+
+
+def test_postings(docs):
+    texts = ["Password PASSWD", "ss", None, "", "toKen aki akiakia", "-----BEGIN x"]
+    trigrams = asked_for(RULES)
+    found = {}
+    for r in postings(docs([*enumerate(texts)]), trigrams).join(docs([*enumerate(texts)]).select("doc_id", row_key("doc_id", "text").alias("row")), "row").collect():
+        assert r.trigram not in found.setdefault(r.doc_id, set())
+        found[r.doc_id].add(r.trigram)
+    for k, text in enumerate(texts):
+        folded = (text or "").lower()
+        assert found.get(k, set()) == {g for g in trigrams if g in folded}
