@@ -40,7 +40,15 @@ class Staging:
 
     def drop(self) -> None:
         """Delete the folder, once nothing reads from it any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._delete(self.folder)
+
+    def discard(self, *names: str) -> None:
+        """Delete what was written under these names, once nothing reads from it any more."""
+        for name in names:
+            self._delete(self.path(name))
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def write(
