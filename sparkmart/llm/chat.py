@@ -7,16 +7,21 @@ begin with the one before shows a template that rewrites history. The text that
 found the same way: behind the output with the answer prompt, and before what the template puts
 behind an empty answer.
 
-Turns are put in order by a range sort over all rows and numbered per conversation, so that a long
-conversation is spread over many tasks. It is rendered in blocks of a fixed number of turns, each
-behind the last few turns of the block before it, whose own output is taken off; a conversation of
-up to one block is rendered as it is. A template whose output for a block's first turn changes
-with fewer turns in front depends on more than it was shown, and counts as rewriting history.
-Only the digests of a conversation need its blocks one after the other, as SHA-256 does; they are
-streamed, never gathered.
+Turns are put in order by a range sort over all rows and numbered per conversation. A template that
+is not known to be local sees every prefix whole, from the first turn on: it may depend on any turn
+before, forget the oldest ones or insist on whose turn comes first. Such a conversation is rendered
+in one task, whatever its length, and its text is what the template makes of all its turns.
+
+A template that is declared local, as the one of this module, makes of a turn the same text behind
+any turns. Long conversations are then spread over many tasks, in blocks of a fixed number of turns,
+each behind the last few turns of the block before it, whose own output is taken off. If the output
+for a block's first turn changes with fewer turns in front, the declaration is wrong, and the block
+counts as rewriting history. Only the digests of a conversation need its blocks one after the
+other, as SHA-256 does; they are streamed, never gathered.
 
 Rows are ordered by turn, role and text, nulls first; a null role or text is empty, a null
-conv_id a conversation of its own, a repeated row a further turn. An empty table gives no rows.
+conv_id a conversation of its own, a repeated row a further turn. A very long text is one turn
+like others. An empty table gives no rows. Other columns, whatever their names, go no further.
 """
 
 from __future__ import annotations
@@ -136,9 +141,15 @@ def format_conversations(
     block: int = 32,
     context: int = 2,
     staging: Staging | None = None,
+    local: bool | None = None,
 ) -> DataFrame:
     """(conv_id, block, formatted, spans, rewrites): the formatted text of each block of turns,
-    with the spans of its turns in it; a conversation's text is that of its blocks in order."""
+    with the spans of its turns in it; a conversation's text is that of its blocks in order.
+
+    local declares that the template makes the same text of a turn whatever came before; only the
+    module's own template is taken to be so unless told. Otherwise a conversation is one block.
+    """
+    local = template is marked_turns if local is None else local
     staging = staging or Staging(conversations.sparkSession)
     rows = columns(conversations, "conv_id", "turn", "role", "text")
     ordered, _ = stage_in_order(rows, ("conv_id", "turn", "role", "text"), staging, "turns")
@@ -150,9 +161,11 @@ def format_conversations(
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    own = F.floor(F.col("place") / block)
+    own = F.floor(F.col("place") / block) if local else F.lit(0).cast("long")
     # The last turns of a block are also the context of the next.
-    goes_to = F.when(F.col("place") % block >= block - context, F.array(own, own + 1)).otherwise(F.array(own))
+    goes_to = F.array(own)
+    if local:
+        goes_to = F.when(F.col("place") % block >= block - context, F.array(own, own + 1)).otherwise(goes_to)
     dealt = placed.select("conv_id", F.explode(goes_to).alias("block"), "place", "role", "text")
     dealt = dealt.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "place")
     kind = rows.schema["conv_id"].dataType.simpleString()

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sparkmart.llm import chat
+from sparkmart.staging import Staging
 
 SCHEMA = "conv_id LONG, turn LONG, role STRING, text STRING, block LONG, spans STRING"
 
@@ -78,5 +79,54 @@ def test_rewriting_templates_are_found(sent, fresh):
     assert chat.rendered(counting, [("user", "a"), ("user", "b")], [("user", "c")])[2]
 
 
+def counted():
+    def numbering(turns, answer):
+        return "".join(f"{k}:{t}\n" for k, (_, t) in enumerate(turns)) + (f"{len(turns)}:" if answer else "")
+
+    return numbering
+
+
+def far_sighted():
+    """Templates that forget all but the last turns, that depend on the first, that insist on roles."""
+
+    def last_forty(turns, answer):
+        return chat.marked_turns(turns[-40:], answer)
+
+    def named_after_the_first(turns, answer):
+        opening = turns[0][1] if turns else ""
+        return "".join(f"[{opening}] {r}: {t}\n" for r, t in turns) + (f"[{opening}] assistant: " if answer else "")
+
+    def strict(turns, answer):
+        for k, (role, _) in enumerate(turns):
+            if role != ("user", "assistant")[k % 2]:
+                raise ValueError("roles must alternate")
+        return chat.marked_turns(turns, answer)
+
+    return [(last_forty, {1, 2}), (named_after_the_first, set()), (strict, set())]
+
+
+def test_templates_that_look_far_back(sent, fresh):
+    """All see every prefix whole, in conversations longer than a block."""
+    rows = [(c, k, "assistant" if k % 2 else "user", f"turn {k} of {c}") for c in (1, 2) for k in range(60 * c)]
+    said = {c: [(r, t) for conv, _, r, t in rows if conv == c] for c in (1, 2)}
+    for n, (template, rewriting) in enumerate(far_sighted()):
+        staging = Staging(sent, f"{fresh.folder}/{n}")
+        found = chat.format_conversations(frame(sent, rows), template, staging=staging).collect()
+        assert sorted(r.conv_id for r in found) == [1, 2]
+        for r in found:
+            assert r.formatted == template(said[r.conv_id], False)
+            assert r.rewrites == (r.conv_id in rewriting)
+            if not r.rewrites:
+                assert "".join(r.formatted[s.start : s.end] for s in r.spans) == r.formatted
+                learned = [r.formatted[s.learn_start : s.learn_end] for s in r.spans]
+                assert [t for t in learned if t] == [t for role, t in said[r.conv_id] if role == "assistant"]
+
+
+def test_a_template_that_is_wrongly_declared_local_is_marked(sent, fresh):
+    rows = [(1, k, "user", f"{k}") for k in range(40)]
+    found = chat.format_conversations(frame(sent, rows), counted(), staging=fresh, local=True).collect()
+    assert {r.block: r.rewrites for r in found} == {0: False, 1: True}
+
+
 def test_empty(sent, fresh):
     assert chat.read_back(chat.format_conversations(frame(sent, []), staging=fresh)).count() == 0
