@@ -2,10 +2,11 @@
 
 Each task builds, for the texts it reads (a shard), a suffix array over words: the starts of all
 suffixes that could begin with a test passage, sorted by their first words. Every suffix of the
-test items is binary-searched in it; the neighbours at the insertion point give its longest
-verbatim match, and the range of suffixes that begin with its window gives all occurrences. A
-document is hit where a window of `window` consecutive item words occurs; an item of fewer words
-is a window as a whole.
+test items is binary-searched in it; the range of suffixes that begin with its first `window` words
+gives all places where it occurs, and from those that could not begin earlier the longest verbatim
+matches follow, with their places in item and document. All words of such a match are hit: they are
+the words of the windows of `window` consecutive item words that occur. An item of fewer words is a
+window as a whole.
 
 Nothing is shuffled: a document's words lie in one shard, and the test items go to every task in
 blocks of bounded size, however many there are. Words are runs of letters, digits and non-ASCII
@@ -14,8 +15,9 @@ cannot match and is left out of the array.
 
 A null or empty text has no words and no hits; a null or empty item has no window. Rows are
 independent: repeated rows give repeated results, items with equal text are all named (one with a
-null id is counted, not named). Without
-items, no document is contaminated; an empty table gives an empty one.
+null id is counted, not named). A very long text is a shard like others. Without items, no document
+is contaminated; an empty table gives an empty one. Other columns, whatever their names, go no
+further, or stay as they are where rows are kept (clean).
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class Block:
     starts: np.ndarray  # of the windows
     lengths: np.ndarray  # of the windows
     owners: np.ndarray  # index of the item of each window
+    wanted: np.ndarray  # the words of the windows, row by row
 
     @classmethod
     def of(cls, rows: list[tuple], window: int) -> Block:
@@ -70,7 +73,10 @@ class Block:
                 items.append(item)
                 words += [*own, -1]
         numbers = [np.array(x, np.int64) for x in (words, starts, lengths, owners)]
-        return cls(items, vocabulary, *numbers)
+        depth = max(lengths, default=0)
+        padded = np.concatenate([numbers[0], np.full(depth, -1)]).astype(np.int32)
+        wanted = padded[numbers[1][:, None] + np.arange(depth, dtype=np.int64)]
+        return cls(items, vocabulary, *numbers, wanted)
 
 
 class Shard:
@@ -148,16 +154,26 @@ def occurrences(shard: Shard, block: Block) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, np.int64)
     if not len(shard.order) or not len(block.starts):
         return none, none
-    depth = int(block.lengths.max())
-    padded = np.concatenate([block.words, np.full(depth, -1)])
-    wanted = padded[block.starts[:, None] + np.arange(depth)]
-    low, high = shard.ranges(wanted, block.lengths)
+    low, high = shard.ranges(block.wanted, block.lengths)
     sizes = high - low
     which = np.repeat(np.arange(len(sizes)), sizes)
     inside = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     return shard.order[low[which] + inside], which
 
 
+def longest_matches(shard: Shard, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start in the shard, start in the block, item, words) of all verbatim matches of a window and
+    more that extend neither to the left nor to the right."""
+    at, which = occurrences(shard, block)
+    begins = block.starts[which]
+    before = (at > 0) & (begins > 0)
+    longer = np.zeros(len(at), bool)
+    a, b = shard.words[at[before] - 1], block.words[begins[before] - 1]
+    longer[before] = (a == b) & (a >= 0)
+    at, which, begins = at[~longer], which[~longer], begins[~longer]
+    return at, begins, block.owners[which], shard.longest(at, block, begins)
+
+
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, most_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks of about most_chars characters, one block at a time on the driver."""
     rows: list[tuple] = []
@@ -190,49 +206,53 @@ class Decontaminator:
         self.id_type = benchmark.schema[item_id].dataType.simpleString()
         self.blocks = [context.broadcast(b) for b in blocks_of(benchmark, item_id, item_text, block_chars)]
 
-    def _hits(self, texts: list[list[bytes]]) -> tuple[np.ndarray, list[set]]:
-        """Hit words and the set of items with occurring windows, for each text."""
+    def _hits(self, texts: list[list[bytes]]) -> tuple[np.ndarray, list[set], np.ndarray]:
+        """Hit words, the set of items with matches and the words of the longest match, for each text."""
         blocks, window, name = self.blocks, self.window, self.name
         bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
         hit = np.zeros(int(bounds[-1]) + 1, bool)
         items: list[set] = [set() for _ in texts]
+        longest = np.zeros(len(texts), np.int64)
         for block in _loaded(blocks, window, name):
             shard = Shard(texts, block, window)
-            at, which = occurrences(shard, block)
+            at, _, owners, length = longest_matches(shard, block)
             steps = np.zeros(len(hit) + 1, np.int64)
             np.add.at(steps, at, 1)
-            np.add.at(steps, at + block.lengths[which], -1)
+            np.add.at(steps, at + length, -1)
             hit |= np.cumsum(steps[:-1]) > 0
             docs = np.searchsorted(bounds, at, side="right") - 1
-            pairs = np.unique(np.stack([docs, block.owners[which]]), axis=1)
+            np.maximum.at(longest, docs, length)
+            pairs = np.unique(np.stack([docs, owners]), axis=1)
             for doc, owner in pairs.T.tolist():
                 items[doc].add(block.items[owner])
         sums = np.concatenate([[0], np.cumsum(hit)])
-        return sums[bounds[1:]] - sums[bounds[:-1]], items
+        return sums[bounds[1:]] - sums[bounds[:-1]], items, longest
 
-    def _judged(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set], np.ndarray]:
+    def _judged(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set], np.ndarray, np.ndarray]:
         n_words = np.array([len(t) for t in texts], np.int64)
-        n_hit, items = self._hits(texts)
-        return n_words, n_hit, items, (n_hit > 0) & (self.ratio * n_hit >= n_words)
+        n_hit, items, longest = self._hits(texts)
+        return n_words, n_hit, items, (n_hit > 0) & (self.ratio * n_hit >= n_words), longest
 
     def measure(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """One row per row of docs: words, hit words, items found, and the verdict."""
+        """One row per row of docs: words, hit words, items found, the verdict, and the number of words
+        of the longest verbatim match."""
         docs = columns(docs, id_col, text_col)
         schema = (
             f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_words BIGINT, n_hit BIGINT,"
-            " n_items BIGINT, items_sha256 STRING, contaminated BOOLEAN"
+            " n_items BIGINT, items_sha256 STRING, contaminated BOOLEAN, longest_match BIGINT"
         )
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n_words, n_hit, items, bad = self._judged([words_of(t) for t in texts_of(batch, text_col)])
+            n_words, n_hit, items, bad, longest = self._judged([words_of(t) for t in texts_of(batch, text_col)])
             named = [",".join(sorted(str(i) for i in x if i is not None)) for x in items]
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(id_col), pa.array(n_words), pa.array(n_hit),
                     pa.array([len(x) for x in items], pa.int64()),
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in named]), pa.array(bad),
+                    pa.array(longest),
                 ],
-                [id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+                [id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"],
             )
 
         return per_slice(docs, text_col, schema, work)
@@ -253,17 +273,9 @@ class Decontaminator:
             rows = []
             for block in _loaded(blocks, window, name):
                 shard = Shard(texts, block, window)
-                at, which = occurrences(shard, block)
-                begins = block.starts[which]
-                before = (at > 0) & (begins > 0)
-                longer = np.zeros(len(at), bool)
-                a, b = shard.words[at[before] - 1], block.words[begins[before] - 1]
-                longer[before] = (a == b) & (a >= 0)
-                at, which, begins = at[~longer], which[~longer], begins[~longer]
-                length = shard.longest(at, block, begins)
+                at, begins, owner, length = longest_matches(shard, block)
                 firsts = np.concatenate([[0], np.flatnonzero(block.words == -1) + 1])  # of the items
                 doc = np.searchsorted(shard.bounds, at, side="right") - 1
-                owner = block.owners[which]
                 for d, o, s, p, n in zip(doc, owner, begins - firsts[owner], at - shard.bounds[doc], length):
                     rows.append((ids[d], block.items[o], int(s), int(p), int(n)))
             names = [id_col, "item_id", "item_start", "doc_start", "length"]

@@ -183,24 +183,27 @@ WORDS_SQL = rf"regexp_extract_all({FOLD_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
     "op1_decontaminate",
     f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS ws FROM documents),
-items AS (SELECT item_id, {WORDS_SQL} AS ws FROM benchmark),
+items AS (SELECT row_number() OVER () AS q, item_id, {WORDS_SQL} AS ws FROM benchmark),
 windows AS (
-  SELECT DISTINCT item_id, n, array_to_string(ws[k + 1 : k + n], ' ') AS w
-  FROM (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(len(ws) - least(13, len(ws)) + 1)) AS k
+  SELECT q, item_id, n, k, array_to_string(ws[k + 1 : k + n], ' ') AS w
+  FROM (SELECT q, item_id, ws, least(13, len(ws)) AS n, unnest(range(len(ws) - least(13, len(ws)) + 1)) AS k
         FROM items WHERE len(ws) > 0)),
 lengths AS (SELECT DISTINCT n FROM windows),
 starts AS (
   SELECT r, n, i, array_to_string(ws[i + 1 : i + n], ' ') AS w
   FROM (SELECT r, n, ws, unnest(range(len(ws) - n + 1)) AS i FROM d, lengths WHERE len(ws) >= n)),
-found AS (SELECT r, i, windows.n, item_id FROM starts JOIN windows ON starts.w = windows.w AND starts.n = windows.n),
+found AS (SELECT r, i, windows.n, q, item_id, k FROM starts JOIN windows ON starts.w = windows.w AND starts.n = windows.n),
+runs AS (SELECT r, q, n, i - k AS diagonal, i - row_number() OVER (PARTITION BY r, q, i - k ORDER BY i) AS run FROM found),
+best AS (SELECT r, max(size) AS longest FROM (SELECT r, count(*) + n - 1 AS size FROM runs GROUP BY r, q, n, diagonal, run) GROUP BY r),
 hit AS (SELECT r, count(DISTINCT p) AS n_hit
         FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r),
 named AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
           FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
-FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN named ON named.r = d.r
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest_match
+FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN named ON named.r = d.r LEFT JOIN best ON best.r = d.r
 """,
 )
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

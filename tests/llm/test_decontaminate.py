@@ -19,7 +19,7 @@ def brute(docs, items):
     out = []
     for doc, text in docs:
         words = plain_words(text)
-        hit, named = set(), set()
+        hit, named, longest = set(), set(), 0
         for item, wanted in items:
             w = plain_words(wanted)
             n = min(13, len(w))
@@ -28,8 +28,11 @@ def brute(docs, items):
                     if words[at : at + n] == w[k : k + n]:
                         hit |= set(range(at, at + n))
                         named.add(str(item))
+                        while at + n < len(words) and k + n < len(w) and words[at + n] == w[k + n]:
+                            n += 1
+                        longest, n = max(longest, n), min(13, len(w))
         names = hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
-        out.append((doc, len(words), len(hit), len(named), names, bool(hit) and 20 * len(hit) >= len(words)))
+        out.append((doc, len(words), len(hit), len(named), names, bool(hit) and 20 * len(hit) >= len(words), longest))
     return sorted(out, key=repr)
 
 
