@@ -7,29 +7,37 @@ length and id are shuffled by digest, summed per task first, and joined to the o
 digest, a join whose hot keys Spark can split, since it has one row per digest. Payloads are
 shuffled once, by page, to the archive that they are written to.
 
-Archives are written by Spark's text writer, one record per row, with the two line breaks that
-end a WARC record as the line separator; so they can lie in any store that Spark writes, and a
-lost task is written again. They are read back as binary files. Each record carries its page_id
-in a header of its own, the digest and length of the full payload also where it is a revisit.
-
-Repeated rows: pages with the same smallest page_id and payload are all responses. A null page_id
-is never referred to while another page has the payload; pages that all have none are responses
-each. Null urls are written as an empty target. An empty table gives an archive without records.
+Each record is a gzip member of its own, so that one can be read without those before it; an
+archive begins with a warcinfo record, and index_archives lists where every record's member lies.
+Archives are written by Spark's text writer, one member per row: a member ends in a zero byte (the
+high byte of its length; behind 16 MB and more an empty member follows), and that byte is written as
+the line separator. So they can lie in any store that Spark writes, and a lost task is written
+again. They are read back as binary files, member by member. Each record carries its page_id in a
+header of its own, the digest and length of the full payload also where it is a revisit.
+
+Repeated rows: pages with the same smallest page_id and payload are all responses, with record ids
+of their own; a revisit then names its original by page and address only. A null page_id is never
+referred to while another page has the payload; pages that all have none are responses each. Null
+urls are written as an empty target. A very long payload is one record. An empty table gives no
+records. Other columns, whatever their names, go no further.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime as dt
+import gzip
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import columns
+from sparkmart.llm.common import columns, slices
 
 # Fixed values of the WARC 1.1 and HTTP formats and of base32.
 VERSION = "WARC/1.1"
@@ -62,14 +70,16 @@ def headers(pages: DataFrame) -> DataFrame:
 
 
 def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """records with record_type, and refers_to and refers_url of the original for revisits."""
+    """records (one for each page and payload, of so many copies) with record_type, and for revisits
+    refers_to, refers_url and refers_copies of the original."""
     originals = (
         records.where(F.col("payload_bytes") >= min_bytes)
         .groupBy("payload_digest", "payload_bytes")
-        .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")).alias("first"))
+        .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "copies")).alias("first"))
         .select(
             F.col("payload_digest").alias("of_digest"), F.col("payload_bytes").alias("of_bytes"),
             F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
+            F.col("first.copies").alias("first_copies"),
         )
     )
     same = (F.col("payload_digest") == F.col("of_digest")) & (F.col("payload_bytes") == F.col("of_bytes"))
@@ -80,6 +90,7 @@ def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first_id")).alias("refers_to"),
         F.when(revisit, F.col("first_url")).alias("refers_url"),
+        F.when(revisit, F.col("first_copies")).alias("refers_copies"),
     )
 
 
@@ -90,25 +101,24 @@ def resolved_pages(pages: DataFrame, archives: int, min_bytes: int = 0) -> DataF
     """All pages with their payloads and what resolve_revisits says, dealt to so many archives."""
     full = headers(pages).withColumn("at", F.xxhash64(*KEY))
     slim = full.select(*KEY, "url")
-    # Equal pages of one id get equal answers, so one of them is enough.
-    settled = resolve_revisits(slim, min_bytes).groupBy(*KEY).agg(
-        *[F.min(c).alias(c) for c in ("record_type", "refers_to", "refers_url")]
-    )
-    settled = settled.select(
-        F.xxhash64(*KEY).alias("at"), *[F.col(c).alias(f"its_{c}") for c in KEY], "record_type", "refers_to", "refers_url"
+    # Equal pages of one id get equal answers, so they are one before anything is shuffled.
+    slim = slim.groupBy(*KEY).agg(F.min("url").alias("url"), F.count(F.lit(1)).alias("copies"))
+    answers = ("copies", "record_type", "refers_to", "refers_url", "refers_copies")
+    settled = resolve_revisits(slim, min_bytes).select(
+        F.xxhash64(*KEY).alias("at"), *[F.col(c).alias(f"its_{c}") for c in KEY], *answers
     )
     full, settled = full.repartition(archives, "at"), settled.repartition(archives, "at")
     same = full["at"] == settled["at"]
     for c in KEY:
         same = same & F.col(c).eqNullSafe(F.col(f"its_{c}"))
     return full.join(settled.hint("merge"), same).select(
-        *[c for c in full.columns if c != "at"], "record_type", "refers_to", "refers_url"
+        *[c for c in full.columns if c != "at"], *answers
     )
 
 
-def record_id(page_id: Column) -> Column:
-    """A URN for a page, the same in every archive."""
-    hexed = F.md5(F.concat(F.lit("page "), page_id.cast("string")).cast("binary"))
+def record_id(page_id: Column, digest: Column, copy: Column | None = None) -> Column:
+    """A URN for a page with a payload, the same in every archive, or for one copy of it."""
+    hexed = F.md5(F.concat_ws(" ", F.lit("page"), F.coalesce(page_id.cast("string"), F.lit("none")), digest, copy if copy is not None else F.lit(None).cast("string")).cast("binary"))
     parts = [F.substring(hexed, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -120,7 +130,7 @@ def one_line(value: Column) -> Column:
 
 def record_text(date: str) -> Column:
     """The whole record of a resolved page, without the line breaks that end it."""
-    revisit = F.col("record_type") == "revisit"
+    revisit, digest = F.col("record_type") == "revisit", F.col("payload_digest")
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{BREAK}Content-Type: text/html; charset=utf-8{BREAK}Content-Length: "),
@@ -130,11 +140,11 @@ def record_text(date: str) -> Column:
     block_bytes = (F.octet_length(http) + F.octet_length(body)).cast("string")
     named = [
         ("WARC-Type", F.col("record_type")),
-        ("WARC-Record-ID", record_id(F.coalesce(F.col("page_id").cast("string"), F.lit("none")))),
+        ("WARC-Record-ID", F.when(F.col("copies") == 1, record_id(F.col("page_id"), digest)).otherwise(record_id(F.col("page_id"), digest, F.monotonically_increasing_id().cast("string")))),
         ("WARC-Date", F.lit(date)),
         ("WARC-Target-URI", one_line(F.col("url"))),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        ("WARC-Refers-To", F.when(revisit, record_id(F.col("refers_to")))),
+        ("WARC-Refers-To", F.when(revisit & (F.col("refers_copies") == 1), record_id(F.col("refers_to"), digest))),
         ("WARC-Refers-To-Target-URI", F.when(revisit, one_line(F.col("refers_url")))),
         ("WARC-Refers-To-Date", F.when(revisit, F.lit(date))),
         ("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
@@ -147,10 +157,57 @@ def record_text(date: str) -> Column:
     return F.concat(F.lit(VERSION + BREAK), *[F.coalesce(x, F.lit("")) for x in lines], F.lit(BREAK), http, body)
 
 
+def member(record: bytes) -> bytes:
+    """A record as gzip members, the last of which ends in a zero byte."""
+    packed = gzip.compress(record, 6, mtime=0)
+    return packed if not packed[-1] else packed + gzip.compress(b"", mtime=0)
+
+
+def info_record(name: str, date: str) -> bytes:
+    """The record that begins an archive."""
+    block = f"software: sparkmart{BREAK}format: WARC File Format 1.1{BREAK}".encode()
+    own = uuid.uuid5(uuid.NAMESPACE_URL, f"{name} {date}")
+    lines = [VERSION, "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{own}>", f"WARC-Date: {date}",
+             "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return BREAK.join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
 def write_archives(records: DataFrame, path: str, date: str) -> None:
-    """Write resolved records, one gzip archive for each partition."""
+    """Write resolved records, one archive for each partition that has some."""
     lines = records.select(record_text(date).alias("value"))
-    lines.write.option("lineSep", BREAK * 2).option("compression", "gzip").text(path)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = True
+        for batch in batches:
+            for part in slices(batch, "value"):
+                rows = [member(v.as_py().encode() + b"\r\n\r\n")[:-1] for v in part.column(0)]
+                if fresh:
+                    rows.insert(0, member(info_record(f"{path} {TaskContext.get().partitionId()}", date))[:-1])
+                    fresh = False
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
+
+    members = lines.mapInArrow(packed, "value BINARY").select(F.col("value").cast("string").alias("value"))
+    members.write.option("lineSep", "\x00").text(path)
+
+
+def members_in(content: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, record) of the members of an archive; empty ones belong to those before."""
+    at, found = 0, None
+    while at < len(content):
+        stream = zlib.decompressobj(wbits=31)
+        record = stream.decompress(memoryview(content)[at:])
+        if not stream.eof:
+            raise ValueError(f"the member at byte {at} doesn't end")
+        length = len(content) - at - len(stream.unused_data)
+        if record or found is None:
+            if found:
+                yield found
+            found = (at, length, record)
+        else:
+            found = (found[0], found[1] + length, found[2])
+        at += length
+    if found:
+        yield found
 
 
 def records_in(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -186,7 +243,9 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
             for content in batch.column("content"):
                 rows: list[tuple] = []
                 size = 0
-                for named, block in records_in(zlib.decompress(content.as_buffer(), wbits=31)):
+                for named, block in (r for _, _, m in members_in(content.as_py()) for r in records_in(m)):
+                    if named["WARC-Type"] == "warcinfo":
+                        continue
                     http, _, payload = block.partition(b"\r\n\r\n")
                     length = int(http.rpartition(b"Content-Length: ")[2])
                     digest = named["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -206,8 +265,32 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                     yield _batch(rows, names)
 
     # An archive is one row: a task must not gather more of them than it needs.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(read, schema)
+    return _files(spark, path).select("content").mapInArrow(read, schema)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+
+
+def index_archives(spark: SparkSession, path: str) -> DataFrame:
+    """(url, date, record_id, record_type, payload_digest, page_id, archive, offset, length): where the
+    member of every record lies. To read one, take length bytes at offset and unpack them."""
+    names = ["url", "date", "record_id", "record_type", "payload_digest", "page_id", "archive", "offset", "length"]
+    kinds = [*[pa.string()] * 5, pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    told = ("WARC-Target-URI", "WARC-Date", "WARC-Record-ID", "WARC-Type", "WARC-Payload-Digest")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                rows = []
+                for offset, length, record in members_in(content.as_py()):
+                    for named, _ in records_in(record):
+                        page = named.get("X-Page-ID")
+                        rows.append((*[named.get(k) for k in told], page and int(page), archive, offset, length))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+
+    schema = ", ".join(f"`{n}` {'STRING' if k == pa.string() else 'BIGINT'}" for n, k in zip(names, kinds))
+    return _files(spark, path).select("path", "content").mapInArrow(read, schema)
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -221,14 +304,16 @@ def archive_pages(
     pages: DataFrame,
     folder: str,
     min_bytes: int = 0,
-    date: str = "2024-01-01T00:00:00Z",
+    date: str | None = None,
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> str:
-    """Write deduplicated archives of pages (page_id, url, html) below a folder; their path.
+    """Write deduplicated archives of pages (page_id, url, html) below a folder; their path. The date
+    of the records is that of the run unless given.
 
     Their number follows from the bytes of all payloads, so that one of them fits a task.
     """
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     path = f"{folder}/warc-{uuid.uuid4().hex}"
+    date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     write_archives(resolved_pages(pages, max(1, -(-total // archive_bytes)), min_bytes), path, date)
     return path

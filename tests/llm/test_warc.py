@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import base64
+import datetime as dt
+import gzip
 import hashlib
+import pathlib
 
 import pytest
 
@@ -43,13 +46,45 @@ def test_round_trip(sent, tmp_path, least, size):
             assert row.html is None
 
 
+def content(path):
+    """The bytes of each archive under a path."""
+    return {p: p.read_bytes() for p in pathlib.Path(path).glob("part-*")}
+
+
 def test_records_are_warc(sent, tmp_path):
-    path = warc.archive_pages(pages(sent, ROWS[:2]), str(tmp_path))
-    text = "".join(r.value + "\n" for r in sent.read.text(path).collect())
-    assert text.count("WARC/1.1") == 2 and "WARC-Profile: " + warc.PROFILE in text
+    path = warc.archive_pages(pages(sent, ROWS[:2]), str(tmp_path), date="2026-03-01T00:00:00Z")
+    text = b"".join(gzip.decompress(c) for c in content(path).values()).decode()
+    assert text.count("WARC-Type: warcinfo") == len(content(path)) and text.count("WARC/1.1") == 2 + len(content(path))
+    assert "WARC-Profile: " + warc.PROFILE in text and "WARC-Date: 2026-03-01T00:00:00Z" in text
     assert "WARC-Refers-To: <urn:uuid:" in text and "WARC-Refers-To-Target-URI: http://b/" in text
 
 
+def test_index_and_ids(sent, tmp_path):
+    """Every record is read by its offset alone; ids are unique, and revisits refer to one of them."""
+    path = warc.archive_pages(pages(sent, ROWS), str(tmp_path), archive_bytes=1000)
+    files = content(path)
+    index = warc.index_archives(sent, path).collect()
+    assert len(index) == len(ROWS) + len(files) and len({r.record_id for r in index}) == len(index)
+    assert sum(r.length for r in index) == sum(map(len, files.values()))
+    refers = set()
+    for r in index:
+        name = pathlib.Path(r.archive.removeprefix("file:"))
+        ((named, block),) = warc.records_in(gzip.decompress(files[name][r.offset : r.offset + r.length]))
+        assert named["WARC-Record-ID"] == r.record_id and named["WARC-Type"] == r.record_type
+        assert dt.datetime.now(dt.timezone.utc) - dt.datetime.fromisoformat(named["WARC-Date"]) < dt.timedelta(minutes=10)
+        refers |= {named[k] for k in ("WARC-Refers-To",) if k in named}
+    assert refers and refers <= {r.record_id for r in index if r.record_type == "response"}
+
+
+@pytest.mark.parametrize("size", [0, 1, 300, (1 << 24) + 5])
+def test_members_end_in_zero(size):
+    packed = warc.member(b"x" * size) + warc.member(b"next")
+    assert not packed[-1]
+    found = list(warc.members_in(packed))
+    assert [m for _, _, m in found] == [b"x" * size, b"next"]
+    assert sum(n for _, n, _ in found) == len(packed)
+
+
 def test_damage_is_found(sent):
     with pytest.raises(ValueError):
         list(warc.records_in(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nabc\r\n\r\n"))
