@@ -38,13 +38,31 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(copy, f"sparkmart-{application}"), "zip", copy, "sparkmart"))
 
 
+#: Drops the shuffle files of a job when it is over, not when the driver's memory is next cleaned up.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shipping(function: Callable) -> Callable:
-    """A function of (spark, ...) that first sees to it that the workers have this package."""
+    """A function of (spark, ...) that first sees to it that the workers have this package, and whose
+    jobs, up to the frame that it gives back, leave no shuffle files behind.
+
+    The jobs are writes into the shared folder, each run once, so nothing needs those files again.
+    The session's own setting holds again for whatever is done with the frame.
+    """
 
     @wraps(function)
     def run(spark: SparkSession, *args, **kwargs):
         ship(spark)
-        return function(spark, *args, **kwargs)
+        before = spark.conf.get(SHUFFLE_CLEANUP, None)
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            found = function(spark, *args, **kwargs)
+        finally:
+            if before is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                spark.conf.set(SHUFFLE_CLEANUP, before)
+        return found.select("*") if isinstance(found, DataFrame) else found  # a frame has the settings it was made under
 
     return run
 

@@ -11,11 +11,16 @@ is also in a document with a smaller id.
 
 Equal texts count as one text, that of the smallest id; a later copy goes as a whole. Anchors
 are gathered by hash in buckets of bounded size; a string that many texts of a task share is sent
-once. Windows are decided by the bytes themselves, hashes only bring candidates together.
+once. Contexts are counted by anchor before they are dealt: those of an anchor with more than
+HOT_CONTEXTS would be one large group, so their windows are settled one by one instead, the
+smallest id of each by an aggregate that tasks sum up first. Windows are decided by the bytes, or
+128 bits of their digest, and texts found again by their id and digest; shorter hashes only bring
+candidates together.
 
 Null texts are empty; texts shorter than a window lose nothing, whether copies or not. A null id
 counts as larger than all others. Rows with one id don't take from each other; equal rows give
-equal results. An empty table gives an empty one.
+equal results. A very long text is one row like others. An empty table gives an empty one. Other
+columns, whatever their names, go no further.
 """
 
 from __future__ import annotations
@@ -40,8 +45,10 @@ LAST_ID = (1 << 63) - 1
 
 #: Bytes of text whose anchors make up a bucket, more or less.
 BUCKET_BYTES = 16 << 20
-#: Row keys (8 bytes) up to this number are broadcast to select texts.
+#: Row keys (16 bytes) up to this number are broadcast to select texts.
 BROADCAST_KEYS = 1_000_000
+#: Different contexts of an anchor that one task holds at most.
+HOT_CONTEXTS = 2_000
 
 
 def anchors(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -104,6 +111,11 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def row_key(id_: Column, key: Column) -> Column:
+    """What identifies a text of an id: 16 bytes of a digest of both."""
+    return F.unhex(F.md5(F.concat(id_.cast("string").cast("binary"), F.lit(b":"), key)))
+
+
 def part_name(key: Column) -> Column:
     """The first eight bytes of a key, as a signed number."""
     high = F.conv(F.hex(F.substring(key, 1, 4)), 16, 10).cast("long")
@@ -253,18 +265,18 @@ def contexts(texts: DataFrame) -> DataFrame:
             keep[a:b] = np.isin(short[a:b], wanted.values.to_numpy())
         out: list[tuple] = []
         # What is settled here goes on by its row: all copies of a passage have the same hash.
-        found_in = _Firsts(lambda x: out.append((1, x[3], x[2], x[3], x[4], x[5], None, None)), 2)
+        found_in = _Firsts(lambda x: out.append((1, int.from_bytes(x[3][:8], "big", signed=True), *x[2:6], None, None)), 2)
         for k, place, start, end, own in zip(*[found[n][keep].tolist() for n in ("text", "place", "start", "end", "hash")]):
             own = own - (1 << 64) if own >= 1 << 63 else own
             text = texts[k][start : end + WINDOW]
             found_in.add((text, place - start), (0, own, ids[k], rows[k], start, end, place - start, text))
         for members in found_in.of.values():
             out += members
-        kinds = (pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.binary())
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         for k in range(0, len(out), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[k : k + 50_000]), kinds)], names)
 
-    schema = "kind INT, hash BIGINT, id BIGINT, row BIGINT, start BIGINT, end BIGINT, before INT, bytes BINARY"
+    schema = "kind INT, hash BIGINT, id BIGINT, row BINARY, start BIGINT, end BIGINT, before INT, bytes BINARY"
     return texts.select("row", "id", "text", "hashes").mapInArrow(run, schema)
 
 
@@ -311,7 +323,7 @@ def maximal_repeats(entries: list[tuple[bytes, int]]) -> Iterator[tuple[list[int
 
 def covered_windows(gathered: DataFrame) -> DataFrame:
     """(row, start, end): first and last starts of windows that a smaller id has too."""
-    names = ["row", "start", "end"]
+    names, arrow = ["row", "start", "end"], (pa.binary(), pa.int64(), pa.int64())
 
     def settle(group: list[tuple]) -> Iterator[tuple[int, int, int]]:
         """group: (id, row, start, end, before, bytes)."""
@@ -343,14 +355,49 @@ def covered_windows(gathered: DataFrame) -> DataFrame:
                     hash_, group = own, []
                 group.append((id_, row, start, end, before, text))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), arrow)], names)
                 out = []
         out += settle(group) if len(group) > 1 else []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), arrow)], names)
 
     dealt = gathered.repartition("hash").sortWithinPartitions("hash", "kind")
-    return dealt.mapInArrow(run, "row BIGINT, start BIGINT, end BIGINT")
+    return dealt.mapInArrow(run, RANGES)
+
+
+RANGES = "row BINARY, start BIGINT, end BIGINT"
+
+
+def single_windows(gathered: DataFrame) -> DataFrame:
+    """As covered_windows, window by window: no task holds the contexts of an anchor."""
+    names, arrow = ["window", "id", "row", "start"], (pa.binary(), pa.int64(), pa.binary(), pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for id_, row, start, end, text in zip(*[batch.column(n).to_pylist() for n in ("id", "row", "start", "end", "bytes")]):
+                for k in range(end - start + 1):
+                    out.append((hashlib.md5(text[k : k + WINDOW]).digest(), id_, row, start + k))
+            for k in range(0, len(out), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[k : k + 20_000]), arrow)], names)
+
+    windows = gathered.select("id", "row", "start", "end", "bytes").mapInArrow(
+        run, "window BINARY, id BIGINT, row BINARY, start BIGINT"
+    )
+    firsts = windows.groupBy("window").agg(F.min("id").alias("first"))
+    later = windows.join(firsts, "window").where("id > first")
+    return later.select("row", "start", F.col("start").alias("end"))
+
+
+def settled_windows(gathered: DataFrame, staging: Staging, hot_contexts: int) -> DataFrame:
+    """(row, start, end) of the windows that a smaller id has too, from staged contexts."""
+    counted = gathered.where("kind = 0").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    hot, seen = staging.write(counted.where(F.col("n") > hot_contexts).select("hash"), "hot", {"n": F.count(F.lit(1))})
+    if not seen["n"]:
+        return covered_windows(gathered)
+    here = gathered.where("kind = 0")
+    cold = gathered.where("kind = 1").unionByName(here.join(hot, "hash", "left_anti").select(gathered.columns))
+    return covered_windows(cold).unionByName(single_windows(here.join(hot, "hash", "left_semi")))
 
 
 def remaining(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int, int]:
@@ -371,6 +418,7 @@ def cut_repeats(
     bucket_bytes: int = BUCKET_BYTES,
     broadcast_keys: int = BROADCAST_KEYS,
     with_bytes: bool = False,
+    hot_contexts: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans (removed runs), kept_sha256, and
     with with_bytes the kept bytes. The id must be a whole number."""
@@ -379,7 +427,7 @@ def cut_repeats(
         F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    keyed = docs.withColumn("t", text_key(F.col("text"))).withColumn("row", F.xxhash64("id", "t"))
+    keyed = docs.withColumn("t", text_key(F.col("text"))).withColumn("row", row_key(F.col("id"), F.col("t")))
     size = F.octet_length("text").cast("long")
     slim = keyed.select(id_col, "id", "t", "row", size.alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     slim, seen = staging.write(slim, "rows", {"bytes": F.coalesce(F.sum("n_bytes"), F.lit(0))})
@@ -387,7 +435,7 @@ def cut_repeats(
     buckets = max(8, -(-seen["bytes"] // bucket_bytes))
     shared = shared_anchors(anchor_buckets(docs, "text", buckets), buckets)
     lists = shared.groupBy("name").agg(F.collect_list("hash").alias("hashes"))
-    owners = firsts.select(part_name(F.col("t")).alias("name"), F.xxhash64("first", "t").alias("row"))
+    owners = firsts.select(part_name(F.col("t")).alias("name"), row_key(F.col("first"), F.col("t")).alias("row"))
     lists, found = staging.write(
         lists.join(owners, "name").groupBy("row").agg(F.flatten(F.collect_list("hashes")).alias("hashes")),
         "shared", {"n": F.count(F.lit(1))},
@@ -400,9 +448,12 @@ def cut_repeats(
             chosen = chosen.join(F.broadcast(rows.select("row")), "row", "left_semi")
         return chosen
 
-    gathered = contexts(having(lists, found["n"]).join(lists, "row"))
-    ranges = covered_windows(gathered).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    gathered, _ = staging.write(contexts(having(lists, found["n"]).join(lists, "row")), "contexts")
+    staging.discard("shared")
+    settled = settled_windows(gathered, staging, hot_contexts)
+    ranges = settled.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     ranges, found = staging.write(ranges, "ranges", {"n": F.count(F.lit(1))})
+    staging.discard("contexts")
     cut_names = ["row", "n_removed", "n_spans", "cut_sha", "kept"][: 5 if with_bytes else 4]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,12 +465,12 @@ def cut_repeats(
                     starts, ends = (pairs.field(n).to_numpy() for n in ("start", "end"))
                     kept, gone, runs = remaining(text.encode(), starts, ends)
                     done.append((row, gone, runs, hashlib.sha256(kept).hexdigest(), kept))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in list(zip(zip(*done), kinds))[: len(cut_names)]], cut_names
                 )
 
-    schema = "row BIGINT, n_removed BIGINT, n_spans BIGINT, cut_sha STRING" + (", kept BINARY" if with_bytes else "")
+    schema = "row BINARY, n_removed BIGINT, n_spans BIGINT, cut_sha STRING" + (", kept BINARY" if with_bytes else "")
     pieces = having(ranges, found["n"]).join(ranges, "row").select("row", "text", "ranges")
     changed = pieces.mapInArrow(cut, schema).dropDuplicates(["row"])
     changed = changed.withColumnRenamed("row", "of_row")

@@ -51,10 +51,12 @@ def cases(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_against_the_rule(docs, fresh, seed):
+@pytest.mark.parametrize(("seed", "hot"), [(1, 2000), (2, 2), (3, 0)])
+def test_against_the_rule(docs, fresh, seed, hot):
     rows = cases(seed)
-    found = cut_repeats(docs(rows), staging=fresh, bucket_bytes=4096, broadcast_keys=0 if seed == 1 else 10**6)
+    found = cut_repeats(
+        docs(rows), staging=fresh, bucket_bytes=4096, broadcast_keys=0 if seed == 1 else 10**6, hot_contexts=hot
+    )
     assert sorted([tuple(r) for r in found.collect()], key=repr) == brute(rows)
 
 
