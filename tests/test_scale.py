@@ -11,6 +11,7 @@ from sparkmart.operators.cleaning import keep_first
 from sparkmart.operators.joins import lookup, with_group_figures
 from sparkmart.operators.keys import POSITION, number_rows, stage_in_order
 from sparkmart.plans import facts, reports
+from sparkmart.schemas import DIM_STORE
 from sparkmart.session import cluster_settings
 from sparkmart.sources.driver_tables import AS_OF
 
@@ -191,3 +192,59 @@ def test_sales_are_read_once_for_all_lookup_figures(small_build):
     tables = [warehouse.table(t) for t in ("dim_product", "dim_customer", "dim_store", "dim_date")]
     plan = plan_of(facts.lookup_figures(keyed, facts.Dimensions(*tables)))
     assert len([line for line in plan.splitlines() if "FileScan" in line and "fact_sales" in line]) == 1
+
+
+@pytest.fixture
+def shops(spark, warehouse):
+    """A warehouse with 2,000 stores, and a frame of stores from a key on."""
+    warehouse.create_database()
+    warehouse.create_schema()
+
+    def stores(rows, key):
+        texts = [F.lit("x").alias(c) for c in ("store_name", "city", "state", "region", "manager_name")]
+        day = F.lit("2020-01-01").cast("date").alias("opening_date")
+        return rows.select(key.alias("store_key"), (key + 10**6).alias("store_id"), *texts, day)
+
+    warehouse.append(stores(spark.range(2000), F.col("id")), DIM_STORE)
+    return warehouse, stores
+
+
+def test_keys_are_checked_without_whole_rows(spark, shops, monkeypatch):
+    """No window and no whole row in a shuffle: only keys are counted and looked up."""
+    warehouse, stores = shops
+    plans, write = [], warehouse.staging.write
+
+    def noting(df, name, *args, **kwargs):
+        plans.append(plan_of(df))
+        return write(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(warehouse.staging, "write", noting)
+    assert warehouse.append(stores(spark.range(5000, 6000), F.col("id")), DIM_STORE) == 0
+    assert len(plans) == 3 and not any("Window" in p for p in plans)
+    assert not any("store_name" in line for p in plans for line in p.splitlines() if "Exchange" in line)
+    assert warehouse.count(DIM_STORE) == 3000
+
+
+def test_only_the_range_of_new_keys_is_read(shops):
+    warehouse, _ = shops
+    scan = plan_of(warehouse.existing_keys(DIM_STORE, "store_key", 5000, 6000))
+    assert "GreaterThanOrEqual(store_key,5000)" in scan and "LessThanOrEqual(store_key,6000)" in scan
+    assert "ReadSchema: struct<store_key:bigint>" in scan
+
+
+def test_a_hot_repeated_key_is_split(spark, shops, small_limits):
+    """A third of 200,000 new stores have the key 7,000, every tenth of the others one that is there."""
+    warehouse, stores = shops
+    key = F.when(F.col("id") % 3 == 0, 7000).when(F.col("id") % 10 == 1, F.col("id") % 2000).otherwise(F.col("id") + 10_000)
+    rows = stores(spark.range(0, ROWS, 1, 8), key).withColumn("store_id", F.monotonically_increasing_id() + 10**9)
+    staged, marked = warehouse.checked(rows, DIM_STORE, against=True)
+    assert "skew=true" in final_plan(marked)
+    bad = spark.range(ROWS).where("id % 3 = 0 OR id % 10 = 1").count()
+    assert marked.where(F.size("_violations") > 0).count() == bad and marked.count() == ROWS
+
+
+def test_a_range_that_meets_no_segment(spark, shops):
+    """Keys without a range, all null, are checked too."""
+    warehouse, stores = shops
+    nothing = stores(spark.range(0), F.col("id"))
+    assert warehouse.append(nothing, DIM_STORE) == 0 and warehouse.count(DIM_STORE) == 2000
