@@ -28,6 +28,7 @@ Repeated rows are in one class; an empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
@@ -275,7 +276,12 @@ class Texts:
         keys, seen = self.staging.write(keys, f"{name}-keys", {"n": F.count(F.lit(1))})
         if seen["n"] <= self.broadcast_keys:
             keys = F.broadcast(keys)
-        return self.staging.write(self.docs.join(keys, "t", "left_semi").dropDuplicates(["t"]), f"{name}-texts")[0]
+        found = self.staging.write(self.docs.join(keys, "t", "left_semi").dropDuplicates(["t"]), f"{name}-texts")[0]
+        self.staging.discard(f"{name}-keys")
+        return found
+
+    def forget(self, name: str) -> None:
+        self.staging.discard(f"{name}-texts")
 
 
 class Linking:
@@ -284,7 +290,7 @@ class Linking:
     def __init__(self, docs: DataFrame, text_col: str, threshold: float, staging: Staging, broadcast_keys: int):
         self.texts = Texts(docs, text_col, staging, broadcast_keys)
         self.threshold, self.staging = threshold, staging
-        self.found = self.tried = self.roots = None
+        self.tried = self.roots = self.named = None
         self.turn = 0
 
     def rooted(self, members: DataFrame) -> DataFrame:
@@ -298,6 +304,7 @@ class Linking:
         members, _ = self.staging.write(self.rooted(members), f"{name}-rooted")
         several = members.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
         members, seen = self.staging.write(members.join(several.select("bucket"), "bucket"), name, {"n": F.count(F.lit(1))})
+        self.staging.discard(f"{name}-rooted")
         return members, seen["n"]
 
     def compare(self, led: DataFrame) -> None:
@@ -313,16 +320,34 @@ class Linking:
             named = own.select(F.col("t").alias("u"), F.col("text").alias("other"))
             both = pairs.join(own, "t").join(named, "u")
             good, linked = self.staging.write(aligned_pairs(both, self.threshold), f"links-{self.turn}", {"n": F.count(F.lit(1))})
+            self.texts.forget(f"turn-{self.turn}")
             self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
             if linked["n"]:
-                self.found = good if self.found is None else self.found.unionByName(good)
-                self.roots = components(self.found, self.staging, f"classes-{self.turn}")
+                self.contract(good)
+            self.staging.discard(f"links-{self.turn}")
         self.turn += 1
 
+    def contract(self, links: DataFrame) -> None:
+        """Make one class of what new links (t, u) join: only they and the roots they touch are looked at."""
+        edges = self.apart(links).select(F.col("root").alias("t"), F.col("other").alias("u")).distinct()
+        edges, seen = self.staging.write(edges, f"edges-{self.turn}", {"n": F.count(F.lit(1))})
+        if seen["n"]:
+            moved = components(edges, self.staging, f"classes-{self.turn}")
+            if self.roots is not None:
+                onward = moved.select(F.col("t").alias("root"), F.col("root").alias("new"))
+                old = self.roots.join(onward, "root", "left").select("t", F.coalesce("new", "root").alias("root"))
+                moved = moved.unionByName(old)
+            before, name = self.named, f"roots-{self.turn}"
+            self.roots, self.named = self.staging.write(moved, name)[0], name
+            self.staging.discard(*[n for n in (before,) if n], f"classes-{self.turn}")
+        self.staging.discard(f"edges-{self.turn}")
+
     def compare_unlike(self, keys: DataFrame) -> None:
         """Align each two texts of these keys (t) that have different classes and may align."""
         own, _ = self.staging.write(shingled(self.texts.at(keys, "unlike")), "shingles")
+        self.texts.forget("unlike")
         members, seen = self.mixed(prefixes(own, slot_counts(own), self.threshold), "prefixes")
+        self.staging.discard("shingles")
         if not seen:
             return
         # All but the largest class of a bucket look for partners in it.
@@ -334,9 +359,14 @@ class Linking:
         most = F.least("ahead", "other_ahead")  # shingles in common, where this is the first
         may = (F.col("root") != F.col("other_root")) & (most * (over + under) >= (F.col("n") + F.col("other_n")) * over)
         a, b = F.struct("t", "n"), F.struct(F.col("other_t").alias("t"), F.col("other_n").alias("n"))
-        pairs = seeking.join(met, "bucket").where(may).groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        # Texts that may align are in the same band of lengths or in neighbouring ones.
+        band = F.floor(F.log("n") / (1.01 * math.log(under / over)))
+        seeking = seeking.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+        met = met.withColumn("band", F.floor(F.log("other_n") / (1.01 * math.log(under / over))))
+        pairs = seeking.join(met, ["bucket", "band"]).where(may).groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
         pairs = pairs.agg(F.count(F.lit(1)).alias("shared")).select("a.t", "a.n", F.col("b.t").alias("u"), F.col("b.n").alias("m"), "shared")
         pairs, seen = self.staging.write(pairs, "unlike-pairs", {"n": F.count(F.lit(1))})
+        self.staging.discard("prefixes")
         if seen["n"]:
             # Of two classes first the pair with most in common: if it aligns, they are one class.
             classes = F.array_sort(F.array("root", "other")).alias("classes")
@@ -380,11 +410,14 @@ def linked(
     coarse = coarse.select("bucket", "t", "n").join(weights, "t")
     linking = Linking(docs, text_col, threshold, staging, broadcast_keys)
     coarse, _ = staging.write(linking.rooted(coarse), "coarse")
+    staging.discard("coarse-members", "weights")
     linking.compare(coarse.join(leaders_of(coarse), "bucket").where("t <> u"))
     left, seen = linking.mixed(coarse.drop("root"), "coarse-mixed")
+    staging.discard("coarse")
     if not seen:
         return linking.roots
     fine, seen = linking.mixed(together_in(every, left, PAIRED), "fine")
+    staging.discard("sketches")
     waiting = fine.select("bucket", "t", "n", "weight")
     for turn in range(single_rounds):
         if not seen:
@@ -396,6 +429,8 @@ def linked(
         done = linking.rooted(first.select("bucket", F.col("u").alias("t"))).select("bucket", "root")
         rest = linking.rooted(now.drop("root")).join(done, ["bucket", "root"], "left_anti")
         waiting, _ = staging.write(rest.select("bucket", "t", "n", "weight"), f"rest-{turn}")
+        staging.discard(f"waiting-{turn}", f"leaders-{turn}", f"rest-{turn - 1}")
+    staging.discard("fine")
     # What was done with above has not met the members that have not led: it meets them here.
     left, seen = linking.mixed(left.drop("root"), "coarse-last")
     if seen:
@@ -421,7 +456,9 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
 
     last, turn = None, 0
     while True:
-        edges, seen = stars(edges, f"{name}-{turn}")
+        edges, seen = stars(edges, f"{name}/{turn}")
+        if turn:
+            staging.discard(f"{name}/{turn - 1}")
         if seen == last or not seen["n"]:
             break
         last, turn = seen, turn + 1
