@@ -10,7 +10,10 @@ Lines end at \\n and are compared without the spaces and tabs around them; blank
 boilerplate. A null text stays null and counts as a page without lines; null hosts are one host.
 A page is a row: repeated rows are pages of their own. A page of which nothing but blank lines
 would be left can be kept whole (keep_emptied): such pages are copies of each other, which is for
-near-duplicate detection to judge. An empty table gives an empty one; extra columns pass through.
+near-duplicate detection to judge. A line whose share is just the ratio stays; equal lines of a host
+share one fate, so there are no ties. A very long text is a page with many lines, or one long one.
+An empty table gives an empty one; extra columns pass through, whatever their names, but for those
+that are added, which begin with an underscore.
 """
 
 from __future__ import annotations

@@ -20,9 +20,15 @@ share one of those that come before the last 80 % (a prefix filter, which loses
 Classes are the connected components, found by alternating star contractions on staged edges.
 Nothing but counts comes to the driver.
 
+What is staged goes as soon as it has been read. Links that a round finds are contracted by
+themselves, between the roots that they join; the classes of the rounds before are only renamed.
+
 A null text is empty; texts without words are linked to equal ones only, texts of fewer than five
 words are one shingle. The class is named by its smallest doc_id (null if it has none but null).
-Repeated rows are in one class; an empty table gives an empty one.
+Repeated rows are in one class; an empty table gives an empty one. Of members of equal weight the
+one with the smallest key leads; of equal shares with the threshold, that of just the threshold
+counts. A very long text is aligned inside its band like others. Other columns, whatever their
+names, go no further, or stay as they are where rows are kept (one_of_each).
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ shards of a bounded number of pieces by a hash of the piece, which no document,
 can overfill. What poorly filled sequences hold is then dealt to fewer shards and packed again.
 
 A null or empty text is one piece, the end token alone. Every row is packed: repeated rows are
-packed repeatedly, ties in length are taken by id, piece and checksum, null ids last. An empty
-table gives an empty one.
+packed repeatedly, ties in length are taken by id, piece and checksum, null ids last. A very long
+text is cut into pieces of a full sequence each. An empty table gives an empty one. Other columns,
+whatever their names, go no further.
 """
 
 from __future__ import annotations

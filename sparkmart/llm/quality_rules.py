@@ -6,7 +6,9 @@ times powers of an odd base, modulo 2^64); equal hashes are compared word by wor
 count. Nothing is shuffled: a text is measured where it is read.
 
 Null and empty texts have no words; they fail the base rule (fewer than 20 words). Rows are
-independent, so repeated rows and ties give repeated results, and an empty table an empty one.
+independent, so repeated rows and ties give repeated results, and an empty table an empty one. A
+very long text is a slice of its own. Other columns, whatever their names, go no further, or stay as
+they are where rows are kept (keep_good).
 """
 
 from __future__ import annotations
