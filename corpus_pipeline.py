@@ -1,4 +1,11 @@
-"""A pretraining corpus from the documents: five stages, each the next one's input."""
+"""A pretraining corpus from the documents: five stages, each the next one's input.
+
+Null and empty texts fail the quality rules and go there. Repeated rows are kept up to the stage of
+near-duplicates, where one of them stays; of texts of a class the one with the smallest id does, of
+equal ids the smaller text key. Very long texts are rows like others, cut into sequences at the end.
+Columns beyond those of documents pass through up to the last stage, whatever their names. Empty
+tables give empty results. What each stage does in such cases is stated in its operator's module.
+"""
 
 from __future__ import annotations
 
