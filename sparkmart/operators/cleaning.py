@@ -8,6 +8,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Fixed values, here and in the three messages below: what stands for a bad address, what runs report.
 INVALID_EMAIL = "invalid@email.com"
 
 

@@ -256,7 +256,7 @@ def executive_summary(star: Star) -> DataFrame:
 
 
 def full_report(star: Star, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """All nine reports by name; each runs when its result is asked for."""
+    """All nine reports by name (fixed values); each runs when its result is asked for."""
     return {
         "executive_summary": executive_summary(star),
         "top_products": top_selling_products(star, 10),
