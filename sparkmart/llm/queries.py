@@ -22,7 +22,7 @@ from sparkmart.llm import (
     toxicity,
     warc,
 )
-from sparkmart.llm.decontaminate import Decontaminator
+from sparkmart.llm.decontaminate_shuffled import decontaminator
 from sparkmart.llm.packing import Capacities, pack, tokenized
 from sparkmart.llm.common import shipping, table
 from sparkmart.staging import Staging
@@ -208,7 +208,7 @@ FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN named ON named.r = d.r LEFT JOIN b
 )
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
-    return Decontaminator(table(spark, sf_dir, "benchmark")).measure(table(spark, sf_dir, "documents"))
+    return decontaminator(table(spark, sf_dir, "benchmark")).measure(table(spark, sf_dir, "documents"))
 
 
 ROOM = Capacities()

@@ -7,6 +7,7 @@ import re
 import pytest
 
 from sparkmart.llm.decontaminate import Decontaminator, words_of
+from sparkmart.llm.decontaminate_shuffled import ShuffledDecontaminator, decontaminator
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -78,6 +79,36 @@ def test_matches_and_clean(sent, docs):
     assert kept.columns == docs(rows).columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
+@pytest.mark.parametrize("bits", [28, 11])
+def test_by_shuffle(sent, docs, fresh, bits):
+    """The same rows as with the items in every task, also where the bitmap lets far too much through."""
+    rows, items = cases()
+    bench = sent.createDataFrame([(i, t, 1) for i, t in items], "item_id LONG, text STRING, doc_id LONG")
+    tool = ShuffledDecontaminator(bench, filter_bits=bits, staging=fresh)
+    plain = Decontaminator(bench)
+    measured = [sorted(map(tuple, t.measure(docs(rows)).collect()), key=repr) for t in (tool, plain)]
+    assert measured[0] == measured[1] and len(measured[0]) == len(rows)
+    found = [sorted(map(tuple, t.matches(docs(rows)).collect()), key=repr) for t in (tool, plain)]
+    assert found[0] == found[1] and found[0]
+    kept = [sorted(map(tuple, t.clean(docs(rows)).collect()), key=repr) for t in (tool, plain)]
+    assert kept[0] == kept[1] and tool.clean(docs(rows)).columns == docs(rows).columns
+
+
+def test_the_size_decides(sent, docs, fresh):
+    bench = sent.createDataFrame([(1, "some words of an item")], "item_id LONG, text STRING")
+    assert isinstance(decontaminator(bench), Decontaminator)
+    large = decontaminator(bench, broadcast_chars=5, staging=fresh)
+    assert isinstance(large, ShuffledDecontaminator)
+    assert [r.contaminated for r in large.measure(docs([(1, "x SOME words of an item y")])).collect()] == [True]
+    assert large.measure(docs([])).count() == 0
+
+
+def test_no_items_by_shuffle(sent, docs, fresh):
+    none = sent.createDataFrame([], "item_id LONG, text STRING")
+    tool = ShuffledDecontaminator(none, staging=fresh)
+    assert sorted(tuple(r)[:4] for r in tool.measure(docs([(1, "a b"), (2, None)])).collect()) == [(1, 2, 0, 0), (2, 0, 0, 0)]
+
+
 def test_empty_tables(sent, docs):
     none = sent.createDataFrame([], "item_id LONG, text STRING")
     assert [r.contaminated for r in Decontaminator(none).measure(docs([(1, "a b")])).collect()] == [False]
