@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import line_dedup, order_minhash, quality_rules
 from sparkmart.llm.common import ship, shipping, table
-from sparkmart.llm.decontaminate import Decontaminator
+from sparkmart.llm.decontaminate_shuffled import decontaminator
 from sparkmart.llm.queries import packed
 from sparkmart.staging import Staging
 
@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark contaminates go."""
-    return Decontaminator(table(spark, sf_dir, "benchmark")).clean(docs)
+    return decontaminator(table(spark, sf_dir, "benchmark")).clean(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
