@@ -67,4 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs, _ = staging.write(stage(spark, docs, sf_dir), f"stage-{k}")
+        staging.discard(f"stage-{k - 1}")  # the next stage has read it
     return docs
