@@ -31,6 +31,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import columns, slices
+from sparkmart.staging import Staging
 
 # Fixed values of the WARC 1.1 and HTTP formats and of base32.
 VERSION = "WARC/1.1"
@@ -95,25 +97,36 @@ def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 KEY = ("page_id", "payload_digest", "payload_bytes")
+#: Copies of a page with one payload that are dealt together.
+HOT_COPIES = 1_000
 
 
-def resolved_pages(pages: DataFrame, archives: int, min_bytes: int = 0) -> DataFrame:
+def resolved_pages(pages: DataFrame, archives: int, min_bytes: int = 0, staging: Staging | None = None) -> DataFrame:
     """All pages with their payloads and what resolve_revisits says, dealt to so many archives."""
-    full = headers(pages).withColumn("at", F.xxhash64(*KEY))
-    slim = full.select(*KEY, "url")
+    staging = staging or Staging(pages.sparkSession)
+    full = headers(pages)
     # Equal pages of one id get equal answers, so they are one before anything is shuffled.
-    slim = slim.groupBy(*KEY).agg(F.min("url").alias("url"), F.count(F.lit(1)).alias("copies"))
+    slim = full.groupBy(*KEY).agg(F.min("url").alias("url"), F.count(F.lit(1)).alias("copies"))
     answers = ("copies", "record_type", "refers_to", "refers_url", "refers_copies")
-    settled = resolve_revisits(slim, min_bytes).select(
-        F.xxhash64(*KEY).alias("at"), *[F.col(c).alias(f"its_{c}") for c in KEY], *answers
-    )
-    full, settled = full.repartition(archives, "at"), settled.repartition(archives, "at")
-    same = full["at"] == settled["at"]
-    for c in KEY:
-        same = same & F.col(c).eqNullSafe(F.col(f"its_{c}"))
-    return full.join(settled.hint("merge"), same).select(
-        *[c for c in full.columns if c != "at"], *answers
-    )
+    parts = F.ceil(F.col("copies") / HOT_COPIES).alias("parts")
+    settled = resolve_revisits(slim, min_bytes).select(*[F.col(c).alias(f"its_{c}") for c in KEY], *answers, parts)
+    settled, seen = staging.write(settled, f"settled-{uuid.uuid4().hex}", {"hot": F.count_if(F.col("parts") > 1)})
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return reduce(Column.__and__, [left[c].eqNullSafe(right[f"its_{c}"]) for c in KEY])
+
+    part = F.lit(0).cast("long")
+    if seen["hot"]:
+        # The copies of such a page are dealt to several archives; its answers go to each of them.
+        hot = settled.where("parts > 1").select(*[f"its_{c}" for c in KEY], "parts")
+        full = full.join(hot, same(full, hot), "left").drop(*[f"its_{c}" for c in KEY])
+        part = F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1)))
+    full = full.withColumn("part", part)
+    full = full.withColumn("at", F.xxhash64(*KEY, "part")).repartition(archives, "at")
+    settled = settled.withColumn("its_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    settled = settled.withColumn("its_at", F.xxhash64(*[f"its_{c}" for c in KEY], "its_part")).repartition(archives, "its_at")
+    met = (full["at"] == settled["its_at"]) & (full["part"] == settled["its_part"]) & same(full, settled)
+    return full.join(settled.hint("merge"), met).select(*headers(pages).columns, *answers)
 
 
 def record_id(page_id: Column, digest: Column, copy: Column | None = None) -> Column:
@@ -315,5 +328,5 @@ def archive_pages(
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     path = f"{folder}/warc-{uuid.uuid4().hex}"
     date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    write_archives(resolved_pages(pages, max(1, -(-total // archive_bytes)), min_bytes), path, date)
+    write_archives(resolved_pages(pages, max(1, -(-total // archive_bytes)), min_bytes, Staging(pages.sparkSession, folder)), path, date)
     return path

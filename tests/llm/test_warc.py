@@ -34,14 +34,16 @@ def expected(rows, least):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("least", "size"), [(0, 1 << 24), (8, 1000)])
-def test_round_trip(sent, tmp_path, least, size):
-    path = warc.archive_pages(pages(sent, ROWS), str(tmp_path), least, archive_bytes=size)
+@pytest.mark.parametrize(("least", "size", "hot"), [(0, 1 << 24, 1000), (8, 1000, 1000), (0, 1000, 2)])
+def test_round_trip(sent, tmp_path, monkeypatch, least, size, hot):
+    monkeypatch.setattr(warc, "HOT_COPIES", hot)
+    rows = ROWS + [(77, "http://k/", "often")] * 9 + [(78, "http://l/", "often")]
+    path = warc.archive_pages(pages(sent, rows), str(tmp_path), least, archive_bytes=size)
     found = warc.read_archives(sent, path, payloads=True).collect()
-    assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found], key=repr) == expected(ROWS, least)
+    assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found], key=repr) == expected(rows, least)
     for row in found:
         if row.record_type == "response":
-            assert row.html in {h or "" for p, _, h in ROWS if p == row.page_id}
+            assert row.html in {h or "" for p, _, h in rows if p == row.page_id}
         else:
             assert row.html is None
 
