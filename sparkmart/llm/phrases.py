@@ -40,9 +40,9 @@ FOLD = bytes(
 )
 STEP = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes of text worked on at a time; hashes, and entries with their words, that a task sums up at once.
-BYTES_AT_ONCE, HASHES_AT_ONCE, ENTRIES_AT_ONCE = 2 << 20, 3_000_000, 600_000
+BYTES_AT_ONCE, HASHES_AT_ONCE, ENTRIES_AT_ONCE = 2 << 20, 2_000_000, 500_000
 #: Bytes of text behind one range of hashes: what a task has to merge at a time.
-BYTES_PER_RANGE = 8 << 20
+BYTES_PER_RANGE = 2 << 20
 
 
 class Words:
@@ -250,7 +250,7 @@ def candidates(texts: DataFrame, most: int, min_count: int, shards: int, filter_
     found = mined.groupBy("range").applyInArrow(merge, "`range` BIGINT, bits BINARY")
     bitmap = np.zeros(1 << (filter_bits - 3), np.uint8)
     width = len(bitmap) >> range_bits
-    for row in found.toLocalIterator():  # in all as many bits as the bitmap has
+    for row in found.collect():  # in all as many bits as the bitmap has
         bitmap[row["range"] * width : (row["range"] + 1) * width] = np.frombuffer(row.bits, np.uint8)
     return bitmap
 
