@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sparkmart.llm.common import columns, per_slice, texts_of
+from sparkmart.staging import Staging
 
 #: Bytes that are no part of a word, once A-Z are folded: ASCII but for digits and letters. Those
 #: of other characters in UTF-8 are all words'.
@@ -178,7 +179,8 @@ def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, most_chars: int)
     """The items in blocks of about most_chars characters, one block at a time on the driver."""
     rows: list[tuple] = []
     size = 0
-    for item, text in columns(benchmark, id_col, text_col).dropDuplicates().toLocalIterator():
+    items = columns(benchmark, id_col, text_col).dropDuplicates()
+    for item, text in Staging(benchmark.sparkSession).write(items, "items")[0].toLocalIterator():
         rows.append((item, text))
         size += len(text or "") + 16
         if size >= most_chars:

@@ -112,7 +112,7 @@ class ShuffledDecontaminator:
 
         places = self.windows.select("place").distinct().withColumn("part", F.shiftright("place", self.filter_bits - PART_BITS))
         whole = np.zeros(1 << (self.filter_bits - 3), np.uint8)
-        for row in places.groupBy("part").applyInArrow(part, "part BIGINT, bits BINARY").toLocalIterator():
+        for row in places.groupBy("part").applyInArrow(part, "part BIGINT, bits BINARY").collect():  # the bitmap
             whole[row.part * (size >> 3) : (row.part + 1) * (size >> 3)] = np.frombuffer(row.bits, np.uint8)
         return whole.tobytes()
 
