@@ -11,11 +11,11 @@ is also in a document with a smaller id.
 
 Equal texts count as one text, that of the smallest id; a later copy goes as a whole. Anchors
 are gathered by hash in buckets of bounded size; a string that many texts of a task share is sent
-once. Contexts are counted by anchor before they are dealt: those of an anchor with more than
-HOT_CONTEXTS would be one large group, so their windows are settled one by one instead, the
-smallest id of each by an aggregate that tasks sum up first. Windows are decided by the bytes, or
-128 bits of their digest, and texts found again by their id and digest; shorter hashes only bring
-candidates together.
+once. Contexts are counted by anchor before they are dealt: a task holds those of one anchor, up to
+HOT_CONTEXTS of them. The windows of an anchor with more are settled one by one, in streams sorted by
+window and id, at up to 32 rows for each context. Windows are decided by the bytes, or 128 bits of
+their digest, and texts found again by their id and digest; shorter hashes only bring candidates
+together.
 
 Null texts are empty; texts shorter than a window lose nothing, whether copies or not. A null id
 counts as larger than all others. Rows with one id don't take from each other; equal rows give
@@ -47,8 +47,8 @@ LAST_ID = (1 << 63) - 1
 BUCKET_BYTES = 16 << 20
 #: Row keys (16 bytes) up to this number are broadcast to select texts.
 BROADCAST_KEYS = 1_000_000
-#: Different contexts of an anchor that one task holds at most.
-HOT_CONTEXTS = 2_000
+#: Different contexts of an anchor that a task holds at most, some 100 MB.
+HOT_CONTEXTS = 200_000
 
 
 def anchors(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -369,10 +369,11 @@ RANGES = "row BINARY, start BIGINT, end BIGINT"
 
 
 def single_windows(gathered: DataFrame) -> DataFrame:
-    """As covered_windows, window by window: no task holds the contexts of an anchor."""
+    """As covered_windows, window by window: tasks stream the windows in order, the smallest id of
+    each first, and hold no group of them."""
     names, arrow = ["window", "id", "row", "start"], (pa.binary(), pa.int64(), pa.binary(), pa.int64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for id_, row, start, end, text in zip(*[batch.column(n).to_pylist() for n in ("id", "row", "start", "end", "bytes")]):
@@ -381,12 +382,21 @@ def single_windows(gathered: DataFrame) -> DataFrame:
             for k in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[k : k + 20_000]), arrow)], names)
 
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        window, first = None, 0
+        for batch in batches:
+            held = []
+            for own, id_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if own != window:
+                    window, first = own, id_
+                held.append(id_ > first)
+            some = batch.filter(pa.array(held, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([some.column(2), some.column(3), some.column(3)], ["row", "start", "end"])
+
     windows = gathered.select("id", "row", "start", "end", "bytes").mapInArrow(
-        run, "window BINARY, id BIGINT, row BINARY, start BIGINT"
+        cut, "window BINARY, id BIGINT, row BINARY, start BIGINT"
     )
-    firsts = windows.groupBy("window").agg(F.min("id").alias("first"))
-    later = windows.join(firsts, "window").where("id > first")
-    return later.select("row", "start", F.col("start").alias("end"))
+    return windows.repartition("window").sortWithinPartitions("window", "id").mapInArrow(later, RANGES)
 
 
 def settled_windows(gathered: DataFrame, staging: Staging, hot_contexts: int) -> DataFrame:
