@@ -205,13 +205,15 @@ def write_archives(records: DataFrame, path: str, date: str) -> None:
 
 def members_in(content: bytes) -> Iterator[tuple[int, int, bytes]]:
     """(offset, length, record) of the members of an archive; empty ones belong to those before."""
-    at, found = 0, None
+    at, found, whole = 0, None, memoryview(content)
     while at < len(content):
-        stream = zlib.decompressobj(wbits=31)
-        record = stream.decompress(memoryview(content)[at:])
-        if not stream.eof:
-            raise ValueError(f"the member at byte {at} doesn't end")
-        length = len(content) - at - len(stream.unused_data)
+        stream, parts, stop = zlib.decompressobj(wbits=31), [], at
+        while not stream.eof:  # a little at a time: what lies behind the member is copied
+            if stop >= len(content):
+                raise ValueError(f"the member at byte {at} doesn't end")
+            parts.append(stream.decompress(whole[stop : stop + 16_384]))
+            stop = min(stop + 16_384, len(content))
+        record, length = b"".join(parts), stop - len(stream.unused_data) - at
         if record or found is None:
             if found:
                 yield found
