@@ -24,6 +24,7 @@ from sparkmart.plans.warehouse import Warehouse, rejected_name, with_load_column
 from sparkmart.schemas import (
     DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, FACT_SALES, TABLES, Table,
 )
+from sparkmart.session import sized
 from sparkmart.sources.extracts import Extract, extract_all
 from sparkmart.staging import Staging
 from sparkmart.together import together
@@ -232,9 +233,10 @@ class StarBuild:
         self.start_time = dt.datetime.now()
         self.status = "RUNNING"
         try:
-            self.extract()
-            self.transform()
-            self.load()
+            with sized(self.warehouse.spark, *[e.rows for e in self.extracts.values()]):
+                self.extract()
+                self.transform()
+                self.load()
             self.status = "SUCCESS"
             if not self.keep_staged:
                 self.staging.drop()

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sparkmart.functions.dates import month_of_key
 from sparkmart.operators.joins import lookup
 from sparkmart.operators.quality import unpivot_counts
 from sparkmart.plans.transforms import with_measures
@@ -59,6 +60,8 @@ LEAST_ROWS = 100_000
 def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions, rows: int | None = None) -> DataFrame:
     """Inputs dealt to tasks by (date, order), sorted there, with sale_id rising in that order.
 
+    Their month, the fact's partition, leads the sort, which changes nothing in the order, but
+    spares the write a sort of its own by partition.
     The bounds come from the staged sales, per day: their number and their first and last order.
     That is one row for each day of the calendar, so it is broadcast. Within a day, orders are
     dealt by their number, so that a hot day falls into many tasks. These are as many as the
@@ -81,8 +84,10 @@ def in_order(inputs: DataFrame, sales: DataFrame, dims: Dimensions, rows: int |
     place = (F.col("_before") + inside * F.col("_n")) / F.col("_all")
     part = F.least(F.floor(place * parts), F.lit(parts - 1)).cast("int")
     dealt = inputs.join(F.broadcast(days), "date_key").withColumn("_part", part)
-    ordered = dealt.repartitionById(parts, F.col("_part")).sortWithinPartitions("date_key", "order_id")
-    return ordered.withColumn("sale_id", F.monotonically_increasing_id() + 1).select("sale_id", *inputs.columns)
+    dated = dealt.repartitionById(parts, F.col("_part")).withColumn("date_month", month_of_key(F.col("date_key")))
+    ordered = dated.sortWithinPartitions("date_month", "date_key", "order_id")
+    numbered = ordered.withColumn("sale_id", F.monotonically_increasing_id() + 1)
+    return numbered.select("sale_id", *inputs.columns, "date_month")
 
 
 def lookup_figures(sales: DataFrame, dims: Dimensions) -> DataFrame:

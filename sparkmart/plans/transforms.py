@@ -63,7 +63,9 @@ def clean(extract: Extract, staging: Staging) -> Cleaned:
     input rows, which so needs no pass of its own.
     """
     source = extract.source
-    first = cleaning.keep_first(extract.rows, [source.key], extract.order_by, copies="_copies")
+    carried = extract.rows.drop(*extract.derived)
+    first = cleaning.keep_first(carried, [source.key], extract.order_by, copies="_copies")
+    columns = [extract.derived.get(c, F.col(c)).alias(c) for c in source.columns]
     complete = cleaning.present(source.required)
     figures = {
         "input": F.sum("_copies"),
@@ -74,7 +76,7 @@ def clean(extract: Extract, staging: Staging) -> Cleaned:
         bad = complete & ~cleaning.has_at_sign(F.col("email"))
         figures["invalid_emails"] = F.count_if(bad)
     staged, seen = staging.write(
-        first.select(*source.columns, "_copies"), f"{source.name}_clean", figures, keep=complete
+        first.select(*columns, "_copies"), f"{source.name}_clean", figures, keep=complete
     )
     negatives = cleaning.flagged_columns(source.non_negative, seen)
     nulls = {c: seen.get(f"nulls:{c}", 0) for c in source.required}

@@ -49,13 +49,9 @@ def new_version() -> str:
 
 
 def with_load_columns(fact: DataFrame) -> DataFrame:
-    """The fact with the time of its load and its partition."""
-    return fact.withColumns(
-        {
-            "created_at": F.current_timestamp(),
-            "date_month": month_of_key(F.col("date_key")),
-        }
-    )
+    """The fact with the time of its load and its partition, if it has none yet."""
+    stamped = fact.withColumn("created_at", F.current_timestamp())
+    return stamped if "date_month" in fact.columns else stamped.withColumn("date_month", month_of_key(F.col("date_key")))
 
 
 def rejected_name(table: Table | str) -> str:

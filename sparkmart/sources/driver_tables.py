@@ -36,7 +36,10 @@ def sales(spark: SparkSession, sf_dir: str) -> Extract:
         F.col("o_orderdate").alias("order_date"),
         *LINE_ORDER,
     )
-    return frame_extract(rows, SALES, LINE_ORDER)
+    made_of = {
+        "product_id": "l_partkey", "store_id": "l_suppkey", "quantity": "l_quantity", "price": "l_extendedprice",
+    }
+    return frame_extract(rows, SALES, LINE_ORDER, made_of)
 
 
 def products(spark: SparkSession, sf_dir: str) -> Extract:

@@ -7,8 +7,8 @@ splits into tasks, not the files.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,6 +30,8 @@ class Extract:
     order_by: tuple[str, ...]
     path: str = ""
     marked: DataFrame | None = None
+    #: Source columns that follow from columns of the row order: these need not travel with them.
+    derived: Mapping[str, Column] = field(default_factory=dict)
 
     @property
     def unreadable(self) -> DataFrame | None:
@@ -152,15 +154,21 @@ def parquet_extract(spark: SparkSession, path: str, source: Source) -> Extract:
     )
 
 
-def frame_extract(df: DataFrame, source: Source, order_by: Sequence[str]) -> Extract:
-    """Any frame, such as a catalog table or a database table, with a stated row order."""
+def frame_extract(
+    df: DataFrame, source: Source, order_by: Sequence[str], made_of: Mapping[str, str] | None = None
+) -> Extract:
+    """Any frame, such as a catalog table or a database table, with a stated row order.
+
+    made_of names the source columns that are plain copies of columns of that order.
+    """
     check_columns(df, source)
     cells = [
         (F.col(c) if c in df.columns else F.lit(None)).cast(source.staging_type(c)).alias(c)
         for c in source.columns
     ]
     order = [F.col(c) for c in order_by if c not in source.columns]
-    return Extract(source, df.select(*cells, *order), tuple(order_by))
+    derived = {c: F.col(o).cast(source.staging_type(c)) for c, o in (made_of or {}).items()}
+    return Extract(source, df.select(*cells, *order), tuple(order_by), derived=derived)
 
 
 def extract_all(
