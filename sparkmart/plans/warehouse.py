@@ -34,6 +34,7 @@ from sparkmart.operators.quality import (
 )
 from sparkmart.plans import reports
 from sparkmart.schemas import DIM_DATE, FACT_SALES, FOREIGN_KEYS, TABLES, Table
+from sparkmart.session import sized
 from sparkmart.staging import Staging
 
 POINTER = "published_versions"
@@ -254,10 +255,11 @@ class Warehouse:
 
     def refresh(self, df: DataFrame, table: Table, on_violation: str = FAIL) -> int:
         """Replace all rows by rows that keep the constraints; how many the table then holds."""
-        good, bad = self._sorted_out(df, table, on_violation)
-        segments = {table.name: self.write_version(good, table)[0]}
-        if bad is not None:
-            segments[rejected_name(table)], _ = self.write_rejected(bad, table.name)
+        with sized(self.spark, df):
+            good, bad = self._sorted_out(df, table, on_violation)
+            segments = {table.name: self.write_version(good, table)[0]}
+            if bad is not None:
+                segments[rejected_name(table)], _ = self.write_rejected(bad, table.name)
         self.publish(segments, [table.name])
         return self.count(table)
 
@@ -268,16 +270,17 @@ class Warehouse:
         then, and if anything fails, the table is what it was.
         """
         before = self._segments(table)
-        good, bad = self._sorted_out(df, table, on_violation, against=True)
-        version, seen = self.write_version(good, table, {"n": F.count(F.lit(1))})
-        segments: dict[str, Sequence[str]] = {table.name: [*before, version]}
-        if not seen["n"]:
-            self.drop_version(version)
-            segments[table.name] = before
         count = 0
-        if bad is not None:
-            rejected, count = self.write_rejected(bad, table.name)
-            segments[rejected_name(table)] = [rejected]
+        with sized(self.spark, df, self._read(before)):
+            good, bad = self._sorted_out(df, table, on_violation, against=True)
+            version, seen = self.write_version(good, table, {"n": F.count(F.lit(1))})
+            segments: dict[str, Sequence[str]] = {table.name: [*before, version]}
+            if not seen["n"]:
+                self.drop_version(version)
+                segments[table.name] = before
+            if bad is not None:
+                rejected, count = self.write_rejected(bad, table.name)
+                segments[rejected_name(table)] = [rejected]
         self.publish(segments, [table.name], {table.name: before})
         return count
 
@@ -286,8 +289,11 @@ class Warehouse:
         before = self._segments(table)
         if len(before) > 1:
             order = [c for c in (table.partition_by, table.surrogate_key) if c]
-            whole = self.table(table).repartitionByRange(*order).sortWithinPartitions(*order)
-            self.publish({table.name: self.write_version(whole, table)[0]}, basis={table.name: before})
+            rows = self._read(before)
+            with sized(self.spark, rows):
+                whole = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                version, _ = self.write_version(whole, table)
+            self.publish({table.name: version}, basis={table.name: before})
         return len(before)
 
     # -- dates ---------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from sparkmart.operators import cleaning
 from sparkmart.plans import facts, transforms
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.warehouse import Warehouse, with_load_columns
+from sparkmart.schemas import DIM_STORE
 from sparkmart.session import input_bytes, sized
 from sparkmart.sources import driver_tables
 from sparkmart.staging import Staging
@@ -152,3 +153,38 @@ def test_the_fact_is_sorted_for_its_partitions(spark, staging):
     assert "Sort [date_month#" in sorts[0] and "date_key#" in sorts[0] and "order_id#" in sorts[0]
     assert ordered.where("date_month <> floor(date_key / 100)").count() == 0
     assert ordered.count() == 1000
+
+
+@pytest.fixture
+def partitions_of_writes(spark, monkeypatch):
+    seen, write = [], Warehouse.write_version
+
+    def write_version(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(PARTITIONS)))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(Warehouse, "write_version", write_version)
+    return seen
+
+
+@pytest.mark.parametrize("step", ["append", "refresh", "compact"])
+def test_changes_of_a_table_are_sized(spark, staging, warehouse, small_sorts, partitions_of_writes, step):
+    stores, _ = staging.write(
+        spark.range(1, 1001).select(
+            F.col("id").alias("store_key"), F.col("id").alias("store_id"), F.concat(F.lit("s"), "id").alias("store_name"),
+            F.lit("c").alias("city"), F.lit("t").alias("state"), F.lit("r").alias("region"),
+            F.lit(None).cast("string").alias("manager_name"), F.lit(dt.date(2020, 1, 1)).alias("opening_date"),
+        ), "stores")
+    warehouse.create_database()
+    warehouse.create_schema()
+    if step == "refresh":
+        warehouse.refresh(stores, DIM_STORE)
+    else:
+        warehouse.append(stores.where("store_id <= 500"), DIM_STORE)
+        warehouse.append(stores.where("store_id > 500"), DIM_STORE)
+    if step == "compact":
+        partitions_of_writes.clear()
+        warehouse.compact(DIM_STORE)
+    assert min(partitions_of_writes) > 4
+    assert spark.conf.get(PARTITIONS) == "2"
+    assert rows_of(warehouse.table(DIM_STORE).select("store_key")) == rows_of(stores.select("store_key"))
