@@ -14,6 +14,7 @@ from sparkmart.operators.quality import QUARANTINE, VIOLATIONS
 from sparkmart.plans.calendar import describe_days
 from sparkmart.plans.warehouse import Warehouse
 from sparkmart.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, DIM_STORE, FACT_SALES, SOURCES
+from sparkmart.session import sized
 from sparkmart.sources import driver_tables
 from sparkmart.sources.driver_tables import table
 from sparkmart.sources.extracts import csv_extract, extract_all, extraction_stats
@@ -60,7 +61,8 @@ def written_extracts(spark, sf_dir):
     if application not in _WRITTEN:
         staging = Staging(spark)
         for name, extract in driver_tables.extracts(spark, sf_dir).items():
-            write_csv(extract.data, staging.path(SOURCES[name].file))
+            with sized(spark, extract.data):
+                write_csv(extract.data, staging.path(SOURCES[name].file))
         _WRITTEN[application] = staging.folder
     return extract_all(spark, _WRITTEN[application])
 

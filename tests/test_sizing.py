@@ -8,6 +8,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from checks import sources as source_checks
 from sparkmart import session
 from sparkmart.operators import cleaning
 from sparkmart.plans import facts, transforms
@@ -188,3 +189,17 @@ def test_changes_of_a_table_are_sized(spark, staging, warehouse, small_sorts, pa
     assert min(partitions_of_writes) > 4
     assert spark.conf.get(PARTITIONS) == "2"
     assert rows_of(warehouse.table(DIM_STORE).select("store_key")) == rows_of(stores.select("store_key"))
+
+
+def test_extracts_are_written_in_tasks_that_follow_their_size(spark, tables, small_sorts, monkeypatch):
+    seen, write = {}, source_checks.write_csv
+
+    def write_csv(df, path):
+        seen[path.rsplit("/", 1)[-1]] = int(spark.conf.get(PARTITIONS))
+        write(df, path)
+
+    monkeypatch.setattr(source_checks, "write_csv", write_csv)
+    stats = {r["source"]: r["records"] for r in source_checks.scan_stats(spark, tables).collect()}
+    assert seen["sales.csv"] > 4 and spark.conf.get(PARTITIONS) == "2"
+    lines = spark.read.parquet(f"{tables}/lineitem.parquet").count()
+    assert stats == {"sales": lines, "customers": 30, "products": 20, "stores": 10}
