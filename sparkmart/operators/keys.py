@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkmart.session import sized
 from sparkmart.staging import Staging
 
 # monotonically_increasing_id() holds the partition above this many bits, the row below.
@@ -59,5 +60,6 @@ def dense_keys(
     df: DataFrame, key: str, order_by: Sequence[str], staging: Staging, name: str
 ) -> DataFrame:
     """The rows with key numbered 1..n in the given order."""
-    staged, _ = stage_in_order(df, order_by, staging, name)
+    with sized(df.sparkSession, df):
+        staged, _ = stage_in_order(df, order_by, staging, name)
     return number_rows(staged, key)

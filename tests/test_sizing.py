@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import sources as source_checks
 from sparkmart import session
-from sparkmart.operators import cleaning
+from sparkmart.operators import cleaning, keys
 from sparkmart.plans import facts, transforms
 from sparkmart.plans.build import StarBuild
 from sparkmart.plans.warehouse import Warehouse, with_load_columns
@@ -203,3 +203,17 @@ def test_extracts_are_written_in_tasks_that_follow_their_size(spark, tables, sma
     assert seen["sales.csv"] > 4 and spark.conf.get(PARTITIONS) == "2"
     lines = spark.read.parquet(f"{tables}/lineitem.parquet").count()
     assert stats == {"sales": lines, "customers": 30, "products": 20, "stores": 10}
+
+
+def test_numbering_is_sized(spark, staging, small_sorts, monkeypatch):
+    seen, stage = [], keys.stage_in_order
+
+    def stage_in_order(df, *args, **kwargs):
+        seen.append(int(spark.conf.get(PARTITIONS)))
+        return stage(df, *args, **kwargs)
+
+    monkeypatch.setattr(keys, "stage_in_order", stage_in_order)
+    stored, _ = staging.write(spark.range(5000), "stored")
+    numbered = keys.dense_keys(stored, "n", ["id"], staging, "numbered")
+    assert seen[0] > 10 and spark.conf.get(PARTITIONS) == "2"
+    assert numbered.where("n <> id + 1").count() == 0 and numbered.count() == 5000
